@@ -121,8 +121,8 @@ class ScalerModel(Model):
         if normal:
             clip = F.lit(NORMAL_CLIP)
             df = df.withColumns({
-                c: F.when(F.col(f"`{c}`") <= 0, -clip).when(F.col(f"`{c}`") >= 1, clip).otherwise(
-                    F.greatest(F.least(normal_ppf(F.col(f"`{c}`")), clip), -clip)
+                c: F.when(F.col(f"`{c}`") <= 0, -clip).when(F.col(f"`{c}`") >= 1, clip).when(
+                    F.col(f"`{c}`").isNotNull(), F.greatest(F.least(normal_ppf(F.col(f"`{c}`")), clip), -clip)
                 )
                 for c in cols
             })

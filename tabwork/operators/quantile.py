@@ -9,6 +9,7 @@ ranked.  The approximate edges decide balance only, never the answer.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -19,12 +20,13 @@ from tabwork.functions.bounded import broadcast_if_small
 from tabwork.functions.missing import normalize_missing
 
 MAX_DISTINCT = 200_000
-CELL_ROWS = 100_000
+CELL_ROWS = 10_000
 MAX_CELLS = 20_000
 
 
 def _array(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    """A constant array; written as text, since a thousand separate literals plan slowly."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
 
 
 def exact_quantiles(
@@ -83,12 +85,12 @@ def _by_percentile(data, cols, qs, by):
     return wide.select(*by, F.inline(rows)).where("n > 0")
 
 
-def _cell_edges(data, counts, cell_rows):
-    """Cell borders per column from one approximate-quantile job."""
+def _cell_edges(data, counts, cell_rows, wanted):
+    """Cell borders per column from one approximate-quantile job; at least four cells per wanted rank."""
     cols = list(counts)
     asked = []
     for i, c in enumerate(cols):
-        cells = max(2, min(MAX_CELLS, -(-counts[c] // cell_rows)))
+        cells = max(2, min(MAX_CELLS, max(-(-counts[c] // cell_rows), 4 * wanted)))
         points = [(k + 1) / cells for k in range(cells - 1)]
         asked.append(
             F.percentile_approx(F.col(f"`{c}`"), _array(points), F.lit(max(10_000, 5 * cells))).alias(f"e{i}")
@@ -101,7 +103,7 @@ def _cell_edges(data, counts, cell_rows):
 def _by_cells(data, counts, qs, by, cell_rows):
     cols = list(counts)
     celled = Bucketizer(
-        splitsArray=_cell_edges(data, counts, cell_rows),
+        splitsArray=_cell_edges(data, counts, cell_rows, len(qs)),
         inputCols=cols, outputCols=[f"_cell{i}" for i in range(len(cols))], handleInvalid="keep",
     ).transform(data)
     values = celled.select(*by, F.inline(F.array(*[
@@ -110,25 +112,11 @@ def _by_cells(data, counts, qs, by, cell_rows):
     ]))).where("x is not null")
     keys = [*by, "series"]
 
-    # Prefix counts over at most MAX_CELLS pre-aggregated rows per series.
     per_cell = values.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("m"))
-    ordered = Window.partitionBy(*keys).orderBy("cell")
-    spans = per_cell.select(
-        *keys, "cell", "m",
-        (F.sum("m").over(ordered) - F.col("m")).alias("base"),
-        F.sum("m").over(Window.partitionBy(*keys)).alias("n"),
-    )
-    position = [F.lit(float(q)) * (F.col("n") - 1) for q in qs]
-    ranks = F.array_distinct(F.flatten(F.array(*[
-        F.array(F.floor(p).cast("bigint"), F.ceil(p).cast("bigint")) for p in position
-    ])))
-    hits = broadcast_if_small(spans.select(
-        *keys, "cell", "base", "n",
-        F.filter(ranks, lambda r: (r >= F.col("base")) & (r < F.col("base") + F.col("m"))).alias("ranks"),
-    ).where(F.size("ranks") > 0))
+    hits = _hits_by_group(per_cell, keys, qs) if by else _hits(per_cell, qs)
 
     # Rank inside the hit cells only; equal values are counted together before ranking.
-    same = _null_safe(values, hits, [*keys, "cell"])
+    same = _null_safe([*keys, "cell"])
     counted = values.alias("v").join(hits.alias("h"), same, "left_semi").groupBy(*keys, "cell", "x").agg(
         F.count(F.lit(1)).alias("c")
     )
@@ -146,7 +134,8 @@ def _by_cells(data, counts, qs, by, cell_rows):
         F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("at")
     )
 
-    def value(p):
+    def value(q):
+        p = q * (F.col("n") - 1)
         low, high = F.floor(p).cast("bigint"), F.ceil(p).cast("bigint")
         a, b = F.col("at")[low], F.col("at")[high]
         return F.when(low == high, a).otherwise((high - p) * a + (p - low) * b)
@@ -154,11 +143,54 @@ def _by_cells(data, counts, qs, by, cell_rows):
     names = F.array(*[F.lit(c) for c in cols])
     return found.select(
         *by, F.get(names, F.col("series")).alias("column"), "n",
-        F.array(*[value(F.lit(float(q)) * (F.col("n") - 1)) for q in qs]).alias("q"),
+        F.transform(_array(qs), value).alias("q"),
+    )
+
+
+def _hits(per_cell, qs):
+    """Cells that hold wanted ranks: ``(series, cell, base, n, ranks)``.
+
+    Whole-column form: the counts are at most MAX_CELLS small rows per column, so the
+    prefix sums are taken on the driver.
+    """
+    sizes: dict[int, list[tuple[int, int]]] = {}
+    for r in per_cell.collect():
+        sizes.setdefault(r["series"], []).append((r["cell"], r["m"]))
+    rows = []
+    for series, cells in sizes.items():
+        n = sum(m for _, m in cells)
+        ranks = sorted({r for q in qs for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
+        base = at = 0
+        for cell, m in sorted(cells):
+            inside = []
+            while at < len(ranks) and ranks[at] < base + m:
+                inside.append(ranks[at])
+                at += 1
+            if inside:
+                rows.append((series, cell, base, n, inside))
+            base += m
+    schema = "series int, cell int, base bigint, n bigint, ranks array<bigint>"
+    return F.broadcast(per_cell.sparkSession.createDataFrame(rows, schema))
+
+
+def _hits_by_group(per_cell, keys, qs):
+    """Same per group; the windows see at most MAX_CELLS pre-aggregated rows of a group."""
+    running = Window.partitionBy(*keys).orderBy("cell")
+    spans = per_cell.select(
+        *keys, "cell", "m",
+        (F.sum("m").over(running) - F.col("m")).alias("base"),
+        F.sum("m").over(Window.partitionBy(*keys)).alias("n"),
     )
+    ranks = F.array_distinct(F.flatten(F.transform(_array(qs), lambda q: F.array(
+        F.floor(q * (F.col("n") - 1)).cast("bigint"), F.ceil(q * (F.col("n") - 1)).cast("bigint")
+    ))))
+    return broadcast_if_small(spans.select(
+        *keys, "cell", "base", "n",
+        F.filter(ranks, lambda r: (r >= F.col("base")) & (r < F.col("base") + F.col("m"))).alias("ranks"),
+    ).where(F.size("ranks") > 0))
 
 
-def _null_safe(left, right, names):
+def _null_safe(names):
     condition = None
     for name in names:
         term = F.col(f"v.{name}").eqNullSafe(F.col(f"h.{name}"))

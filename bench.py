@@ -30,7 +30,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("tabwork-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["latest_txn_enriched"](spark, sf).write.format("noop").mode("overwrite").save()

@@ -13,10 +13,9 @@ from pyspark.sql.types import DoubleType, FloatType
 
 
 def nan_to_null(name: str, dtype) -> Column:
-    column = F.col(f"`{name}`")
     if isinstance(dtype, (DoubleType, FloatType)):
-        return F.nanvl(column, F.lit(None).cast(dtype)).alias(name)
-    return column
+        return F.expr(f"nanvl(`{name}`, CAST(NULL AS {dtype.simpleString()}))").alias(name)
+    return F.col(f"`{name}`")
 
 
 def normalize_missing(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -43,27 +43,26 @@ CDF_DEN = [
 ]
 
 
-def _poly(x: Column, coefficients: list[float]) -> Column:
-    return reduce(lambda acc, c: acc * x + F.lit(c), coefficients[1:], F.lit(coefficients[0]))
+def _poly(x: str, coefficients: list[float]) -> str:
+    """Horner form as SQL text: one call to the JVM instead of one per operation."""
+    return reduce(lambda acc, c: f"({acc} * {x} + {c!r}D)", coefficients[1:], f"{coefficients[0]!r}D")
 
 
-def normal_ppf(p: Column) -> Column:
-    """Inverse normal CDF for 0 < p < 1."""
-    q = p - F.lit(0.5)
-    central_r = F.lit(0.180625) - q * q
-    central = q * _poly(central_r, PPF_CENTRAL_NUM) / _poly(central_r, PPF_CENTRAL_DEN)
-    r = F.sqrt(-F.log(F.when(q < 0, p).otherwise(F.lit(1.0) - p)))
-    middle_r, tail_r = r - F.lit(1.6), r - F.lit(5.0)
-    size = F.when(r <= 5.0, _poly(middle_r, PPF_MIDDLE_NUM) / _poly(middle_r, PPF_MIDDLE_DEN)).otherwise(
-        _poly(tail_r, PPF_TAIL_NUM) / _poly(tail_r, PPF_TAIL_DEN)
-    )
-    return F.when(F.abs(q) <= 0.425, central).otherwise(F.when(q < 0, -size).otherwise(size))
+def normal_ppf(name: str) -> Column:
+    """Inverse normal CDF of a column with 0 < p < 1."""
+    p = f"`{name}`"
+    q = f"({p} - 0.5D)"
+    r = f"sqrt(-ln(least({p}, 1.0D - {p})))"
+    c, m, t = f"(0.180625D - {q} * {q})", f"({r} - 1.6D)", f"({r} - 5.0D)"
+    return F.expr(f"""
+        CASE WHEN abs({q}) <= 0.425D THEN {q} * {_poly(c, PPF_CENTRAL_NUM)} / {_poly(c, PPF_CENTRAL_DEN)}
+             WHEN {r} <= 5.0D THEN signum({q}) * {_poly(m, PPF_MIDDLE_NUM)} / {_poly(m, PPF_MIDDLE_DEN)}
+             ELSE signum({q}) * {_poly(t, PPF_TAIL_NUM)} / {_poly(t, PPF_TAIL_DEN)} END""")
 
 
-def normal_cdf(x: Column) -> Column:
+def normal_cdf(name: str) -> Column:
     """Normal CDF for |x| below 7.07; beyond that the tail counts as 0."""
-    a = F.abs(x)
-    tail = F.when(
-        a < 7.07, F.exp(-a * a / 2.0) * _poly(a, CDF_NUM) / _poly(a, CDF_DEN)
-    ).when(a.isNotNull(), F.lit(0.0))
-    return F.when(x > 0, F.lit(1.0) - tail).otherwise(tail)
+    x = f"`{name}`"
+    a = f"abs({x})"
+    tail = f"CASE WHEN {a} < 7.07D THEN exp(-{a} * {a} / 2.0D) * {_poly(a, CDF_NUM)} / {_poly(a, CDF_DEN)} WHEN {x} IS NOT NULL THEN 0.0D END"
+    return F.expr(f"CASE WHEN {x} > 0 THEN 1.0D - ({tail}) ELSE {tail} END")

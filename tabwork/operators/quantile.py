@@ -22,6 +22,7 @@ from tabwork.functions.missing import normalize_missing
 MAX_DISTINCT = 200_000
 CELL_ROWS = 10_000
 MAX_CELLS = 20_000
+MANY_QUANTILES = 50
 
 
 def _array(values: Sequence[float]) -> Column:
@@ -50,8 +51,10 @@ def exact_quantiles(
         for i, c in enumerate(cols)
         for f, tag in ((F.count, "n"), (F.approx_count_distinct, "d"))
     ]).first()
-    small = [c for i, c in enumerate(cols) if probe[f"d{i}"] <= max_distinct]
-    large = {c: probe[f"n{i}"] for i, c in enumerate(cols) if probe[f"d{i}"] > max_distinct}
+    # percentile works through its whole buffer for every quantile asked.
+    limit = max_distinct if len(qs) <= MANY_QUANTILES else min(max_distinct, 1000)
+    small = [c for i, c in enumerate(cols) if probe[f"d{i}"] <= limit]
+    large = {c: probe[f"n{i}"] for i, c in enumerate(cols) if probe[f"d{i}"] > limit}
     parts = []
     if small:
         parts.append(_by_percentile(data, small, qs, by))

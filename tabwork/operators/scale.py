@@ -122,7 +122,7 @@ class ScalerModel(Model):
             clip = F.lit(NORMAL_CLIP)
             df = df.withColumns({
                 c: F.when(F.col(f"`{c}`") <= 0, -clip).when(F.col(f"`{c}`") >= 1, clip).when(
-                    F.col(f"`{c}`").isNotNull(), F.greatest(F.least(normal_ppf(F.col(f"`{c}`")), clip), -clip)
+                    F.col(f"`{c}`").isNotNull(), F.greatest(F.least(normal_ppf(c), clip), -clip)
                 )
                 for c in cols
             })
@@ -132,7 +132,7 @@ class ScalerModel(Model):
         """Ranks back to values: the knots sit at equal rank steps, so the place is arithmetic."""
         cols, normal = self.scaled_cols, self.scaler_kind == "normal"
         if normal:
-            df = df.withColumns({c: normal_cdf(F.col(f"`{c}`")) for c in cols})
+            df = df.withColumns({c: normal_cdf(c) for c in cols})
         top = {c: float(len(self.learned[c]) - 1) for c in cols}
         spots = {f"_i{i}": F.floor(F.col(f"`{c}`") * F.lit(top[c])).cast("int") for i, c in enumerate(cols)}
         df = df.withColumns(spots)

@@ -3,8 +3,9 @@
 Columns with few distinct values use the built-in ``percentile``: its buffer holds
 one entry per distinct value, and the distinct count is measured first.  Other
 columns are cut into cells of about equal size at approximate quantiles; cell
-counts tell which few cells hold the wanted ranks, and only those cells are then
-ranked.  The approximate edges decide balance only, never the answer.
+counts tell which few cells hold the wanted ranks, crowded ones among them are cut
+again, and only those cells are then ranked, equal values counted together.  The
+approximate edges decide balance only, never the answer.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ MAX_DISTINCT = 200_000
 CELL_ROWS = 10_000
 MAX_CELLS = 20_000
 MANY_QUANTILES = 50
+CROWDED_ROWS = 5_000_000
+REFINEMENTS = 4
 
 
 def _array(values: Sequence[float]) -> Column:
@@ -37,6 +40,7 @@ def exact_quantiles(
     by: Sequence[str] = (),
     max_distinct: int = MAX_DISTINCT,
     cell_rows: int = CELL_ROWS,
+    crowded_rows: int = CROWDED_ROWS,
 ) -> DataFrame:
     """Rows ``(by..., column, n, q)`` where ``q`` is an array aligned with ``qs``.
 
@@ -59,7 +63,7 @@ def exact_quantiles(
     if small:
         parts.append(_by_percentile(data, small, qs, by))
     if large:
-        parts.append(_by_cells(data, large, qs, by, cell_rows))
+        parts.append(_by_cells(data, large, qs, by, cell_rows, crowded_rows))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -103,20 +107,46 @@ def _cell_edges(data, counts, cell_rows, wanted):
     return [[-inf, *sorted(set(row[f"e{i}"])), inf] for i in range(len(cols))]
 
 
-def _by_cells(data, counts, qs, by, cell_rows):
-    cols = list(counts)
+def _in_cells(data, cols, by, edges):
+    """Rows ``(by..., series, cell, x)`` of every value."""
     celled = Bucketizer(
-        splitsArray=_cell_edges(data, counts, cell_rows, len(qs)),
-        inputCols=cols, outputCols=[f"_cell{i}" for i in range(len(cols))], handleInvalid="keep",
+        splitsArray=edges, inputCols=cols, outputCols=[f"_cell{i}" for i in range(len(cols))], handleInvalid="keep",
     ).transform(data)
-    values = celled.select(*by, F.inline(F.array(*[
+    return celled.select(*by, F.inline(F.array(*[
         F.struct(F.lit(i).alias("series"), F.col(f"_cell{i}").cast("int").alias("cell"), F.col(f"`{c}`").alias("x"))
         for i, c in enumerate(cols)
     ]))).where("x is not null")
-    keys = [*by, "series"]
 
-    per_cell = values.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("m"))
-    hits = _hits_by_group(per_cell, keys, qs) if by else _hits(per_cell, qs)
+
+def _finer_edges(values, edges, crowded):
+    """Cut the crowded cells at approximate quantiles of their own; None when no cell gives way."""
+    cells = F.broadcast(values.sparkSession.createDataFrame(crowded, "series int, cell int"))
+    inner = values.join(cells, ["series", "cell"], "left_semi").groupBy("series", "cell").agg(
+        F.percentile_approx("x", _array([k / 100 for k in range(1, 100)])).alias("e")
+    ).collect()
+    finer = [set(e) for e in edges]
+    for r in inner:
+        # The next double above a value closes a cell around it, so a very frequent value stands alone.
+        finer[r["series"]].update(v for e in set(r["e"]) for v in (e, math.nextafter(e, math.inf)))
+    return None if all(len(f) == len(e) for f, e in zip(finer, edges)) else [sorted(f) for f in finer]
+
+
+def _by_cells(data, counts, qs, by, cell_rows, crowded_rows):
+    cols, keys = list(counts), [*by, "series"]
+    edges = _cell_edges(data, counts, cell_rows, len(qs))
+    for attempt in range(REFINEMENTS):
+        values = _in_cells(data, cols, by, edges)
+        per_cell = values.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("m"))
+        if by:
+            hits = _hits_by_group(per_cell, keys, qs)
+            break
+        rows, crowded = _hits(per_cell, qs, crowded_rows)
+        finer = _finer_edges(values, edges, crowded) if crowded and attempt < REFINEMENTS - 1 else None
+        if finer is None:
+            schema = "series int, cell int, base bigint, n bigint, ranks array<bigint>"
+            hits = F.broadcast(data.sparkSession.createDataFrame(rows, schema))
+            break
+        edges = finer
 
     # Rank inside the hit cells only; equal values are counted together before ranking.
     same = _null_safe([*keys, "cell"])
@@ -150,8 +180,8 @@ def _by_cells(data, counts, qs, by, cell_rows):
     )
 
 
-def _hits(per_cell, qs):
-    """Cells that hold wanted ranks: ``(series, cell, base, n, ranks)``.
+def _hits(per_cell, qs, crowded_rows):
+    """Cells that hold wanted ranks ``(series, cell, base, n, ranks)``, and the crowded ones among them.
 
     Whole-column form: the counts are at most MAX_CELLS small rows per column, so the
     prefix sums are taken on the driver.
@@ -159,7 +189,7 @@ def _hits(per_cell, qs):
     sizes: dict[int, list[tuple[int, int]]] = {}
     for r in per_cell.collect():
         sizes.setdefault(r["series"], []).append((r["cell"], r["m"]))
-    rows = []
+    rows, crowded = [], []
     for series, cells in sizes.items():
         n = sum(m for _, m in cells)
         ranks = sorted({r for q in qs for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
@@ -171,9 +201,10 @@ def _hits(per_cell, qs):
                 at += 1
             if inside:
                 rows.append((series, cell, base, n, inside))
+                if m > crowded_rows:
+                    crowded.append((series, cell))
             base += m
-    schema = "series int, cell int, base bigint, n bigint, ranks array<bigint>"
-    return F.broadcast(per_cell.sparkSession.createDataFrame(rows, schema))
+    return rows, crowded
 
 
 def _hits_by_group(per_cell, keys, qs):

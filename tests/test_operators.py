@@ -68,7 +68,7 @@ def test_quantiles_agree_on_both_paths(tiny4, spark):
     values = np.concatenate([rng.lognormal(0, 3, 3000), np.zeros(2000), -rng.random(500)])
     df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(7)
     qs = [0.0, 0.01, 0.33, 0.5, 0.77, 0.999, 1.0]
-    for options in ({}, {"max_distinct": 0, "cell_rows": 100}, {"max_distinct": 0, "cell_rows": 10**9}):
+    for options in ({}, {"max_distinct": 0, "cell_rows": 100}, {"max_distinct": 0, "cell_rows": 10**9}, {"max_distinct": 0, "cell_rows": 10**9, "crowded_rows": 50}):
         assert np.allclose(quantile_dict(df, ["x"], qs, **options)["x"], np.quantile(values, qs), rtol=1e-12, atol=1e-12)
     many = [i / 199 for i in range(200)]
     assert np.allclose(quantile_dict(df, ["x"], many)["x"], np.quantile(values, many), rtol=1e-12, atol=1e-12)

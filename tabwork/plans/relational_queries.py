@@ -18,7 +18,7 @@ DATE_TEXT = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
 
 
 def _latest(spark, sf, ties):
-    orders = table(spark, sf, "orders")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     newest = latest_per_key(orders, ["o_custkey"], "o_orderdate", ties, ["o_orderkey"] if ties == "first" else ())
     newest = newest.where("o_orderdate >= '2001-01-01' and o_orderdate < '2002-01-01'")
     joined = table(spark, sf, "customer").where("c_nationkey is not null and c_acctbal is not null").join(

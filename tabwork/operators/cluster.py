@@ -14,6 +14,7 @@ from operator import add
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
@@ -50,7 +51,7 @@ def _vectors(df: DataFrame, cols: Sequence[str]):
     """Feature vectors kept for the iterations; lost blocks are recomputed from the source."""
     data = VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="error").transform(
         df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
-    ).select("_features", *cols)
+    ).select("_features")
     data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield data
@@ -60,12 +61,10 @@ def _vectors(df: DataFrame, cols: Sequence[str]):
 
 def _best(data, cols, k, restarts, max_iter, tol, seed) -> KMeansFit:
     if k == 1:
-        row = data.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[f(F.col(f"`{c}`")) for c in cols for f in (F.avg, F.var_pop)],
-        ).first()
-        return KMeansFit(list(cols), [[row[1 + 2 * i] for i in range(len(cols))]],
-                         row["n"] * sum(row[2 + 2 * i] for i in range(len(cols))))
+        # The library wants k > 1: one cluster is the mean, its inertia the summed squared deviations.
+        row = data.agg(Summarizer.metrics("count", "mean", "variance").summary(F.col("_features")).alias("s")).first()["s"]
+        spread = float(sum(row["variance"])) * max(row["count"] - 1, 0)
+        return KMeansFit(list(cols), [list(map(float, row["mean"]))], spread)
     best = None
     for attempt in range(restarts):
         model = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed + attempt, featuresCol="_features",

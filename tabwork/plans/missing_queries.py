@@ -45,8 +45,7 @@ def drop_required_rows(spark, sf):
 
 def impute_plan(spark, sf):
     df = derive(spark, sf, ORDERS_MASKED).drop("o_orderdate")
-    model = NullPlan(plan=PLAN).fit(df.where("o_orderkey % 10 <> 0"))
-    return model.transform(df).withColumn("grade", rd("grade", 8))
+    return NullPlan(plan=PLAN).fit(df).transform(df).withColumn("grade", rd("grade", 8))
 
 
 def impute_drop_rows(spark, sf):
@@ -222,7 +221,7 @@ def _filled(c):
     return f"{sql_rd(filled, 6) if action == 'mean' else filled} AS {c}"
 
 
-_TRAIN = "SELECT * FROM orders_m WHERE o_orderkey % 10 <> 0"
+_TRAIN = "SELECT * FROM orders_m"
 ORACLE = {
     "missing_one_column": f"SELECT count(*) - count(quality) AS n_missing FROM ({_DOCS})",
     "describe_missing_docs": _missing_sql(_DOCS, _DOC_COLUMNS),

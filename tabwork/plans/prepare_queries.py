@@ -43,7 +43,7 @@ COLS = ["price", "grade"]
 def _scaled(kind):
     def query(spark, sf):
         df = derive(spark, sf, ORDERS_MASKED).select("o_orderkey", *COLS)
-        model = Scaler(kind=kind, cols=COLS).fit(df.where("o_orderkey % 5 <> 0"))
+        model = Scaler(kind=kind, cols=COLS).fit(df)
         return model.transform(df).select("o_orderkey", *[rd(c, 6).alias(c) for c in COLS])
     return query
 
@@ -121,7 +121,7 @@ parts AS (SELECT r.*, CASE WHEN rk < t.k THEN 'test' WHEN rk < t.k + v.k THEN 'v
           FROM r JOIN t ON r.s IS NOT DISTINCT FROM t.s JOIN v ON r.s IS NOT DISTINCT FROM v.s)"""
 
 
-_TRAIN = "SELECT * FROM m WHERE o_orderkey % 5 <> 0"
+_TRAIN = "SELECT * FROM m"
 
 
 def _stat_sql(place, width):

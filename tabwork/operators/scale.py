@@ -190,10 +190,12 @@ def _fit_lambda(train, cols):
     the map stage and combine there. Brackets shrink eightfold per round and widen
     when the best power sits on their border.
     """
-    base = train.agg(*[
+    logs = train.select(*[
+        (F.signum(F.col(f"`{c}`")) * F.log1p(F.abs(F.col(f"`{c}`")))).alias(c) for c in cols
+    ])
+    base = logs.agg(*[
         a for i, c in enumerate(cols) for a in (
-            F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.var_pop(F.col(f"`{c}`")).alias(f"v{i}"),
-            F.sum(F.signum(F.col(f"`{c}`")) * F.log1p(F.abs(F.col(f"`{c}`")))).alias(f"s{i}"),
+            F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.var_pop(F.col(f"`{c}`")).alias(f"v{i}"), F.sum(F.col(f"`{c}`")).alias(f"s{i}"),
         )
     ]).first()
     n = {c: base[f"n{i}"] for i, c in enumerate(cols)}
@@ -208,10 +210,10 @@ def _fit_lambda(train, cols):
             c: [bracket[c][0] + (bracket[c][1] - bracket[c][0]) * j / last for j in range(LAMBDA_POINTS)]
             for c in open_cols
         }
-        scored = train.select(*open_cols, F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_j"))
+        scored = logs.select(*open_cols, F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_j"))
         rows = scored.groupBy("_j").agg(*[
-            F.var_pop(_yeo_johnson_var(
-                F.col(f"`{c}`"), F.get(F.array(*[F.lit(v) for v in grid[c]]), F.col("_j"))
+            F.var_pop(_yeo_johnson_of_log(
+                F.col(f"`{c}`"), F.get(_doubles(grid[c]), F.col("_j"))
             )).alias(f"v{i}")
             for i, c in enumerate(open_cols)
         ]).collect()
@@ -246,14 +248,12 @@ def _fit_lambda(train, cols):
 
 # ---- expressions -------------------------------------------------------------
 
-def _yeo_johnson_var(x: Column, lam: Column) -> Column:
-    """Yeo-Johnson with the power as a column."""
-    up = F.when(F.abs(lam) < ZERO, F.log1p(x)).otherwise((F.pow(x + 1.0, lam) - 1.0) / F.nullif(lam, F.lit(0.0)))
+def _yeo_johnson_of_log(s: Column, lam: Column) -> Column:
+    """Yeo-Johnson with the power as a column, from s = sign(x) * ln(1 + |x|)."""
     mirror = F.lit(2.0) - lam
-    down = F.when(F.abs(mirror) < ZERO, -F.log1p(-x)).otherwise(
-        -(F.pow(F.lit(1.0) - x, mirror) - 1.0) / F.nullif(mirror, F.lit(0.0))
-    )
-    return F.when(x >= 0, up).otherwise(down)
+    up = F.when(F.abs(lam) < ZERO, s).otherwise(F.expm1(lam * s) / F.nullif(lam, F.lit(0.0)))
+    down = F.when(F.abs(mirror) < ZERO, s).otherwise(-F.expm1(-mirror * s) / F.nullif(mirror, F.lit(0.0)))
+    return F.when(s >= 0, up).otherwise(down)
 
 
 def yeo_johnson(x: Column, lam: float) -> Column:

@@ -67,6 +67,13 @@ def sql_rd(expression: str, digits: int) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared storage the session names; a local one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="tabwork-")
+    """A new folder in the shared storage that ``spark.checkpoint.dir`` names.
+
+    Only a local master, whose tasks all see the same disk, may go without that setting.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="tabwork-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,17 +6,32 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabwork.llm import decontam, pieces, warc
+from tabwork.llm import chat, decontam, pieces, quality, warc
 from tabwork.plans.base import scratch_path, table
 
 
+def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality.score(docs, quality.train_on_labels(docs, table(spark, sf, "labels")))
+
+
 def op3_warc_archives(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf, "pages"), path)
     return warc.read_archives(spark, path).drop("n_chunks")
 
 
+def op8_chat_windows(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat.read_windows(chat.chat_windows(turns.unionByName(extra)))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.drop("hit_spans", "items")
@@ -26,9 +41,7 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_decode(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), keep_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 
 ORACLE: dict[str, str] = {}
 
@@ -70,3 +83,22 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = max(page_id) OVER same THEN NULL ELSE max(page_id) OVER same END AS refers_to
 FROM digests WINDOW same AS (PARTITION BY payload_digest)"""
+
+
+ORACLE["op8_chat_windows"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+p AS (
+  SELECT *, row_number() OVER o AS pos, CAST(ceil((length(role) + length(text)) / 4.0) AS BIGINT) AS tokens,
+         23 + length(replace(replace(role || text, chr(92), chr(92) || chr(92)), '<', chr(92) || 'l')) AS chars
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+q AS (SELECT *, pos = 1 AND role = 'system' AS sys FROM p),
+u AS (SELECT *, sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY pos) AS upto FROM q),
+w AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY greatest(upto - 1, 0) // 320) AS win FROM u),
+x AS (SELECT *, max(upto) OVER (PARTITION BY conv_id, win) AS stop, max(win) OVER (PARTITION BY conv_id) AS wins FROM w)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars * CASE WHEN sys THEN wins WHEN win < wins AND upto > stop - 128 THEN 2 ELSE 1 END) AS BIGINT) AS formatted_chars
+FROM x GROUP BY conv_id"""

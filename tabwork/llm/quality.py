@@ -71,7 +71,7 @@ def repeats(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A row of scaled shares per text: four-grams, kinds of bytes, repeated words."""
     out = np.zeros((len(offsets) - 1, WIDTH), np.float32)
-    out[:, -_REPEATS:] = repeats(data, offsets) * 10
+    out[:, -_REPEATS:] = repeats(data, offsets) * 30
     for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
         g = grams(data[a:b])
         if len(g):
@@ -89,7 +89,7 @@ class QualityModel:
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Probability of the positive class for each text."""
-        z = self.intercept + repeats(data, offsets) @ self.weights[-_REPEATS:] * 10
+        z = self.intercept + repeats(data, offsets) @ self.weights[-_REPEATS:] * 30
         base, n = offsets[0], offsets[-1] - offsets[0]
         starts, lengths = offsets[:-1] - base, np.diff(offsets)
         data = data[base : offsets[-1]]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwork.llm import chat, decontam, pieces, quality, warc
+from tabwork.llm import chat, decontam, jaccard, langid, pieces, quality, voronoi, warc
 from tabwork.plans.base import scratch_path, table
 
 
@@ -17,12 +17,25 @@ def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(docs, quality.train_on_labels(docs, table(spark, sf, "labels")))
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
 def op3_warc_archives(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf, "pages"), path)
     return warc.read_archives(spark, path).drop("n_chunks")
 
 
+def op4_voronoi_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return voronoi.top_k(voronoi.quantised(table(spark, sf, "embeddings")), F.col("id") % 50 == 0)
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf, "documents"))
+
+
 def op8_chat_windows(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -102,3 +115,28 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(chars * CASE WHEN sys THEN wins WHEN win < wins AND upto > stop - 128 THEN 2 ELSE 1 END) AS BIGINT) AS formatted_chars
 FROM x GROUP BY conv_id"""
+
+
+ORACLE["op4_voronoi_top_k"] = r"""
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(CAST(q.c AS DOUBLE[]), CAST(d.c AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q, v d WHERE q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
+
+ORACLE["op6_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(5, len(w)) - 1), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM k JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY node) m ON m.node = d.doc_id"""

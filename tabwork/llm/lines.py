@@ -39,15 +39,10 @@ _SPACES = np.isin(np.arange(256), [9, 11, 12, 13, 32])
 
 def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text, number within the text, start and end of every line that is not blank."""
-    texts = offsets[:-1]
-    feeds = np.flatnonzero(data == 10)
-    bounds = np.concatenate([texts, feeds + 1])
-    kind = np.concatenate([np.zeros(len(texts), np.int8), np.ones(len(feeds), np.int8)])
-    order = np.lexsort((kind, bounds))
-    # A feed that ends a text opens an empty line of that text, before the text that starts at the same byte.
-    starts = np.sort(np.concatenate([texts, feeds + 1]), kind="stable")
+    texts, feeds = offsets[:-1], np.flatnonzero(data == 10)
+    # A feed belongs to the last text that starts at or before it; empty texts start where the next one does.
     owner = np.concatenate([np.arange(len(texts)), np.searchsorted(texts, feeds, "right") - 1])
-    starts, owner = np.concatenate([texts, feeds + 1]), owner
+    starts = np.concatenate([texts, feeds + 1])
     order = np.lexsort((starts, owner))
     starts, owner = starts[order], owner[order]
     ends = np.append(starts[1:] - 1, offsets[-1])
@@ -79,7 +74,7 @@ def _line_rows(min_chars: int):
                 for half in (length // 2, np.maximum(length - 1, 0) // 2):
                     for side, (x, y) in enumerate(((starts, place[a + half]), (place[b - half], ends))):
                         keys.append(mix(span_hashes(part, x, y) ^ (half.astype(np.uint64) * _SALT[0] + _SALT[1 + side])))
-                near = length >= min_chars - 1
+                near = length >= min_chars
                 same = length // 2 == np.maximum(length - 1, 0) // 2
                 null = lambda k, mask: pa.compute.if_else(pa.array(mask), long_array(k), pa.scalar(None, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
@@ -104,7 +99,8 @@ def _line_variants(text: str, prefix: bool, suffix: bool) -> tuple[np.ndarray, n
         before = np.zeros(n + 1, np.uint64)
         np.cumsum(values * up[:n], out=before[1:])
         behind = np.zeros(n + 1, np.uint64)  # sums from the right as if moved one place to the left
-        behind[:n] = np.cumsum((values[1:] * up[: n - 1])[::-1])[::-1].tolist() + [0] if n > 1 else 0
+        # Character j > i of a variant without i stands at place j - 1.
+        behind[: n - 1] = np.cumsum((values[1:] * up[: n - 1])[::-1])[::-1]
         gone = before[at] + behind[at]
         out.append(np.concatenate([mix(before[n : n + 1] + np.uint64(n)), mix(gone + np.uint64(n - 1))]))
     return out[0], out[1], np.concatenate([[-1], at])
@@ -113,7 +109,7 @@ def _line_variants(text: str, prefix: bool, suffix: bool) -> tuple[np.ndarray, n
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 200):
-            part, keys, checks, places, docs, numbers, length = batch.slice(lo, 200), [], [], [], [], [], []
+            part, keys, checks, places, docs, numbers = batch.slice(lo, 200), [], [], [], [], []
             for doc, text, wanted in zip(part.column(0), part.column(1), part.column(2)):
                 split = text.as_py().split("\n")
                 for w in wanted.as_py():
@@ -121,8 +117,8 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if not line:
                         continue
                     k, c, at = _line_variants(line, w["prefix"], w["suffix"])
-                    keys.append(k), checks.append(c), places.append(at)
-                    docs.append(np.full(len(k), doc.as_py())), numbers.append(np.full(len(k), w["line"]))
+                    for column, found in zip((keys, checks, places, docs, numbers), (k, c, at, np.full(len(k), doc.as_py()), np.full(len(k), w["line"]))):
+                        column.append(found)
             if keys:
                 columns = [np.concatenate(x) for x in (keys, checks, places, docs, numbers)]
                 yield pa.RecordBatch.from_arrays(
@@ -134,7 +130,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Reads variants in the order (key, check, place, doc_id, line) and gives each line that meets an earlier one, with that one."""
     group = whole = first = None  # the variant, the whole line equal to it, and the first line with the present deleted place
     for batch in batches:
-        out, deleted_before = [], None
+        out = []
         rows = zip(*(batch.column(i).to_pylist() for i in range(5)))
         for key, check, place, doc, line in rows:
             me = (doc, line)
@@ -151,7 +147,6 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((*me, *whole))
             elif whole is not None and me < whole:
                 out.append((*whole, *me))
-        del deleted_before
         columns = list(zip(*out)) if out else [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int32()))], names=["doc_id", "line", "by_doc", "by_line"])
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwork.llm import chat, decontam, jaccard, langid, pieces, quality, voronoi, warc
+from tabwork.llm import chat, decontam, jaccard, langid, lines, pieces, quality, suffix, voronoi, warc
 from tabwork.plans.base import scratch_path, table
 
 
@@ -32,10 +32,19 @@ def op4_voronoi_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return voronoi.top_k(voronoi.quantised(table(spark, sf, "embeddings")), F.col("id") % 50 == 0)
 
 
+def op5_suffix_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix.repeated_spans(table(spark, sf, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.groups(table(spark, sf, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_chat_windows(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -140,3 +149,29 @@ e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a)
 SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, m.component_id
 FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY node) m ON m.node = d.doc_id"""
+
+
+ORACLE["op7_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, CAST(i AS INT) AS line, parts[i + 1] AS t FROM (SELECT doc_id, parts, unnest(range(0, len(parts))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))),
+shown AS (SELECT * FROM l WHERE regexp_replace(t, '[\x09\x0B\x0C\x0D\x20]', '', 'g') <> ''),
+u AS (SELECT t, length(t) AS n, min(doc_id * 1000000 + line) AS pos FROM shown GROUP BY t),
+k AS (
+  SELECT t, n, pos, 0 AS side, n // 2 AS h, left(t, CAST(n // 2 AS INT)) AS part FROM u WHERE n >= 20 UNION SELECT t, n, pos, 1, n // 2, right(t, CAST(n // 2 AS INT)) FROM u WHERE n >= 20
+  UNION SELECT t, n, pos, 0, (n - 1) // 2, left(t, CAST((n - 1) // 2 AS INT)) FROM u WHERE n >= 20 UNION SELECT t, n, pos, 1, (n - 1) // 2, right(t, CAST((n - 1) // 2 AS INT)) FROM u WHERE n >= 20),
+near AS (SELECT DISTINCT a.t FROM k a JOIN k b ON a.part = b.part AND a.side = b.side AND a.h = b.h AND b.pos < a.pos AND abs(a.n - b.n) <= 1 WHERE levenshtein(a.t, b.t) <= 1),
+stay AS (SELECT u.pos FROM u LEFT JOIN near ON u.t = near.t WHERE near.t IS NULL),
+marked AS (
+  SELECT l.doc_id, l.line, l.t, regexp_replace(l.t, '[\x09\x0B\x0C\x0D\x20]', '', 'g') = '' OR stay.pos IS NOT NULL AS kept
+  FROM l LEFT JOIN stay ON stay.pos = l.doc_id * 1000000 + l.line)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT kept) AS n_removed, sha256(coalesce(string_agg(t, chr(10) ORDER BY line) FILTER (WHERE kept), '')) AS text_sha256
+FROM marked GROUP BY doc_id"""
+
+
+ORACLE["op5_suffix_repeats"] = r"""
+WITH w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+  FROM documents),
+i AS (SELECT doc_id, CAST(i AS INT) AS i, md5(array_to_string(list_slice(w, i + 1, i + 50), ' ')) AS g FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS i FROM w WHERE len(w) >= 50)),
+r AS (SELECT doc_id, i FROM i WHERE g IN (SELECT g FROM i GROUP BY g HAVING count(*) > 1)),
+n AS (SELECT *, sum(CASE WHEN i <= p + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM (SELECT *, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -100) AS p FROM r))
+SELECT doc_id, min(i) AS start_word, CAST(max(i) + 50 AS INT) AS end_word FROM n GROUP BY doc_id, span"""

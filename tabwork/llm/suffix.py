@@ -155,10 +155,13 @@ def _matches(min_words: int, seed: int, held: int):
             hashes = window_hashes(context[many])
             keys = mix(hashes ^ (group[many].astype(np.uint64)[:, None] * factors[0]))
             row, start = np.nonzero(hashes)
-            _, inverse, counts = np.unique(keys[row, start], return_inverse=True, return_counts=True)
-            again = counts[inverse] > 1
-            i = many[row[again]]
-            at = word[i] - left + start[again]
+            i = many[row]
+            at, code = word[i] - left + start, doc.dictionary_encode().indices.fill_null(-1).to_numpy()[i]
+            # Suffixes that stand in one window of one document are one occurrence of it.
+            once = np.unique(np.stack([keys[row, start].view(np.int64), code.astype(np.int64), at]), axis=1, return_index=True)[1]
+            i, at, key = i[once], at[once], keys[row, start][once]
+            _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
+            i, at = i[counts[inverse] > 1], at[counts[inverse] > 1]
             starts.append(np.stack([i, at]))
             ends.append(at + min_words)
         index, at = np.concatenate(starts, axis=1)
@@ -228,7 +231,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, seed: int = SEED
     suffixes = on.select("doc_id", "text", "places").mapInArrow(_suffix_rows(min_words, seed), "doc_id long, word int, seed long, context binary")
     ordered = suffixes.repartition("seed").sortWithinPartitions("seed", "context")
     found = stored(spark, ordered.mapInArrow(_matches(min_words, seed, held), "doc_id long, start int, stop int, key long"), "spans")
-    frequent = found.where("key IS NOT NULL")
+    frequent = found.where("key IS NOT NULL").distinct()
     again = frequent.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     more = frequent.join(again, "key", "left_semi").select("doc_id", "start", "stop")
     return _joined(found.where("key IS NULL").select("doc_id", "start", "stop").unionByName(more).distinct())

@@ -6,10 +6,12 @@ c(n, m) = ceil(t * (n + m) / (1 + t)) of them. Nodes meet in lists:
 * Small sets, of at most ``boundary`` shingles, list themselves under every subset of c(n, m) of
   their shingles, for each partner size m up to the boundary.
 * Larger sets (and the small ones that may have a larger partner) list themselves under their
-  first n - ceil(t * n) + 1 shingles in the order of the hash, so two linked sets share a list.
+  first n - ceil(t * n) + 1 shingles in one order of all shingles, so two linked sets share a list.
+  The order is that of the hash, but frequent shingles come last: those that are, in some batch of
+  documents, in ``FREQUENT`` of the sets. There can be no more of them than the mean set size over that share.
 * The boundary is the size with the least cost: subsets to write, against list entries times the mean
   length of the lists, both from a count of all sets by size.
-* A list of more than ``light`` nodes is heavy: it is not scanned, its nodes are listed anew. Shingles
+* A list of more than ``light`` nodes is heavy, and so is that of a frequent shingle: it is not scanned, its nodes are listed anew. Shingles
   are dealt by hash into more parts than two linked sets can differ in, so two linked sets agree
   in all shingles of one part at least; a node lists itself under each of its parts. A frequent
   shingle alone brings nobody together there.
@@ -46,7 +48,11 @@ SHINGLE = 5
 #: Largest boundary considered between small and large sets.
 MOST_SMALL = 32
 #: Longest list that is scanned in pairs.
-LIGHT = 64
+LIGHT = 16
+#: Share of the sets of a batch that makes a shingle frequent, and the sets it takes at least.
+FREQUENT, FEWEST = 0.002, 8
+#: Frequent shingles that are put last, and so sent to the tasks, at most.
+MOST_FREQUENT = 1_000_000
 _SALT = constants(4, 99)
 _MARK, _ENTRY, _FLAG = 0, 1, 2
 
@@ -78,19 +84,35 @@ def _sets_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def document_nodes(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_shingles, node, first): the node is NULL for empty sets, ``first`` is the least shingle."""
+    """Rows (doc_id, n_shingles, node, first): the node is NULL for empty sets, ``first`` is the least shingle. Other rows hold frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, none = ["doc_id", "n_shingles", "node", "first", "frequent"], lambda n: pa.nulls(n, pa.int64())
         for batch in batches:
+            tokens, distinct, seen = [], 0, np.empty(0, np.uint64)
             for lo, hi, values, starts, nodes in _sets_of(batch.column(1)):
                 sizes = np.diff(starts)
-                none = pa.array(sizes == 0)
                 first = np.append(values, np.uint64(0))[np.minimum(starts[:-1], len(values))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), pa.compute.if_else(none, pa.scalar(None, pa.int64()), long_array(nodes)), long_array(first)],
-                    names=["doc_id", "n_shingles", "node", "first"])
+                node = pa.compute.if_else(pa.array(sizes == 0), pa.scalar(None, pa.int64()), long_array(nodes))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), node, long_array(first), none(hi - lo)], names=names)
+                fresh = _fresh(nodes, sizes, seen)
+                seen = np.union1d(seen, nodes[fresh])
+                distinct += int(fresh.sum())
+                tokens.append(values[np.repeat(fresh, sizes)])
+            if tokens:
+                found = np.sort(np.concatenate(tokens))
+                fewest = max(FEWEST, int(FREQUENT * distinct))
+                often = np.unique(found[: len(found) - fewest + 1][found[: len(found) - fewest + 1] == found[fewest - 1 :]]) if len(found) >= fewest else found[:0]
+                yield pa.RecordBatch.from_arrays([none(len(often))] * 4 + [long_array(often)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, first long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, first long, frequent long")
+
+
+def _fresh(nodes: np.ndarray, sizes: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Marks one text of each node that is not empty and not seen before."""
+    fresh = np.zeros(len(nodes), bool)
+    fresh[np.unique(nodes, return_index=True)[1]] = True
+    return fresh & (sizes > 0) & ~np.isin(nodes, seen)
 
 
 def choose_boundary(sizes: list[tuple[int, int, int]]) -> int:
@@ -115,29 +137,39 @@ def _subset_keys(tokens: np.ndarray, boundary: int) -> list[int]:
     spread = mix(tokens ^ _SALT[2])
     for m in range(1, boundary + 1):
         if TOP * n <= BOTTOM * m and TOP * m <= BOTTOM * n:
-            family = np.uint64(min(n, m) * 1000 + max(n, m)) * _SALT[3]
+            family = np.full(1, min(n, m) * 1000 + max(n, m), np.uint64) * _SALT[3]
             picks = np.array(list(combinations(range(n), shared_needed(n, m))))
             keys.append(mix(spread[picks].sum(axis=1, dtype=np.uint64) + family))
     return keys
 
 
-def _entries(boundary: int, light: int):
-    """Entries (key, node, n, kind) of each batch. A key with more than ``light`` nodes in one batch is sent as a mark, its nodes as flags."""
+def _entries(boundary: int, light: int, frequent):
+    """Entries (key, node, n, kind) of each batch. A key with more than ``light`` nodes in one batch is sent as a mark, its nodes as flags.
+
+    ``frequent`` is the broadcast sorted array of frequent shingles, whose nodes are flagged as well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = frequent.value
         for batch in batches:
-            keys, owners, sizes_of, seen = [], [], [], set()
+            keys, owners, sizes_of, flagged, seen = [], [], [], [], np.empty(0, np.uint64)
             for _, _, values, starts, nodes in _sets_of(batch.column(0)):
                 sizes = np.diff(starts)
-                fresh = np.zeros(len(nodes), bool)
-                fresh[np.unique(nodes, return_index=True)[1]] = True
-                fresh &= (sizes > 0) & ~np.isin(nodes, np.fromiter(seen, np.uint64, len(seen)))
-                seen.update(nodes[fresh].tolist())
+                fresh = _fresh(nodes, sizes, seen)
+                seen = np.union1d(seen, nodes[fresh])
+                last = np.zeros(len(values), bool)
+                if len(often):
+                    last = often[np.minimum(np.searchsorted(often, values), len(often) - 1)] == values
+                order = np.argsort(np.repeat(2 * np.arange(len(sizes)), sizes) + last, kind="stable")
                 take = np.where(fresh & (BOTTOM * sizes >= TOP * (boundary + 1)), prefix_length(sizes), 0)
-                at = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take) + np.repeat(starts[:-1], take)
-                keys.append(values[at])
-                owners.append(np.repeat(nodes, take))
-                sizes_of.append(np.repeat(sizes, take))
+                at = order[np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take) + np.repeat(starts[:-1], take)]
+                owner = np.repeat(np.arange(len(nodes)), take)
+                listed = ~last[at]
+                keys.append(values[at[listed]])
+                owners.append(nodes[owner[listed]])
+                sizes_of.append(sizes[owner[listed]])
+                flagged.append(np.unique(owner[~listed]))
+                flagged[-1] = (nodes[flagged[-1]], sizes[flagged[-1]])
                 for i in np.flatnonzero(fresh & (sizes <= boundary)):
                     for found in _subset_keys(values[starts[i] : starts[i + 1]], boundary):
                         keys.append(found)
@@ -152,10 +184,10 @@ def _entries(boundary: int, light: int):
             lengths = np.diff(np.append(edges, len(key)))
             heavy = np.repeat(lengths > light, lengths)
             marks = key[edges[lengths > light]]
-            flags, index = np.unique(node[heavy], return_index=True)
+            flags, index = np.unique(np.concatenate([node[heavy], *(f for f, _ in flagged)]), return_index=True)
             parts = [
                 (key[~heavy], node[~heavy], size[~heavy], _ENTRY), (marks, np.zeros(len(marks), np.uint64), np.zeros(len(marks), np.int64), _MARK),
-                (mix(flags), flags, size[heavy][index], _FLAG),
+                (mix(flags), flags, np.concatenate([size[heavy], *(z for _, z in flagged)])[index], _FLAG),
             ]
             for k, nd, sz, kind in parts:
                 for lo in range(0, len(k), 50_000):
@@ -227,7 +259,7 @@ def _part_keys(tokens: np.ndarray) -> np.ndarray:
         if filled.sum() <= differ:
             filled[:] = True
         at = np.flatnonzero(filled)
-        keys.append(mix(sums[at] + at.astype(np.uint64) * _SALT[0] + np.uint64(family) * _SALT[1]))
+        keys.append(mix(sums[at] + at.astype(np.uint64) * _SALT[0] + np.full(1, family, np.uint64) * _SALT[1]))
     return np.concatenate(keys)
 
 
@@ -274,13 +306,15 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link_components(docs: DataFrame, known: DataFrame, light: int = LIGHT) -> DataFrame:
-    """Rows (node, component) of the nodes that link with another one. ``known`` has (doc_id, n_shingles, node, first)."""
+def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, light: int = LIGHT) -> DataFrame:
+    """Rows (node, component) of the nodes that link with another one. ``known`` and ``frequent`` are of ``document_nodes``."""
     spark = docs.sparkSession
     small = known.where(F.col("n_shingles").between(1, MOST_SMALL)).groupBy("n_shingles", "node").agg(F.first("first").alias("first"))
     sizes = small.groupBy("n_shingles").agg(F.count("*").alias("sets"), F.countDistinct("first").alias("firsts")).collect()
     boundary = choose_boundary([tuple(r) for r in sizes])
-    entries = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_entries(boundary, light), "key long, node long, n int, kind byte")
+    often = np.sort(np.array([r["frequent"] for r in frequent.collect()], np.int64).view(np.uint64))
+    sent = spark.sparkContext.broadcast(often)
+    entries = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_entries(boundary, light, sent), "key long, node long, n int, kind byte")
     scanned = entries.repartition("key").sortWithinPartitions("key", "kind", "node").mapInArrow(_scan(light), "key long, node long, n int, flagged boolean")
     scanned = stored(spark, scanned, "lists")
     heavy = scanned.where("flagged").select("node").distinct()
@@ -309,9 +343,12 @@ def link_components(docs: DataFrame, known: DataFrame, light: int = LIGHT) -> Da
 def groups(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id): the smallest id that links and copies reach."""
     spark = docs.sparkSession
-    known = stored(spark, document_nodes(docs), "nodes")
+    made = stored(spark, document_nodes(docs), "nodes")
+    known = made.where("frequent IS NULL").drop("frequent")
+    # Any set of shingles may come last, so a bound on their number costs time at worst.
+    frequent = made.where("frequent IS NOT NULL").groupBy("frequent").count().orderBy(F.desc("count"), "frequent").select("frequent").limit(MOST_FREQUENT)
     nodes = known.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
-    found = link_components(docs, nodes)
+    found = link_components(docs, nodes, frequent)
     least = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of = least.groupBy("component").agg(F.min("least").alias("component_id"))
     by_node = least.join(of, "component").select("node", "component_id")

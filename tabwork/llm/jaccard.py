@@ -48,9 +48,9 @@ SHINGLE = 5
 #: Largest boundary considered between small and large sets.
 MOST_SMALL = 32
 #: Longest list that is scanned in pairs.
-LIGHT = 16
+LIGHT = 32
 #: Share of the sets of a batch that makes a shingle frequent, and the sets it takes at least.
-FREQUENT, FEWEST = 0.002, 8
+FREQUENT, FEWEST = 0.0005, 5
 #: Frequent shingles that are put last, and so sent to the tasks, at most.
 MOST_FREQUENT = 1_000_000
 _SALT = constants(4, 99)
@@ -319,7 +319,7 @@ def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, ligh
     scanned = stored(spark, scanned, "lists")
     heavy = scanned.where("flagged").select("node").distinct()
     beside = Window.partitionBy("key").orderBy("node")
-    parts = _fetch(docs, heavy, known, _part_entries, "key long, node long, n int").join(heavy, "node", "left_semi").distinct()
+    parts = _fetch(docs, heavy, known, _part_entries, "key long, node long, n int")
     parts = parts.withColumn("shared", F.lag("node").over(beside).isNotNull() | F.lead("node").over(beside).isNotNull()).where("shared").select("key", "node", "n")
     lists = stored(spark, scanned.where("NOT flagged").select("key", "node", "n").unionByName(parts), "lists")
 

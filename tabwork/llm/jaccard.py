@@ -16,6 +16,9 @@ c(n, m) = ceil(t * (n + m) / (1 + t)) of them. Nodes meet in lists:
   in all shingles of one part at least; a node lists itself under each of its parts. A frequent
   shingle alone brings nobody together there.
 
+Before the sets of a pair are fetched, bitmaps are compared: each set has a bitmap of the parities of its
+hashed shingles, and two of them differ in no more bits than the sets differ in shingles.
+
 Lists are read in two rounds. First each node is compared with one node of its list; then
 nodes of one list that are not yet in one component are compared in all pairs. Only pairs that
 could not change a component are left out, so components are exact. Shingles are 64-bit hashes;
@@ -55,6 +58,8 @@ FREQUENT, FEWEST = 0.0005, 5
 MOST_FREQUENT = 1_000_000
 _SALT = constants(4, 99)
 _MARK, _ENTRY, _FLAG = 0, 1, 2
+#: Bits of the bitmap of a set.
+BITS = 2048
 
 
 def shared_needed(n: int, m: int) -> int:
@@ -87,14 +92,14 @@ def document_nodes(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_shingles, node, first): the node is NULL for empty sets, ``first`` is the least shingle. Other rows hold frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, none = ["doc_id", "n_shingles", "node", "first", "frequent"], lambda n: pa.nulls(n, pa.int64())
+        names, none = ["doc_id", "n_shingles", "node", "first", "frequent", "bits"], lambda n: pa.nulls(n, pa.int64())
         for batch in batches:
             tokens, distinct, seen = [], 0, np.empty(0, np.uint64)
             for lo, hi, values, starts, nodes in _sets_of(batch.column(1)):
                 sizes = np.diff(starts)
                 first = np.append(values, np.uint64(0))[np.minimum(starts[:-1], len(values))]
                 node = pa.compute.if_else(pa.array(sizes == 0), pa.scalar(None, pa.int64()), long_array(nodes))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), node, long_array(first), none(hi - lo)], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), node, long_array(first), none(hi - lo), _bitmaps(values, starts)], names=names)
                 fresh = _fresh(nodes, sizes, seen)
                 seen = np.union1d(seen, nodes[fresh])
                 distinct += int(fresh.sum())
@@ -103,9 +108,16 @@ def document_nodes(docs: DataFrame) -> DataFrame:
                 found = np.sort(np.concatenate(tokens))
                 fewest = max(FEWEST, int(FREQUENT * distinct))
                 often = np.unique(found[: len(found) - fewest + 1][found[: len(found) - fewest + 1] == found[fewest - 1 :]]) if len(found) >= fewest else found[:0]
-                yield pa.RecordBatch.from_arrays([none(len(often))] * 4 + [long_array(often)], names=names)
+                yield pa.RecordBatch.from_arrays([none(len(often))] * 4 + [long_array(often), pa.nulls(len(often), pa.binary())], names=names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, first long, frequent long, bits binary")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, first long, frequent long")
+
+def _bitmaps(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    rows = len(starts) - 1
+    place = np.repeat(np.arange(rows), np.diff(starts)) * BITS + (values >> np.uint64(7)).astype(np.int64) % BITS
+    bits = np.packbits((np.bincount(place, minlength=rows * BITS) & 1).astype(bool))
+    return blobs(bits, np.arange(rows + 1) * (BITS // 8))
 
 
 def _fresh(nodes: np.ndarray, sizes: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -284,6 +296,16 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([long_array(nodes), blobs(values, starts)], names=["node", "tokens"])
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that may link by their sizes and bitmaps."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x, y = (text_buffers(batch.column(c))[0].reshape(batch.num_rows, -1) for c in ("x", "y"))
+        most = (batch.column("n").to_numpy() + batch.column("m").to_numpy()) * (BOTTOM - TOP) // (TOP + BOTTOM)
+        yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(axis=1) <= most))
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -295,8 +317,14 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verify(pairs: DataFrame, stored_sets: DataFrame) -> DataFrame:
+def _verify(docs: DataFrame, known: DataFrame, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link."""
+    spark = docs.sparkSession
+    x = bitmaps.select(F.col("node").alias("a"), F.col("bits").alias("x"), F.col("n_shingles").alias("n"))
+    y = bitmaps.select(F.col("node").alias("b"), F.col("bits").alias("y"), F.col("n_shingles").alias("m"))
+    pairs = stored(spark, pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(_alike, "a long, b long"), "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    stored_sets = stored(spark, _fetch(docs, nodes, known, _set_rows, "node long, tokens binary").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
     x = stored_sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     y = stored_sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
@@ -325,9 +353,8 @@ def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, ligh
 
     pivots = lists.groupBy("key").agg(F.min(F.struct("node", "n")).alias("pivot")).select("key", F.col("pivot.node").alias("b"), F.col("pivot.n").alias("m"))
     tried = stored(spark, _ordered(lists.join(pivots, "key").where((F.col("node") != F.col("b")) & _fits("n", "m")).select(F.col("node").alias("a"), "b")), "pairs")
-    rows = _fetch(docs, lists.select("node").distinct(), known, _set_rows, "node long, tokens binary").dropDuplicates(["node"])
-    all_sets = stored(spark, rows, "sets")
-    links = stored(spark, _verify(tried, all_sets), "verified")
+    bitmaps = stored(spark, known.join(lists.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits").dropDuplicates(["node"]), "bitmaps")
+    links = stored(spark, _verify(docs, known, tried, bitmaps), "verified")
 
     found = components(links)
     placed = lists.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
@@ -336,7 +363,7 @@ def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, ligh
     other = placed.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("beside"))
     rest = placed.join(other, "key").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("beside")) & _fits("n", "m"))
     rest = rest.select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = stored(spark, _verify(rest, all_sets), "verified")
+    more = stored(spark, _verify(docs, known, rest, bitmaps), "verified")
     return found if more.isEmpty() else components(links.unionByName(more))
 
 
@@ -352,7 +379,7 @@ def groups(docs: DataFrame) -> DataFrame:
     least = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of = least.groupBy("component").agg(F.min("least").alias("component_id"))
     by_node = least.join(of, "component").select("node", "component_id")
-    joined = known.join(by_node, "node", "left")
+    joined = known.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 

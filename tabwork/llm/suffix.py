@@ -12,8 +12,9 @@ The longest match of a suffix on both sides together need not be with a neighbou
 stands on the right. So suffixes of one seed, where there are more than two, are also
 grouped by the hash of each window of ``min_words`` words around the seed: suffixes in the same
 group repeat that window. This makes the result exact: every word of every repeated
-passage of ``min_words`` words is in a span. Seeds of more than ``held`` suffixes are not held: their
-windows go to a second grouping by hash, counted with partial sums.
+passage of ``min_words`` words is in a span. A seed of more than ``held`` suffixes is read in blocks:
+windows that repeat within a block are spans at once, and those that do not, with one of each that does, go
+to a second grouping by hash over all blocks.
 
 Spans of a document that overlap or touch are joined. Hashes of words have 64 bits, and those of contexts 32;
 a span rests on ``min_words`` equal word hashes in a row.
@@ -36,7 +37,7 @@ from tabwork.llm.common import blobs, chunks, long_array, small_side, stored, te
 from tabwork.llm.text import NOT_SPACE, Words, constants, mix, windows, words
 
 MIN_WORDS, SEED = 50, 26
-HELD = 4096
+HELD = 32768
 
 
 def _minimisers(w: Words, seed: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,8 +73,13 @@ def _seed_rows(seed: int, window: int, min_words: int):
                 owner, at, hashes = _minimisers(w, seed, window)
                 long = w.counts[owner] >= min_words
                 owner, at, hashes = owner[long], at[long], hashes[long]
-                ids = batch.column(0).slice(lo, hi - lo).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(at.astype(np.int32)), long_array(hashes)], names=["doc_id", "word", "seed"])
+                ids = batch.column(0).slice(lo, hi - lo)
+                # A seed that is met twice here is known to repeat; one of it stands for all in the grouping.
+                _, once, inverse, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+                again = np.flatnonzero(counts[inverse] > 1)
+                for places, known in ((again, True), (once, False)):
+                    columns = [ids.take(pa.array(owner[places])), pa.array(at[places].astype(np.int32)), long_array(hashes[places]), pa.array(np.full(len(places), known))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "word", "seed", "known"])
 
     return run
 
@@ -129,10 +135,10 @@ def _matches(min_words: int, seed: int, held: int):
             out[:, start] = np.where((line[:, start : start + min_words] > 0).all(axis=1), mix(out[:, start]) | np.uint64(1), 0)
         return out
 
-    def whole(rows: list) -> Iterator[pa.RecordBatch]:
-        """Spans of complete groups of suffixes."""
+    def block(rows: list, parted: bool) -> Iterator[pa.RecordBatch]:
+        """Spans of complete groups of suffixes; ``parted``: of a part of one group, with the windows the other parts must see."""
         doc, word, seeds, context = rows
-        n = len(word)
+        n, code = len(word), doc.dictionary_encode().indices.fill_null(-1).to_numpy().astype(np.int64)
         behind, before = split(context)
         same = seeds[1:] == seeds[:-1]
 
@@ -141,42 +147,40 @@ def _matches(min_words: int, seed: int, held: int):
             return np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
 
         r, l = run_length(behind), run_length(before)
-        hit = same & (r + l >= min_words)
-        starts, ends = [], []
-        for offset in (0, 1):  # a match is a span of both neighbours
-            i = np.flatnonzero(hit) + offset
-            starts.append(np.stack([i, word[i] - l[i - offset]]))
-            ends.append(word[i] + r[i - offset])
-        edges = np.flatnonzero(np.concatenate([[True], ~same])) if n else np.empty(0, np.int64)
+        hit = np.flatnonzero(same & (r + l >= min_words))
+        index = np.concatenate([hit, hit + 1])  # a match is a span of both neighbours
+        at, stop = word[index] - np.tile(l[hit], 2), word[index] + np.tile(r[hit], 2)
+        edges = np.flatnonzero(np.concatenate([[True], ~same]))
         sizes = np.diff(np.append(edges, n))
-        many = np.flatnonzero(np.repeat(sizes > 2, sizes))
-        group = np.repeat(np.arange(len(edges)), sizes)
+        many = np.flatnonzero(np.repeat((sizes > 2) | parted, sizes))
         if len(many):
+            group = np.repeat(np.arange(len(edges)), sizes)[many].astype(np.uint64)
             hashes = window_hashes(context[many])
-            keys = mix(hashes ^ (group[many].astype(np.uint64)[:, None] * factors[0]))
             row, start = np.nonzero(hashes)
-            i = many[row]
-            at, code = word[i] - left + start, doc.dictionary_encode().indices.fill_null(-1).to_numpy()[i]
+            i, key = many[row], hashes[row, start]
+            mine, place = mix(key ^ (group[row] * factors[0])), word[i] - left + start
             # Suffixes that stand in one window of one document are one occurrence of it.
-            once = np.unique(np.stack([keys[row, start].view(np.int64), code.astype(np.int64), at]), axis=1, return_index=True)[1]
-            i, at, key = i[once], at[once], keys[row, start][once]
-            _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
-            i, at = i[counts[inverse] > 1], at[counts[inverse] > 1]
-            starts.append(np.stack([i, at]))
-            ends.append(at + min_words)
-        index, at = np.concatenate(starts, axis=1)
-        stop = np.concatenate(ends)
-        keep = np.unique(np.stack([index, at, stop]), axis=1) if len(index) else np.empty((3, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([doc.take(pa.array(keep[0])), pa.array(keep[1].astype(np.int32)), pa.array(keep[2].astype(np.int32)), pa.nulls(keep.shape[1], pa.int64())], names=["doc_id", "start", "stop", "key"])
-
-    def open_windows(rows: list) -> Iterator[pa.RecordBatch]:
-        """All windows of suffixes of a seed that is too frequent to hold."""
-        doc, word, _, context = rows
-        for lo in range(0, len(word), 2048):
-            hashes = window_hashes(context[lo : lo + 2048])
-            row, start = np.nonzero(hashes)
-            at = word[lo + row] - left + start
-            yield pa.RecordBatch.from_arrays([doc.take(pa.array(lo + row)), pa.array(at.astype(np.int32)), pa.array((at + min_words).astype(np.int32)), long_array(hashes[row, start])], names=["doc_id", "start", "stop", "key"])
+            once = np.unique(np.stack([mine.view(np.int64), code[i], place]), axis=1, return_index=True)[1]
+            i, place, key = i[once], place[once], key[once]
+            _, first, inverse, counts = np.unique(mine[once], return_index=True, return_inverse=True, return_counts=True)
+            again = counts[inverse] > 1
+            index, at, stop = np.concatenate([index, i[again]]), np.concatenate([at, place[again]]), np.concatenate([stop, place[again] + min_words])
+            if parted:
+                for lo in range(0, len(first), 50_000):
+                    j = first[lo : lo + 50_000]
+                    yield spans(doc, i[j], place[j], place[j] + min_words, long_array(key[j]))
+        if len(index):
+            order = np.lexsort((at, code[index]))
+            index, at, stop = index[order], at[order], stop[order]
+            # Spans that overlap or touch become one; documents are kept apart by an offset larger than any place.
+            offset = (code[index] + 1) * (int(stop.max()) + min_words + 2)
+            upto = np.maximum.accumulate(stop + offset)
+            new = np.flatnonzero(np.concatenate([[True], (at + offset)[1:] > upto[:-1]]))
+            ends = upto[np.append(new[1:] - 1, len(upto) - 1)] - offset[new]
+            yield spans(doc, index[new], at[new], ends, pa.nulls(len(new), pa.int64()))
+
+    def spans(doc: pa.Array, index: np.ndarray, start: np.ndarray, stop: np.ndarray, key: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([doc.take(pa.array(index)), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), key], names=["doc_id", "start", "stop", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry, frequent = None, None
@@ -191,20 +195,20 @@ def _matches(min_words: int, seed: int, held: int):
             cut = lambda a, b: [rows[0].slice(a, b - a), *(r[a:b] for r in rows[1:])]
             first = int(np.searchsorted(seeds, seeds[0], "right")) if seeds[0] == frequent else 0
             if first:
-                yield from open_windows(cut(0, first))
+                yield from block(cut(0, first), True)
             last = int(np.searchsorted(seeds, seeds[-1], "left"))
             carry = None
             if last < first:
                 continue
             if last > first:
-                yield from whole(cut(first, last))
+                yield from block(cut(first, last), False)
             if len(seeds) - last > held:
                 frequent = seeds[-1]
-                yield from open_windows(cut(last, len(seeds)))
+                yield from block(cut(last, len(seeds)), True)
             else:
                 frequent, carry = None, cut(last, len(seeds))
         if carry is not None:
-            yield from whole(carry)
+            yield from block(carry, False)
 
     return run
 
@@ -223,9 +227,11 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, seed: int = SEED
     if not 0 < seed <= min_words:
         raise ValueError("a seed has at least one word and at most min_words")
     spark = docs.sparkSession
-    seeds = docs.select("doc_id", "text").mapInArrow(_seed_rows(seed, window, min_words), "doc_id long, word int, seed long")
+    seeds = docs.select("doc_id", "text").mapInArrow(_seed_rows(seed, window, min_words), "doc_id long, word int, seed long, known boolean")
     beside = Window.partitionBy("seed").orderBy("doc_id", "word")
-    kept = seeds.withColumn("again", F.lag("word").over(beside).isNotNull() | F.lead("word").over(beside).isNotNull()).where("again")
+    seeds = stored(spark, seeds, "seeds")
+    kept = seeds.where("NOT known").withColumn("again", F.lag("word").over(beside).isNotNull() | F.lead("word").over(beside).isNotNull()).where("again")
+    kept = kept.select("doc_id", "word").unionByName(seeds.where("known").select("doc_id", "word"))
     places = stored(spark, kept.groupBy("doc_id").agg(F.array_sort(F.collect_set("word")).alias("places")), "places")
     on = docs.select(F.col("doc_id").alias("id"), "text").join(small_side(places, 100), F.col("id").eqNullSafe(F.col("doc_id")))
     suffixes = on.select("doc_id", "text", "places").mapInArrow(_suffix_rows(min_words, seed), "doc_id long, word int, seed long, context binary")

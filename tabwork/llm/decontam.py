@@ -14,6 +14,7 @@ through ``decontaminate`` untouched and are ignored by ``contamination``.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,9 +140,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, spans: bool = False, **
     marked = contamination(docs.select(F.struct("*").alias("row"), "text"), benchmark, keep=("row",), **how)
     if not spans:
         return marked.where(~F.col("contaminated")).select("row.*")
-    lowered = F.lower(F.coalesce("row.text", F.lit("")))
+    lowered = F.translate(F.coalesce("row.text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
     pieces = F.filter(F.split(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda x: x != "")
-    inside = lambda i: F.exists(F.sequence(F.lit(0), F.size("hit_spans") / 2 - 1), lambda k: (F.col("hit_spans")[k * 2] <= i) & (i < F.col("hit_spans")[k * 2 + 1]))
+    inside = lambda i: F.exists(F.sequence(F.lit(0), F.floor(F.size("hit_spans") / 2).cast("int") - 1), lambda k: (F.col("hit_spans")[k * 2] <= i) & (i < F.col("hit_spans")[k * 2 + 1]))
     rest = F.array_join(F.filter(pieces, lambda x, i: ~inside(i)), " ")
     return marked.withColumn("text", F.when(F.col("contaminated"), rest).otherwise(F.col("row.text"))).select(
         *[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]

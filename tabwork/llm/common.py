@@ -24,12 +24,14 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast if its counted rows fit the limit; else as it is, for a shuffled join.
+def small_side(df: DataFrame, row_bytes: int, more: Column | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its rows fit the limit; else as it is, for a shuffled join.
 
-    ``df`` should be stored or cheap, as it is counted here.
+    ``row_bytes`` is the width of the columns of fixed width, ``more`` the bytes that texts and arrays of a row take
+    besides; it must be given where there are any. ``df`` should be stored or cheap, as it is summed here.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    each = F.lit(row_bytes) if more is None else row_bytes + F.coalesce(more, F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(each.cast("long"))).first()[0] or 0) <= limit else df
 
 
 def fold(column: str, parts: int) -> Column:

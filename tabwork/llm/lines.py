@@ -11,7 +11,8 @@ another one there go on, with the half in which the edit must lie. They emit the
 variants with one character of that half deleted, as hashed keys, and equal variants are joined: a
 replaced character shows as the same variant with the same deleted place, an inserted one as a
 variant equal to a whole line. Lines that meet an earlier one are verified by the edit distance
-of the texts. Every group is read in a stream, so no group is held, whatever its size.
+of the texts. Every group is read in a stream, so no group is held, whatever its size. Texts are joined
+as single lines, by (doc_id, line); a side of a join is broadcast only if its bytes, texts counted in full, are few.
 
 Defined results: NULL text stays NULL and empty text stays empty; in rows that share a document
 id, lines of equal number and text stay in each; rows with NULL ids are untouched and
@@ -34,6 +35,8 @@ from tabwork.llm.text import constants, mix, powers, span_hashes
 MIN_CHARS = 20
 _SECOND = constants(256, 501)
 _SALT = constants(4, 502)
+#: Variants of lines that are put together for one batch.
+_MOST = 100_000
 _SPACES = np.isin(np.arange(256), [9, 11, 12, 13, 32])
 
 
@@ -107,23 +110,20 @@ def _line_variants(text: str, prefix: bool, suffix: bool) -> tuple[np.ndarray, n
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Variants of the lines (doc_id, line, prefix, suffix, text), given out whenever there are ``_MOST`` of them."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, 200):
-            part, keys, checks, places, docs, numbers = batch.slice(lo, 200), [], [], [], [], []
-            for doc, text, wanted in zip(part.column(0), part.column(1), part.column(2)):
-                split = text.as_py().split("\n")
-                for w in wanted.as_py():
-                    line = split[w["line"]] if w["line"] < len(split) else ""
-                    if not line:
-                        continue
-                    k, c, at = _line_variants(line, w["prefix"], w["suffix"])
-                    for column, found in zip((keys, checks, places, docs, numbers), (k, c, at, np.full(len(k), doc.as_py()), np.full(len(k), w["line"]))):
-                        column.append(found)
-            if keys:
-                columns = [np.concatenate(x) for x in (keys, checks, places, docs, numbers)]
+        parts, n = [], 0
+        rows = zip(*(batch.column(i) for i in range(5)))
+        for i, (doc, number, prefix, suffix, text) in enumerate(rows):
+            k, c, at = _line_variants(text.as_py(), prefix.as_py(), suffix.as_py())
+            parts.append((k, c, at, np.full(len(k), doc.as_py()), np.full(len(k), number.as_py())))
+            n += len(k)
+            if n >= _MOST or i == batch.num_rows - 1:
+                columns = [np.concatenate(x) for x in zip(*parts)]
                 yield pa.RecordBatch.from_arrays(
                     [long_array(columns[0]), long_array(columns[1]), pa.array(columns[2].astype(np.int32)), pa.array(columns[3].astype(np.int64)), pa.array(columns[4].astype(np.int32))],
                     names=["key", "check", "place", "doc_id", "line"])
+                parts, n = [], 0
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,12 +161,19 @@ def within_one_edit(a: str, b: str) -> bool:
     return a[at + (len(a) == len(b)) :] == b[at + 1 :]
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, as_doc: str, as_line: str, name: str) -> DataFrame:
-    """``wanted`` with the text of the line that two of its columns name."""
-    by = wanted.groupBy(F.col(as_doc).alias("doc_id")).agg(F.collect_list(F.struct("*")).alias("rows"))
-    joined = docs.select("doc_id", "text").join(small_side(stored(docs.sparkSession, by, "wanted"), 200), "doc_id")
-    split = joined.select(F.split("text", "\n", -1).alias("split"), "rows").select("split", F.explode("rows").alias("row"))
-    return split.select("row.*", F.get("split", F.col(f"row.{as_line}")).alias(name)).dropDuplicates(wanted.columns)
+def _line_texts(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
+    """``wanted`` with the text of the lines that (doc_id, line) name. Texts are cut into lines before the join, so no row is longer than a line."""
+    cut = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")).where(F.length("text") >= min_chars)
+    return cut.join(small_side(wanted, 64), ["doc_id", "line"]).select(*wanted.columns, "text")
+
+
+def _pair_texts(met: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``met`` with the texts of both lines: own and other. An earlier line that many meet is there once, whatever its length."""
+    by = ["by_doc", "by_line"]
+    text = texts.select(F.col("doc_id").alias("by_doc"), F.col("line").alias("by_line"), F.col("text").alias("other"))
+    others = stored(met.sparkSession, text.join(small_side(stored(met.sparkSession, met.select(*by).distinct(), "earlier"), 64), by).distinct(), "earlier-texts")
+    own = texts.select("doc_id", "line", F.col("text").alias("own")).join(small_side(met, 72), ["doc_id", "line"]).distinct()
+    return own.join(small_side(others, 64, F.octet_length("other")), by)
 
 
 def first_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -181,12 +188,11 @@ def first_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     beside = Window.partitionBy("half.key").orderBy("h1")
     halves = halves.withColumn("shared", F.lag("h1").over(beside).isNotNull() | F.lead("h1").over(beside).isNotNull()).where("shared")
     near = halves.groupBy("doc_id", "line").agg(F.max("half.prefix").alias("prefix"), F.max(~F.col("half.prefix")).alias("suffix"))
-    wanted = near.groupBy("doc_id").agg(F.collect_list(F.struct("line", "prefix", "suffix")).alias("wanted"))
-    texts = usable.select("doc_id", "text").join(small_side(stored(spark, wanted, "wanted"), 200), "doc_id").select("doc_id", "text", "wanted")
+    texts = stored(spark, _line_texts(usable, stored(spark, near, "wanted"), min_chars), "line-texts")
     variants = texts.mapInArrow(_variants, "key long, check long, place int, doc_id long, line int")
     met = variants.repartition("key").sortWithinPartitions("key", "check", "place", "doc_id", "line").mapInArrow(_meet, "doc_id long, line int, by_doc long, by_line int")
     met = stored(spark, met.distinct(), "met")
-    both = _texts(usable, _texts(usable, met, "doc_id", "line", "own"), "by_doc", "by_line", "other")
+    both = _pair_texts(met, texts)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -233,7 +233,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, seed: int = SEED
     kept = seeds.where("NOT known").withColumn("again", F.lag("word").over(beside).isNotNull() | F.lead("word").over(beside).isNotNull()).where("again")
     kept = kept.select("doc_id", "word").unionByName(seeds.where("known").select("doc_id", "word"))
     places = stored(spark, kept.groupBy("doc_id").agg(F.array_sort(F.collect_set("word")).alias("places")), "places")
-    on = docs.select(F.col("doc_id").alias("id"), "text").join(small_side(places, 100), F.col("id").eqNullSafe(F.col("doc_id")))
+    on = docs.select(F.col("doc_id").alias("id"), "text").join(small_side(places, 100, 5 * F.size("places")), F.col("id").eqNullSafe(F.col("doc_id")))
     suffixes = on.select("doc_id", "text", "places").mapInArrow(_suffix_rows(min_words, seed), "doc_id long, word int, seed long, context binary")
     ordered = suffixes.repartition("seed").sortWithinPartitions("seed", "context")
     found = stored(spark, ordered.mapInArrow(_matches(min_words, seed, held), "doc_id long, start int, stop int, key long"), "spans")

@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tabwork.llm import chat, decontam, jaccard, langid, lines, pieces, quality, suffix, voronoi, warc
+from tabwork.llm import chat, common, decontam, jaccard, langid, lines, pieces, quality, suffix, voronoi, warc
 from tabwork.llm.queries import ORACLE, QUERIES
 from tests.oracle import connect, differences
 
@@ -202,3 +202,26 @@ def test_language_held_out_accuracy(spark, awkward):
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95
     found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(awkward, model).collect()}
     assert found[1] == found[2] == found[3] == "und" and found[4] in model.names
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_line_texts_are_joined_as_single_lines(spark):
+    long = "x" * 30_000
+    rows = [(0, long)] + [(i, long[:i] + "y" + long[i + 1 :]) for i in range(1, 40)]
+    docs = spark.createDataFrame([*rows, (50, "z" * 30), (50, "w" * 30), (51, "w" * 29 + "v"), (52, "z" * 29)], "doc_id long, text string")
+    met = spark.createDataFrame([(i, 0, 0, 0) for i in range(1, 40)], "doc_id long, line int, by_doc long, by_line int")
+    wanted = spark.createDataFrame([(i, 0) for i in range(40)], "doc_id long, line int")
+    both = lines._pair_texts(met, lines._line_texts(docs, wanted, 20))
+    assert "collect_list" not in _plan(both) and both.count() == 39
+    kept = {r["doc_id"] for r in lines.dedup_lines(docs).where("text <> ''").collect()}
+    assert kept == {0, 50}
+
+
+def test_broadcast_counts_the_bytes_of_texts_and_arrays(spark):
+    few = spark.createDataFrame([(1, "x" * 5000, [1] * 5000)], "doc_id long, text string, places array<int>")
+    marked = lambda df: "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+    assert marked(common.small_side(few, 8, F.octet_length("text"), limit=6000)) and not marked(common.small_side(few, 8, F.octet_length("text"), limit=4000))
+    assert not marked(common.small_side(few, 8, 5 * F.size("places"), limit=20_000))

@@ -42,6 +42,10 @@ def anova_three_groups(spark, sf):
     return _round(df, f=7, p=7)
 
 
+def anova_many_groups(spark, sf):
+    return _round(anova(table(spark, sf, "lineitem"), "l_quantity", "l_partkey"), f=7, p=7)
+
+
 def anova_over_quartiles(spark, sf):
     df = qcut(derive(spark, sf, ORDERS_MASKED), "price", 4, "cell").withColumn("bin", F.col("cell.bin"))
     return _round(anova(df, "grade", "bin").select("dof_between", "dof_within", "f"), f=7)
@@ -78,7 +82,7 @@ def ttest_by_group_vs_overall(spark, sf):
 
 QUERIES = {
     f.__name__: f for f in (
-        ttest_two_sample, ttest_significant, anova_oneway, anova_three_groups, anova_over_quartiles, chi2_independence,
+        ttest_two_sample, ttest_significant, anova_oneway, anova_three_groups, anova_many_groups, anova_over_quartiles, chi2_independence,
         chi2_two_by_two, chi2_quality_by_toxic, chi2_expected, pearson_whole, pearson_by_group, ttest_by_group_vs_overall,
     )
 }
@@ -128,6 +132,13 @@ p AS (SELECT *, {p} AS p FROM (SELECT *, d2 / (d2 + d1 * f) AS z, d2 / 2e0 AS b
 SELECT d1 AS dof_between, d2 AS dof_within, {sql_rd('f', 7)} AS f, {sql_rd('p', 7)} AS p, p < 0.05 AS reject FROM p"""
 
 
+def _f_p(f):
+    """Simpson integration of the density; for more than a few degrees of freedom, as it must be finite at 0."""
+    scale = "lgamma((d1 + d2) / 2e0) - lgamma(d1 / 2e0) - lgamma(d2 / 2e0) + d1 / 2e0 * ln(d1 / CAST(d2 AS DOUBLE))"
+    u = "greatest({u}, 1e-9)"
+    return f"(1 - {_simpson(f'exp({scale} + (d1 / 2e0 - 1) * ln({u}) - (d1 + d2) / 2e0 * ln(1 + d1 * {u} / d2))', f)})"
+
+
 def _cells(source, a, b):
     return f"""
 WITH d AS (SELECT {a} AS a, {b} AS b FROM ({source}) WHERE {a} IS NOT NULL AND {b} IS NOT NULL),
@@ -160,6 +171,7 @@ ORACLE = {
     "ttest_significant": _ttest(_EVENTS, "value", "event_type", "click", "signup", 6),
     "anova_oneway": _anova("SELECT * FROM orders", "o_totalprice", "o_orderpriority", "pow(z, b) * (1 + b * (1 - z))"),
     "anova_three_groups": _anova(_WEB, "value", "event_type", "pow(z, b)"),
+    "anova_many_groups": _anova("SELECT * FROM lineitem", "l_quantity", "l_partkey", _f_p("f")),
     "anova_over_quartiles": _f(
         f"SELECT grade, {_BIN.format('price')} AS bin FROM ({_ORDERS}), ({_EDGES.format('price', _ORDERS)})", "grade", "bin"
     ) + f" SELECT d1 AS dof_between, d2 AS dof_within, {sql_rd('f', 7)} AS f FROM f",

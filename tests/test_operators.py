@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabwork.functions.columns import as_categorical, drop_columns, one_hot
 from tabwork.functions.missing import differs, excess_over, normalize_missing, not_true
 from tabwork.functions.normal import normal_cdf, normal_ppf
+from tabwork.functions import pvalues
 from tabwork.functions.pvalues import chi2_tail_array, f_tail_array, t_two_sided_array
 from tabwork.operators.bins import qcut
 from tabwork.operators.cluster import compare_scaling, elbow, inertia, kmeans_fit
@@ -275,3 +276,32 @@ def test_jdbc_options():
     assert parallel["numPartitions"] == "3" and parallel["dbtable"] == "t"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x")
+
+
+def _f_tail_by_sums(f, d1, d2):
+    """P(F > f) by trapezoids of the density in log f."""
+    u = np.linspace(np.log(f), np.log(f) + 60 / np.sqrt(min(d1, d2)), 200_001)
+    a, b = d2 / 2, d1 / 2
+    density = np.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + b * (u + np.log(b / a)) - (a + b) * np.log1p(b / a * np.exp(u)))
+    return float(np.trapezoid(density, u))
+
+
+def test_f_tail_of_many_groups():
+    for f, d1, d2 in [(1.001, 500_000, 1_500_000), (1.0005, 1_000_000, 5_000_000), (0.999, 100_000, 2_000_000), (1.03, 5_000, 1_100_000), (1.02, 1999, 58_000)]:
+        assert abs(f_tail_array([f], [d1], [d2])[0] - _f_tail_by_sums(f, d1, d2)) < 1e-7
+    # Both sides of the former limit, and the normal limit of t
+    assert np.allclose(f_tail_array([1.01] * 2, [20_000] * 2, [999_990, 1_000_010]), _f_tail_by_sums(1.01, 20_000, 1e6), atol=1e-6)
+    assert np.allclose(t_two_sided_array([1.9599639845], [1e12]), 0.05, atol=1e-9)
+    assert np.allclose(f_tail_array([9.0], [1], [1e15]), math.erfc(3 / math.sqrt(2)), rtol=1e-9)
+
+
+def test_p_values_without_convergence_are_missing(monkeypatch):
+    monkeypatch.setattr(pvalues, "_MAX_STEPS", 3)
+    assert np.isnan(f_tail_array([1.001], [500_000], [1_500_000])).all()
+    assert np.isnan(chi2_tail_array([1e5 - 10, 1e5 + 10], [1e5, 1e5])).all()
+
+
+def test_f_tail_of_a_million_groups():
+    for f, d1, d2, p in [(1.001, 1e6, 1.2e6, 0.3008), (1.002, 1e5, 2e6, 0.3309), (1.001, 1e6, 9e6, None)]:
+        found = f_tail_array([f], [d1], [d2])[0]
+        assert abs(found - _f_tail_by_sums(f, d1, d2)) < 1e-6 and (p is None or abs(found - p) < 1e-4)

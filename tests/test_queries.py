@@ -31,3 +31,8 @@ def test_query_matches_sql(spark, con, name):
 def test_every_check_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLE) == {"kmeans_elbow", "kmeans_scaled_vs_raw", "kmeans_scaled_vs_raw_labels", "customer_clusters"}
+
+
+def test_anova_over_many_groups(spark):
+    sf = "/root/testdata/sf0.01"
+    assert differences(QUERIES["anova_many_groups"](spark, sf), connect(sf), ORACLE["anova_many_groups"]) is None

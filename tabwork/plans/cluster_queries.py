@@ -43,7 +43,7 @@ def kmeans_by_class(spark, sf):
 
 def kmeans_fit_planted(spark, sf):
     """Centroids of the fitted clustering, by their order along u."""
-    fit = kmeans_fit(derive(spark, sf, PLANTED), ["u", "v"], 5, restarts=5)
+    fit = kmeans_fit(derive(spark, sf, PLANTED), ["u", "v"], 5)
     found = centroid_table(spark, sorted(fit.centroids), ["u", "v"])
     return found.select("cluster", rd("u", 6).alias("u"), rd("v", 6).alias("v"))
 
@@ -52,33 +52,33 @@ def kmeans_fit_labels(spark, sf):
     """Planted group against fitted cluster: one cluster each, whatever its number."""
     df = derive(spark, sf, PLANTED)
     scaled = Scaler(kind="minmax", cols=["u", "v"]).fit(df).transform(df)
-    pairs = crosstab(kmeans_fit(scaled, ["u", "v"], 5, restarts=5).label(scaled), "planted", "cluster")
+    pairs = crosstab(kmeans_fit(scaled, ["u", "v"], 5).label(scaled), "planted", "cluster")
     return pairs.groupBy("planted").agg(F.count(F.lit(1)).alias("clusters"), F.sum("n").alias("n"))
 
 
 def kmeans_elbow_planted(spark, sf):
     """Inertia at the two numbers of clusters whose best value is known."""
-    df = elbow(derive(spark, sf, PLANTED), ["u", "v"], [1, 5], restarts=5)
+    df = elbow(derive(spark, sf, PLANTED), ["u", "v"], [1, 5])
     return df.select("k", rd("inertia", 3).alias("inertia"))
 
 
 def kmeans_elbow(spark, sf):
-    return elbow(table(spark, sf, "customer"), COLS, range(1, 12), restarts=2)
+    return elbow(table(spark, sf, "customer"), COLS, range(1, 12))
 
 
 def kmeans_scaled_vs_raw(spark, sf):
-    means, _ = compare_scaling(table(spark, sf, "customer"), COLS, 4, restarts=2)
+    means, _ = compare_scaling(table(spark, sf, "customer"), COLS, 4)
     return means
 
 
 def kmeans_scaled_vs_raw_labels(spark, sf):
-    _, pairs = compare_scaling(table(spark, sf, "customer"), COLS, 4, restarts=2)
+    _, pairs = compare_scaling(table(spark, sf, "customer"), COLS, 4)
     return pairs
 
 
 def customer_clusters(spark, sf):
     df = prepare_customers(derive(spark, sf, SHOPPERS))
-    _, _, labelled = cluster_customers(df, k=4, restarts=2)
+    _, _, labelled = cluster_customers(df, k=4)
     return profile(labelled, cols=["age", "annual_income", "spending_score", "is_male"])
 
 

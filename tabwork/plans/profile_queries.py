@@ -41,6 +41,17 @@ def describe_approximate(spark, sf):
     return _rounded(describe(table(spark, sf, "lineitem"), NUMBERS, exact=False).drop("q25", "q50", "q75"))
 
 
+def describe_approximate_quartiles(spark, sf):
+    """The sketched quartiles, by whether each has its rank within 1 % of the rows."""
+    df = table(spark, sf, "lineitem")
+    rows = describe(df, NUMBERS, exact=False).select("column", F.explode(F.array(*[F.struct(F.lit(n).alias("quartile"), F.col(f"q{n}").alias("value")) for n in (25, 50, 75)])).alias("q"))
+    asked = rows.select("column", "q.*").collect()
+    near = lambda r: ((F.avg((F.col(r["column"]) < r["value"]).cast("double")) <= r["quartile"] / 100 + 0.01)
+                      & (F.avg((F.col(r["column"]) <= r["value"]).cast("double")) >= r["quartile"] / 100 - 0.01))
+    cells = [F.struct(F.lit(r["column"]).alias("column"), F.lit(r["quartile"]).alias("quartile"), near(r).alias("near")) for r in asked]
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
 def value_counts_one(spark, sf):
     return top_values(derive(spark, sf, ORDERS_MASKED), "status")
 
@@ -147,7 +158,7 @@ def qcut_one_bin(spark, sf):
 
 QUERIES = {
     f.__name__: f for f in (
-        table_info_masked, describe_numeric, describe_masked, describe_by_group, describe_approximate, value_counts_one,
+        table_info_masked, describe_numeric, describe_masked, describe_by_group, describe_approximate, describe_approximate_quartiles, value_counts_one,
         value_counts_all, column_mean, filtered_means, group_means_one_key, group_two_keys, group_sizes_two_keys,
         group_means_all_numeric, crosstab_long, crosstab_wide, quantiles_exact, quantiles_by_cells, quantiles_by_group,
         quantiles_by_group_cells, simpson_reversal, upper_outliers_columns, outliers_masked, outlier_summary_columns,
@@ -209,6 +220,7 @@ ORACLE = {
     "describe_numeric": _describe_sql("SELECT * FROM lineitem", NUMBERS),
     "describe_masked": _describe_sql(_ORDERS, ["price", "grade"]),
     "describe_by_group": _describe_sql("SELECT * FROM events", ["value"], by="event_type"),
+    "describe_approximate_quartiles": "SELECT * FROM (VALUES " + ", ".join(f"('{c}', {q}, true)" for c in NUMBERS for q in (25, 50, 75)) + ") v(\"column\", quartile, near)",
     "describe_approximate": _describe_sql("SELECT * FROM lineitem", NUMBERS, quartiles=False),
     "value_counts_one": f"SELECT status AS value, count(*) AS count FROM ({_ORDERS}) WHERE status IS NOT NULL GROUP BY 1",
     "value_counts_all": " UNION ALL ".join(

@@ -46,9 +46,18 @@ def anova_many_groups(spark, sf):
     return _round(anova(table(spark, sf, "lineitem"), "l_quantity", "l_partkey"), f=7, p=7)
 
 
-def anova_over_quartiles(spark, sf):
+def _over_quartiles(spark, sf):
     df = qcut(derive(spark, sf, ORDERS_MASKED), "price", 4, "cell").withColumn("bin", F.col("cell.bin"))
-    return _round(anova(df, "grade", "bin").select("dof_between", "dof_within", "f"), f=7)
+    return _round(anova(df, "grade", "bin"), f=7, p=7)
+
+
+def anova_over_quartiles(spark, sf):
+    """Its SQL check has no p; ``anova_over_quartiles_p`` is the whole row."""
+    return _over_quartiles(spark, sf).select("dof_between", "dof_within", "f")
+
+
+def anova_over_quartiles_p(spark, sf):
+    return _over_quartiles(spark, sf)
 
 
 def chi2_independence(spark, sf):
@@ -82,7 +91,7 @@ def ttest_by_group_vs_overall(spark, sf):
 
 QUERIES = {
     f.__name__: f for f in (
-        ttest_two_sample, ttest_significant, anova_oneway, anova_three_groups, anova_many_groups, anova_over_quartiles, chi2_independence,
+        ttest_two_sample, ttest_significant, anova_oneway, anova_three_groups, anova_many_groups, anova_over_quartiles, anova_over_quartiles_p, chi2_independence,
         chi2_two_by_two, chi2_quality_by_toxic, chi2_expected, pearson_whole, pearson_by_group, ttest_by_group_vs_overall,
     )
 }
@@ -133,10 +142,10 @@ SELECT d1 AS dof_between, d2 AS dof_within, {sql_rd('f', 7)} AS f, {sql_rd('p',
 
 
 def _f_p(f):
-    """Simpson integration of the density; for more than a few degrees of freedom, as it must be finite at 0."""
+    """Simpson integration of the density, over the root of F as that is smooth at 0."""
     scale = "lgamma((d1 + d2) / 2e0) - lgamma(d1 / 2e0) - lgamma(d2 / 2e0) + d1 / 2e0 * ln(d1 / CAST(d2 AS DOUBLE))"
-    u = "greatest({u}, 1e-9)"
-    return f"(1 - {_simpson(f'exp({scale} + (d1 / 2e0 - 1) * ln({u}) - (d1 + d2) / 2e0 * ln(1 + d1 * {u} / d2))', f)})"
+    u = "greatest({u} * {u}, 1e-9)"
+    return f"(1 - {_simpson(f'2 * {{u}} * exp({scale} + (d1 / 2e0 - 1) * ln({u}) - (d1 + d2) / 2e0 * ln(1 + d1 * {u} / d2))', f'sqrt({f})', 4000)})"
 
 
 def _cells(source, a, b):
@@ -175,6 +184,8 @@ ORACLE = {
     "anova_over_quartiles": _f(
         f"SELECT grade, {_BIN.format('price')} AS bin FROM ({_ORDERS}), ({_EDGES.format('price', _ORDERS)})", "grade", "bin"
     ) + f" SELECT d1 AS dof_between, d2 AS dof_within, {sql_rd('f', 7)} AS f FROM f",
+    "anova_over_quartiles_p": _anova(
+        f"SELECT grade, {_BIN.format('price')} AS bin FROM ({_ORDERS}), ({_EDGES.format('price', _ORDERS)})", "grade", "bin", _f_p("f")),
     "chi2_independence": _chi2("SELECT * FROM orders", "o_orderstatus", "o_orderpriority", 8, _PLAIN, _CHI8, 7),
     "chi2_two_by_two": _chi2(_EVENTS, "channel", "size", 1, _YATES, _normal_p("sqrt(chi2)"), 6),
     "chi2_quality_by_toxic": _chi2(_DOCS, "quality", "toxic", 1, _YATES, _normal_p("sqrt(chi2)"), 7),

@@ -1,5 +1,6 @@
 """Registered queries against their SQL checks. TABWORK_ALL=1 takes every query, the default a spread of them."""
 
+import inspect
 import os
 
 import pytest
@@ -36,3 +37,13 @@ def test_every_check_has_a_query():
 def test_anova_over_many_groups(spark):
     sf = "/root/testdata/sf0.01"
     assert differences(QUERIES["anova_many_groups"](spark, sf), connect(sf), ORACLE["anova_many_groups"]) is None
+
+
+@pytest.mark.parametrize("name", ["anova_over_quartiles_p", "describe_approximate_quartiles", "kmeans_fit_planted", "kmeans_elbow_planted"])
+def test_whole_results_match_sql(spark, con, name):
+    assert differences(QUERIES[name](spark, SF), con, ORACLE[name]) is None
+
+
+@pytest.mark.parametrize("name", ["kmeans_elbow", "kmeans_scaled_vs_raw", "customer_clusters", "kmeans_fit_planted"])
+def test_queries_fit_with_all_restarts(name):
+    assert "restarts" not in inspect.getsource(QUERIES[name])

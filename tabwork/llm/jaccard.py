@@ -14,14 +14,16 @@ c(n, m) = ceil(t * (n + m) / (1 + t)) of them. Nodes meet in lists:
 * A list of more than ``light`` nodes is heavy, and so is that of a frequent shingle: it is not scanned, its nodes are listed anew. Shingles
   are dealt by hash into more parts than two linked sets can differ in, so two linked sets agree
   in all shingles of one part at least; a node lists itself under each of its parts. A frequent
-  shingle alone brings nobody together there.
+  shingle alone brings nobody together there. Sets that are dealt only for their frequent shingles have listed all others, so if
+  they meet in no list they share frequent shingles at most: two of them are compared only if each has c(n, m) frequent ones.
 
 Before the sets of a pair are fetched, bitmaps are compared: each set has a bitmap of the parities of its
 hashed shingles, and two of them differ in no more bits than the sets differ in shingles.
 
 Lists are read in two rounds. First each node is compared with one node of its list; then
 nodes of one list that are not yet in one component are compared in all pairs. Only pairs that
-could not change a component are left out, so components are exact. Shingles are 64-bit hashes;
+could not change a component are left out, so components are exact. The lists of parts have no bound on their
+length: sets that have enough frequent shingles, agree in a part and do not link are still compared in all pairs. Shingles are 64-bit hashes;
 sets are compared by them in full.
 
 Defined results: NULL and empty texts, and texts without words, have an empty set and are linked
@@ -57,7 +59,7 @@ FREQUENT, FEWEST = 0.0005, 5
 #: Frequent shingles that are put last, and so sent to the tasks, at most.
 MOST_FREQUENT = 1_000_000
 _SALT = constants(4, 99)
-_MARK, _ENTRY, _FLAG = 0, 1, 2
+_MARK, _ENTRY, _FLAG, _COMMON = 0, 1, 2, 3
 #: Bits of the bitmap of a set.
 BITS = 2048
 
@@ -158,7 +160,7 @@ def _subset_keys(tokens: np.ndarray, boundary: int) -> list[int]:
 def _entries(boundary: int, light: int, frequent):
     """Entries (key, node, n, kind) of each batch. A key with more than ``light`` nodes in one batch is sent as a mark, its nodes as flags.
 
-    ``frequent`` is the broadcast sorted array of frequent shingles, whose nodes are flagged as well.
+    ``frequent`` is the broadcast sorted array of frequent shingles, whose nodes are flagged as well, as another kind.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,10 +198,12 @@ def _entries(boundary: int, light: int, frequent):
             lengths = np.diff(np.append(edges, len(key)))
             heavy = np.repeat(lengths > light, lengths)
             marks = key[edges[lengths > light]]
-            flags, index = np.unique(np.concatenate([node[heavy], *(f for f, _ in flagged)]), return_index=True)
+            flags, index = np.unique(node[heavy], return_index=True)
+            common, which = np.unique(np.concatenate([f for f, _ in flagged]), return_index=True)
             parts = [
                 (key[~heavy], node[~heavy], size[~heavy], _ENTRY), (marks, np.zeros(len(marks), np.uint64), np.zeros(len(marks), np.int64), _MARK),
-                (mix(flags), flags, np.concatenate([size[heavy], *(z for _, z in flagged)])[index], _FLAG),
+                (mix(flags), flags, size[heavy][index], _FLAG),
+                (mix(common), common, np.concatenate([z for _, z in flagged])[which], _COMMON),
             ]
             for k, nd, sz, kind in parts:
                 for lo in range(0, len(k), 50_000):
@@ -221,10 +225,10 @@ def _scan(light: int):
             edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             lengths = np.diff(np.append(edges, len(key)))
             heavy = (lengths > light) | (kind[edges] == _MARK) | ((key[edges] == heavy_key) if heavy_key is not None else False)
-            flagged = (np.repeat(heavy, lengths) & (kind == _ENTRY)) | (kind == _FLAG)
+            flagged = (np.repeat(heavy, lengths) & (kind == _ENTRY)) | (kind >= _FLAG)
             listed = np.repeat(~heavy & (lengths > 1), lengths) & (kind == _ENTRY)
             keep = flagged | listed
-            return pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep]), pa.array(n[keep].astype(np.int32)), pa.array(flagged[keep])], names=["key", "node", "n", "flagged"])
+            return pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep]), pa.array(n[keep].astype(np.int32)), pa.array(flagged[keep]), pa.array((flagged & (kind != _COMMON))[keep])], names=["key", "node", "n", "flagged", "heavy"])
 
         for batch in batches:
             rows = [np.concatenate([c, batch.column(x).to_numpy().astype(np.int64)]) for c, x in zip(carry, names)]
@@ -281,13 +285,22 @@ def _fetch(docs: DataFrame, nodes: DataFrame, known: DataFrame, body, schema: st
     return docs.select("doc_id", "text").join(small_side(ids, 8), "doc_id", "left_semi").select("text").mapInArrow(body, schema)
 
 
-def _part_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, values, starts, nodes in _sets_of(batch.column(0)):
-            keys = [_part_keys(values[a:b]) if b > a else np.empty(0, np.uint64) for a, b in zip(starts[:-1], starts[1:])]
-            times = np.array([len(k) for k in keys])
-            yield pa.RecordBatch.from_arrays(
-                [long_array(np.concatenate(keys)), long_array(np.repeat(nodes, times)), pa.array(np.repeat(np.diff(starts), times).astype(np.int32))], names=["key", "node", "n"])
+def _part_entries(frequent):
+    """Entries (key, node, n, common) of the parts; ``common`` is how many of the set's shingles are frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = frequent.value
+        for batch in batches:
+            for _, _, values, starts, nodes in _sets_of(batch.column(0)):
+                keys = [_part_keys(values[a:b]) if b > a else np.empty(0, np.uint64) for a, b in zip(starts[:-1], starts[1:])]
+                times = np.array([len(k) for k in keys])
+                known = np.concatenate([[0], np.cumsum(np.isin(values, often))])
+                common = known[starts[1:]] - known[starts[:-1]]
+                yield pa.RecordBatch.from_arrays(
+                    [long_array(np.concatenate(keys)), long_array(np.repeat(nodes, times)), *(pa.array(np.repeat(x, times).astype(np.int32)) for x in (np.diff(starts), common))],
+                    names=["key", "node", "n", "common"])
+
+    return run
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,13 +356,15 @@ def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, ligh
     often = np.sort(np.array([r["frequent"] for r in frequent.collect()], np.int64).view(np.uint64))
     sent = spark.sparkContext.broadcast(often)
     entries = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_entries(boundary, light, sent), "key long, node long, n int, kind byte")
-    scanned = entries.repartition("key").sortWithinPartitions("key", "kind", "node").mapInArrow(_scan(light), "key long, node long, n int, flagged boolean")
+    scanned = entries.repartition("key").sortWithinPartitions("key", "kind", "node").mapInArrow(_scan(light), "key long, node long, n int, flagged boolean, heavy boolean")
     scanned = stored(spark, scanned, "lists")
     heavy = scanned.where("flagged").select("node").distinct()
     beside = Window.partitionBy("key").orderBy("node")
-    parts = _fetch(docs, heavy, known, _part_entries, "key long, node long, n int")
-    parts = parts.withColumn("shared", F.lag("node").over(beside).isNotNull() | F.lead("node").over(beside).isNotNull()).where("shared").select("key", "node", "n")
-    lists = stored(spark, scanned.where("NOT flagged").select("key", "node", "n").unionByName(parts), "lists")
+    hot = stored(spark, scanned.where("heavy").select("node").distinct().withColumn("hot", F.lit(True)), "heavy")
+    parts = _fetch(docs, heavy, known, _part_entries(sent), "key long, node long, n int, common int")
+    parts = parts.withColumn("shared", F.lag("node").over(beside).isNotNull() | F.lead("node").over(beside).isNotNull()).where("shared")
+    parts = parts.join(small_side(hot, 64), "node", "left").select("key", "node", "n", F.when(F.col("hot"), F.col("n")).otherwise(F.col("common")).alias("common"))
+    lists = stored(spark, scanned.where("NOT flagged").select("key", "node", "n", F.col("n").alias("common")).unionByName(parts), "lists")
 
     pivots = lists.groupBy("key").agg(F.min(F.struct("node", "n")).alias("pivot")).select("key", F.col("pivot.node").alias("b"), F.col("pivot.n").alias("m"))
     tried = stored(spark, _ordered(lists.join(pivots, "key").where((F.col("node") != F.col("b")) & _fits("n", "m")).select(F.col("node").alias("a"), "b")), "pairs")
@@ -357,11 +372,15 @@ def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, ligh
     links = stored(spark, _verify(docs, known, tried, bitmaps), "verified")
 
     found = components(links)
-    placed = lists.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    placed = lists.join(found, "node", "left").select("key", "node", "n", "common", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     placed = stored(spark, placed.join(mixed, "key"), "mixed")
-    other = placed.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("beside"))
-    rest = placed.join(other, "key").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("beside")) & _fits("n", "m"))
+    other = placed.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("common").alias("most"), F.col("component").alias("beside"))
+    # First the sizes that can link, so that no row is made for nodes of other sizes.
+    sizes = placed.select("key", "n", "common").distinct()
+    able = sizes.join(sizes.select("key", F.col("n").alias("m"), F.col("common").alias("most")), "key")
+    able = able.where(_fits("n", "m") & ((TOP + BOTTOM) * F.least("common", "most") >= TOP * (F.col("n") + F.col("m"))))
+    rest = placed.join(able, ["key", "n", "common"]).join(other, ["key", "m", "most"]).where((F.col("node") < F.col("b")) & (F.col("component") != F.col("beside")))
     rest = rest.select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti")
     more = stored(spark, _verify(docs, known, rest, bitmaps), "verified")
     return found if more.isEmpty() else components(links.unionByName(more))

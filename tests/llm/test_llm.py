@@ -225,3 +225,12 @@ def test_broadcast_counts_the_bytes_of_texts_and_arrays(spark):
     marked = lambda df: "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
     assert marked(common.small_side(few, 8, F.octet_length("text"), limit=6000)) and not marked(common.small_side(few, 8, F.octet_length("text"), limit=4000))
     assert not marked(common.small_side(few, 8, 5 * F.size("places"), limit=20_000))
+
+
+def test_forms_with_own_words_are_not_compared_in_all_pairs(spark, monkeypatch):
+    form = " ".join(f"c{i}" for i in range(89))
+    texts = [form + "".join(f" o{i}x{j}" for j in range(15)) for i in range(60)]
+    pairs, verify = [], jaccard._verify
+    monkeypatch.setattr(jaccard, "_verify", lambda docs, known, found, bits: pairs.append(found.count()) or verify(docs, known, found, bits))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i for i in range(60)} and pairs[1] == 0

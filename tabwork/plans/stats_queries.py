@@ -18,6 +18,11 @@ SELECT event_id, user_id, CASE WHEN event_type = 'click' THEN value * 1.3e0 ELSE
        CASE WHEN event_type IN ('click', 'view') THEN 'web' ELSE 'other' END AS channel,
        CASE WHEN value > 35 + 5 * (event_id % 3) OR event_type = 'view' THEN 'big' ELSE 'small' END AS size FROM {events}"""
 
+ALIKE = "SELECT CAST(o_orderkey * 7919 % 1009 AS DOUBLE) AS noise, CAST(o_orderkey % 3 AS INT) AS third FROM {orders}"
+EXACT = """
+SELECT o_totalprice AS price, o_totalprice * 3 + 1 AS tripled, CASE WHEN o_orderkey % 2 = 0 THEN 'a' ELSE 'b' END AS side,
+       CASE WHEN o_orderkey % 2 = 0 THEN 0.1e0 ELSE 0.7e0 END AS level, 0.1e0 AS flat FROM {orders}"""
+
 
 def _round(df, **digits):
     return df.withColumns({c: rd(c, d) for c, d in digits.items()})
@@ -42,22 +47,29 @@ def anova_three_groups(spark, sf):
     return _round(df, f=7, p=7)
 
 
-def anova_many_groups(spark, sf):
-    return _round(anova(table(spark, sf, "lineitem"), "l_quantity", "l_partkey"), f=7, p=7)
+def anova_alike_groups(spark, sf):
+    """Three groups that are alike: F below 1."""
+    return _round(anova(derive(spark, sf, ALIKE), "noise", "third"), f=7, p=7)
 
 
-def _over_quartiles(spark, sf):
-    df = qcut(derive(spark, sf, ORDERS_MASKED), "price", 4, "cell").withColumn("bin", F.col("cell.bin"))
-    return _round(anova(df, "grade", "bin"), f=7, p=7)
+def tests_without_variance(spark, sf):
+    """Exact fits and constant samples: p is 0 where the groups differ, 1 where they do not."""
+    df = derive(spark, sf, EXACT)
+    line = pearson(df, "price", "tripled").select(F.lit("line").alias("test"), "p", "reject")
+    apart = ttest_ind(df, "level", "side", "a", "b").select(F.lit("apart").alias("test"), "p", "reject")
+    same = ttest_ind(df, "flat", "side", "a", "b").select(F.lit("same").alias("test"), "p", "reject")
+    groups = anova(df, "level", "side").select(F.lit("groups").alias("test"), "p", "reject")
+    equal = anova(df, "flat", "side").select(F.lit("equal").alias("test"), "p", "reject")
+    return line.unionByName(apart).unionByName(same).unionByName(groups).unionByName(equal)
 
 
-def anova_over_quartiles(spark, sf):
-    """Its SQL check has no p; ``anova_over_quartiles_p`` is the whole row."""
-    return _over_quartiles(spark, sf).select("dof_between", "dof_within", "f")
+def anova_many_groups(spark, sf):
+    return _round(anova(table(spark, sf, "lineitem"), "l_quantity", "l_partkey"), f=7, p=7)
 
 
-def anova_over_quartiles_p(spark, sf):
-    return _over_quartiles(spark, sf)
+def anova_over_quartiles(spark, sf):
+    df = qcut(derive(spark, sf, ORDERS_MASKED), "price", 4, "cell").withColumn("bin", F.col("cell.bin"))
+    return _round(anova(df, "grade", "bin"), f=7, p=7)
 
 
 def chi2_independence(spark, sf):
@@ -91,10 +103,10 @@ def ttest_by_group_vs_overall(spark, sf):
 
 QUERIES = {
     f.__name__: f for f in (
-        ttest_two_sample, ttest_significant, anova_oneway, anova_three_groups, anova_many_groups, anova_over_quartiles, anova_over_quartiles_p, chi2_independence,
+        ttest_two_sample, ttest_significant, anova_oneway, anova_three_groups, anova_alike_groups, tests_without_variance, anova_many_groups, anova_over_quartiles, chi2_independence,
         chi2_two_by_two, chi2_quality_by_toxic, chi2_expected, pearson_whole, pearson_by_group, ttest_by_group_vs_overall,
     )
-}
+} | {"anova_over_quartiles_p": anova_over_quartiles}  # the name it had while anova_over_quartiles left out p
 
 _ORDERS, _EVENTS, _DOCS = plain(ORDERS_MASKED), plain(SIGNIFICANT), plain(DOCS_LABELLED)
 
@@ -175,17 +187,21 @@ _PLAIN = "pow(observed - expected, 2) / expected"
 _YATES = "pow(greatest(abs(observed - expected) - 0.5e0, 0), 2) / expected"
 _CHI8 = "exp(-chi2 / 2) * (1 + chi2 / 2 + pow(chi2 / 2, 2) / 2 + pow(chi2 / 2, 3) / 6)"
 _WEB = f"SELECT * FROM ({_EVENTS}) WHERE event_type IN ('click', 'view', 'signup')"
+_BINNED = f"SELECT grade, {_BIN.format('price')} AS bin FROM ({_ORDERS}), ({_EDGES.format('price', _ORDERS)})"
 ORACLE = {
     "ttest_two_sample": _ttest(_ORDERS, "price", "status", "F", "O", 4),
     "ttest_significant": _ttest(_EVENTS, "value", "event_type", "click", "signup", 6),
     "anova_oneway": _anova("SELECT * FROM orders", "o_totalprice", "o_orderpriority", "pow(z, b) * (1 + b * (1 - z))"),
     "anova_three_groups": _anova(_WEB, "value", "event_type", "pow(z, b)"),
+    "anova_alike_groups": _anova(plain(ALIKE), "noise", "third", "pow(z, b)"),
+    "tests_without_variance": """
+SELECT 'line' AS test, CASE WHEN corr(price, tripled) > 1 - 1e-12 THEN 0e0 END AS p, true AS reject FROM (""" + plain(EXACT) + """)
+UNION ALL SELECT test, CASE WHEN apart THEN 0e0 ELSE 1e0 END, apart FROM (
+  SELECT max(level) FILTER (side = 'a') <> min(level) FILTER (side = 'b') AS moved, max(flat) <> min(flat) AS differ FROM (""" + plain(EXACT) + """)) s,
+  LATERAL (VALUES ('apart', s.moved), ('groups', s.moved), ('same', s.differ), ('equal', s.differ)) v(test, apart)""",
     "anova_many_groups": _anova("SELECT * FROM lineitem", "l_quantity", "l_partkey", _f_p("f")),
-    "anova_over_quartiles": _f(
-        f"SELECT grade, {_BIN.format('price')} AS bin FROM ({_ORDERS}), ({_EDGES.format('price', _ORDERS)})", "grade", "bin"
-    ) + f" SELECT d1 AS dof_between, d2 AS dof_within, {sql_rd('f', 7)} AS f FROM f",
-    "anova_over_quartiles_p": _anova(
-        f"SELECT grade, {_BIN.format('price')} AS bin FROM ({_ORDERS}), ({_EDGES.format('price', _ORDERS)})", "grade", "bin", _f_p("f")),
+    "anova_over_quartiles": _anova(_BINNED, "grade", "bin", _f_p("f")),
+    "anova_over_quartiles_p": _anova(_BINNED, "grade", "bin", _f_p("f")),
     "chi2_independence": _chi2("SELECT * FROM orders", "o_orderstatus", "o_orderpriority", 8, _PLAIN, _CHI8, 7),
     "chi2_two_by_two": _chi2(_EVENTS, "channel", "size", 1, _YATES, _normal_p("sqrt(chi2)"), 6),
     "chi2_quality_by_toxic": _chi2(_DOCS, "quality", "toxic", 1, _YATES, _normal_p("sqrt(chi2)"), 7),

@@ -39,7 +39,7 @@ def test_anova_over_many_groups(spark):
     assert differences(QUERIES["anova_many_groups"](spark, sf), connect(sf), ORACLE["anova_many_groups"]) is None
 
 
-@pytest.mark.parametrize("name", ["anova_over_quartiles_p", "describe_approximate_quartiles", "kmeans_fit_planted", "kmeans_elbow_planted"])
+@pytest.mark.parametrize("name", ["anova_over_quartiles", "anova_alike_groups", "tests_without_variance", "ttest_by_group_vs_overall", "describe_approximate_quartiles", "kmeans_fit_planted", "kmeans_elbow_planted"])
 def test_whole_results_match_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SF), con, ORACLE[name]) is None
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwork.llm import chat, decontam, jaccard, langid, lines, pieces, quality, suffix, voronoi, warc
+from tabwork.llm import chat, decontam, filters, jaccard, langid, lines, pieces, quality, runs, suffix, urls, voronoi, warc
 from tabwork.plans.base import scratch_path, table
 
 
@@ -63,6 +63,27 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_decode(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), keep_ids=False)
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filters.audit(filters.mask_counts(table(spark, sf, "documents"), table(spark, sf, "labels")))
+
+
+#: Host, path and action.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op12_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return urls.verdicts(pages, spark.createDataFrame(URL_RULES, urls.RULES), urls.html_links(pages)).drop("url")
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.periodic_runs(runs.with_periodic_tail(table(spark, sf, "documents"))).withColumn("best", runs.highest_run("runs"))
+    lines = F.transform("runs", lambda x: F.concat(x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 
 ORACLE: dict[str, str] = {}
@@ -175,3 +196,76 @@ i AS (SELECT doc_id, CAST(i AS INT) AS i, md5(array_to_string(list_slice(w, i +
 r AS (SELECT doc_id, i FROM i WHERE g IN (SELECT g FROM i GROUP BY g HAVING count(*) > 1)),
 n AS (SELECT *, sum(CASE WHEN i <= p + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM (SELECT *, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -100) AS p FROM r))
 SELECT doc_id, min(i) AS start_word, CAST(max(i) + 50 AS INT) AS end_word FROM n GROUP BY doc_id, span"""
+
+
+ORACLE["op11_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+  FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY part, fails),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS c, left(filter_order, step - 1) AS before FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INT) AS step FROM o)),
+r AS (
+  SELECT part, filter_order, step, c, n, good, toxic, contains(fails, c) AS fails, fails = c AS only_this,
+         len([y FOR y IN string_split(before, '') IF y <> '' AND contains(fails, y)]) > 0 AS gone
+  FROM m, s),
+t AS (
+  SELECT part, filter_order, step, c, sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept, sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS redundant, sum(CASE WHEN only_this THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM r GROUP BY part, filter_order, step, c)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+FROM t"""
+
+
+#: No page of the tables holds a canonical link or a refresh, so what remains are the rules; links are tested on planted pages.
+ORACLE["op12_url_filters"] = r"""
+WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+h AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p),
+r(host, path, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+b AS (
+  SELECT page_id, max_by(r.host || r.path, length(r.host || r.path)) AS rule, max_by(action, length(r.host || r.path)) AS action
+  FROM h JOIN r ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path) GROUP BY page_id)
+SELECT h.page_id, h.host, h.path, b.rule, coalesce(b.action, 'allow') AS verdict FROM h LEFT JOIN b ON b.page_id = h.page_id"""
+
+
+ORACLE["op13_periodic_runs"] = r"""
+WITH d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w,
+         xor(list_reduce(list_prepend(4294967295, [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+             lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) AS h
+  FROM documents),
+e AS (SELECT *, h // 10 AS g, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN h // 10 % len(w) END AS a FROM d),
+c AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] FOR i IN range(0, n)] END AS w
+  FROM e),
+k AS (SELECT doc_id, n, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS gram FROM (SELECT doc_id, n, w, unnest(range(0, n - 2)) AS i FROM c WHERE n >= 6)),
+s AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM k x JOIN k y ON x.doc_id = y.doc_id AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+t AS (
+  SELECT doc_id, q AS period, min(i) AS start, max(i) + 3 + q - min(i) AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS piece FROM s) GROUP BY doc_id, q, piece),
+r AS (
+  SELECT doc_id, start, length, period FROM t WHERE length >= greatest(6, 4 * period)
+  AND NOT EXISTS (SELECT 1 FROM t u WHERE u.doc_id = t.doc_id AND u.period < t.period AND u.start <= t.start AND u.start + u.length >= t.start + t.length)),
+z AS (
+  SELECT doc_id, count(*) AS n_runs, arg_max(start, [length / period, -start, -period]) AS start, arg_max(length, [length / period, -start, -period]) AS length,
+         arg_max(period, [length / period, -start, -period]) AS period, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS told
+  FROM r GROUP BY doc_id),
+cut AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+gone AS (SELECT doc_id, list(i) AS i FROM cut GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n_runs, 0) AS n_runs, z.start, z.length, z.period, 1000 * z.length // z.period AS exponent_milli, sha256(coalesce(told, '')) AS runs_sha256,
+       sha256(array_to_string([w[i + 1] FOR i IN range(0, n) IF gone.i IS NULL OR NOT list_contains(gone.i, i)], ' ')) AS collapsed_sha256
+FROM c LEFT JOIN z ON z.doc_id = c.doc_id LEFT JOIN gone ON gone.doc_id = c.doc_id"""

@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 MAX_ROWS = 50_000
+#: Bytes of one text in a broadcast row; with the rows this bounds what is sent.
+MAX_TEXT = 256
+
+
+def rows_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> list[Row] | None:
+    """The rows of ``df``, or None if there are more than ``max_rows`` or one has a text beyond ``MAX_TEXT`` bytes; such a text is never fetched."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
+    if not texts:
+        rows = df.limit(max_rows + 1).collect()
+    else:
+        short = reduce(Column.__and__, [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) <= MAX_TEXT for c in texts])
+        rows = [r[0] for r in df.select(F.when(short, F.struct(*[F.col(f"`{c}`") for c in df.columns]))).limit(max_rows + 1).collect()]
+    return None if len(rows) > max_rows or None in rows else rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Meant for aggregated frames that join back to the rows they came from.
 
-    Up to ``max_rows`` rows are fetched once and broadcast, so the large side is not
+    Up to ``max_rows`` rows of bounded width are fetched once and broadcast, so the large side is not
     shuffled and the aggregate is not computed again.  Beyond that the frame is
     returned as it is, and the join shuffles, with adaptive skew handling.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    rows = rows_if_small(df, max_rows)
+    return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabwork.functions.columns import numeric_columns, sorted_levels
 from tabwork.functions.missing import nan_to_null, normalize_missing
-from tabwork.operators.quantile import exact_quantiles
+from tabwork.operators.quantile import approximate_quantiles, exact_quantiles
 
 
 def shape(df: DataFrame) -> tuple[int, int]:
@@ -40,12 +40,11 @@ def describe(
 ) -> DataFrame:
     """``(by..., column, count, mean, std, min, q25, q50, q75, max)`` per numeric column.
 
-    ``exact=False`` takes the quartiles from ``percentile_approx`` in the same pass.
+    ``exact=False`` takes the quartiles from sketches (see ``approximate_quantiles``).
     """
     by = list(by)
     cols = numeric_columns(df, exclude=by) if cols is None else list(cols)
     data = normalize_missing(df.select(*by, *cols), cols)
-    quarters = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
@@ -53,23 +52,19 @@ def describe(
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
             F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}"),
         ]
-        if not exact:
-            aggs.append(F.percentile_approx(x, quarters).alias(f"q{i}"))
     stats = data.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*[
         F.struct(*[
             F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"a{i}").alias("mean"),
             F.col(f"s{i}").alias("std"), F.col(f"l{i}").alias("min"), F.col(f"h{i}").alias("max"),
-            *([] if exact else [F.col(f"q{i}").alias("q")]),
         ])
         for i, c in enumerate(cols)
     ])))
-    if exact:
-        quantiles = exact_quantiles(data, cols, [0.25, 0.5, 0.75], by=by).drop("n")
-        right = quantiles.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("column").alias("_column"), "q")
-        match = F.col("column") == F.col("_column")
-        for b in by:
-            match = match & F.col(b).eqNullSafe(F.col(f"_{b}"))
-        stats = stats.join(right, match, "left")
+    quantiles = (exact_quantiles if exact else approximate_quantiles)(data, cols, [0.25, 0.5, 0.75], by=by).drop("n")
+    right = quantiles.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("column").alias("_column"), "q")
+    match = F.col("column") == F.col("_column")
+    for b in by:
+        match = match & F.col(b).eqNullSafe(F.col(f"_{b}"))
+    stats = stats.join(right, match, "left")
     return stats.select(
         *by, "column", "count", "mean", "std", "min",
         F.get("q", F.lit(0)).alias("q25"), F.get("q", F.lit(1)).alias("q50"), F.get("q", F.lit(2)).alias("q75"), "max",

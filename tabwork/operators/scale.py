@@ -100,7 +100,9 @@ class ScalerModel(Model):
         times: a single nested expression would repeat the knot lookups many times.
         """
         inf, cols = float("inf"), self.scaled_cols
-        tables = [_distinct_knots(self.learned[c]) for c in cols]
+        # The search in Bucketizer tells -0.0 from 0.0; adding zero makes them one.
+        tables = [_distinct_knots([v + 0.0 for v in self.learned[c]]) for c in cols]
+        df = df.withColumns({c: F.col(f"`{c}`") + F.lit(0.0) for c in cols})
         cells = [f"_cell{i}" for i in range(len(cols))]
         df = Bucketizer(
             splitsArray=[[-inf, *t[0], inf] for t in tables], inputCols=cols, outputCols=cells, handleInvalid="keep",

@@ -8,7 +8,7 @@ from tabwork.operators.bins import in_bin, outlier_summary, qcut, upper_outliers
 from tabwork.operators.profile import (
     crosstab, describe, group_means, group_sizes, simpson_check, table_info, top_values, value_counts,
 )
-from tabwork.operators.quantile import exact_quantiles
+from tabwork.operators.quantile import approximate_quantiles, exact_quantiles
 from tabwork.plans.base import DOCS_LABELLED, LINEITEM_MASKED, ORDERS_MASKED, derive, plain, rd, sql_rd, table
 
 NUMBERS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -36,20 +36,40 @@ def describe_by_group(spark, sf):
     return _rounded(describe(table(spark, sf, "events"), ["value"], by=["event_type"]))
 
 
+def _near(df, asked):
+    """Rows (column, rank, near) for the asked (column, rank, value): whether the value's rank in the column is within 1 % of the rows."""
+    share = lambda test: F.avg(test.cast("double"))
+    near = lambda r: (share(F.col(r["column"]) < r["value"]) <= r["rank"] + 0.01) & (share(F.col(r["column"]) <= r["value"]) >= r["rank"] - 0.01)
+    cells = [F.struct(F.lit(r["column"]).alias("column"), F.lit(r["rank"]).alias("rank"), near(r).alias("near")) for r in asked]
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+
 def describe_approximate(spark, sf):
-    """Same table with sketched quartiles; the sketch columns are left out of the comparison."""
-    return _rounded(describe(table(spark, sf, "lineitem"), NUMBERS, exact=False).drop("q25", "q50", "q75"))
+    """The whole table with sketched quartiles, which are given by whether each has its rank within 1 % of the rows."""
+    df = table(spark, sf, "lineitem")
+    found = describe(df, NUMBERS, exact=False)
+    quartiles = [(r, q, f"q{round(100 * q)}") for r in found.collect() for q in (0.25, 0.5, 0.75)]
+    near = _near(df, [{"column": r["column"], "rank": q, "value": r[name]} for r, q, name in quartiles])
+    wide = near.groupBy("column").agg(*[F.bool_and(F.when(F.col("rank") == q, F.col("near"))).alias(f"q{round(100 * q)}_near") for q in (0.25, 0.5, 0.75)])
+    return _rounded(found.drop("q25", "q50", "q75").join(wide, "column"))
 
 
 def describe_approximate_quartiles(spark, sf):
-    """The sketched quartiles, by whether each has its rank within 1 % of the rows."""
+    """The sketched quartiles alone, by whether each has its rank within 1 % of the rows."""
     df = table(spark, sf, "lineitem")
-    rows = describe(df, NUMBERS, exact=False).select("column", F.explode(F.array(*[F.struct(F.lit(n).alias("quartile"), F.col(f"q{n}").alias("value")) for n in (25, 50, 75)])).alias("q"))
-    asked = rows.select("column", "q.*").collect()
-    near = lambda r: ((F.avg((F.col(r["column"]) < r["value"]).cast("double")) <= r["quartile"] / 100 + 0.01)
-                      & (F.avg((F.col(r["column"]) <= r["value"]).cast("double")) >= r["quartile"] / 100 - 0.01))
-    cells = [F.struct(F.lit(r["column"]).alias("column"), F.lit(r["quartile"]).alias("quartile"), near(r).alias("near")) for r in asked]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    rows = describe(df, NUMBERS, exact=False).collect()
+    near = _near(df, [{"column": r["column"], "rank": n / 100, "value": r[f"q{n}"]} for r in rows for n in (25, 50, 75)])
+    return near.select("column", F.round(F.col("rank") * 100).cast("int").alias("quartile"), "near")
+
+
+def quantiles_sketched(spark, sf):
+    """Sketched deciles of each event type, by whether each has its rank within 1 % of the type's rows."""
+    df = table(spark, sf, "events")
+    found = approximate_quantiles(df, ["value"], TENTHS, by=["event_type"]).select("event_type", "n", F.posexplode("q").alias("i", "at"))
+    ranks = df.join(found, "event_type").groupBy("event_type", "n", "i").agg(
+        F.avg((F.col("value") < F.col("at")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("at")).cast("double")).alias("upto"))
+    want = F.get(F.array(*[F.lit(q) for q in TENTHS]), F.col("i"))
+    return ranks.select("event_type", "n", "i", ((F.col("below") <= want + 0.01) & (F.col("upto") >= want - 0.01)).alias("near"))
 
 
 def value_counts_one(spark, sf):
@@ -158,7 +178,7 @@ def qcut_one_bin(spark, sf):
 
 QUERIES = {
     f.__name__: f for f in (
-        table_info_masked, describe_numeric, describe_masked, describe_by_group, describe_approximate, describe_approximate_quartiles, value_counts_one,
+        table_info_masked, describe_numeric, describe_masked, describe_by_group, describe_approximate, describe_approximate_quartiles, quantiles_sketched, value_counts_one,
         value_counts_all, column_mean, filtered_means, group_means_one_key, group_two_keys, group_sizes_two_keys,
         group_means_all_numeric, crosstab_long, crosstab_wide, quantiles_exact, quantiles_by_cells, quantiles_by_group,
         quantiles_by_group_cells, simpson_reversal, upper_outliers_columns, outliers_masked, outlier_summary_columns,
@@ -221,7 +241,8 @@ ORACLE = {
     "describe_masked": _describe_sql(_ORDERS, ["price", "grade"]),
     "describe_by_group": _describe_sql("SELECT * FROM events", ["value"], by="event_type"),
     "describe_approximate_quartiles": "SELECT * FROM (VALUES " + ", ".join(f"('{c}', {q}, true)" for c in NUMBERS for q in (25, 50, 75)) + ") v(\"column\", quartile, near)",
-    "describe_approximate": _describe_sql("SELECT * FROM lineitem", NUMBERS, quartiles=False),
+    "describe_approximate": f"SELECT *, true AS q25_near, true AS q50_near, true AS q75_near FROM ({_describe_sql('SELECT * FROM lineitem', NUMBERS, quartiles=False)})",
+    "quantiles_sketched": f"SELECT event_type, count(*) AS n, CAST(i AS INT) AS i, true AS near FROM events, range({len(TENTHS)}) r(i) GROUP BY event_type, i",
     "value_counts_one": f"SELECT status AS value, count(*) AS count FROM ({_ORDERS}) WHERE status IS NOT NULL GROUP BY 1",
     "value_counts_all": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS count FROM ({_ORDERS}) WHERE {c} IS NOT NULL GROUP BY 1, 2"

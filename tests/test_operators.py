@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabwork.functions.bounded import rows_if_small
 from tabwork.functions.columns import as_categorical, drop_columns, one_hot
 from tabwork.functions.missing import differs, excess_over, normalize_missing, not_true
 from tabwork.functions.normal import normal_cdf, normal_ppf
@@ -16,7 +17,7 @@ from tabwork.operators.bins import qcut
 from tabwork.operators.cluster import compare_scaling, elbow, inertia, kmeans_fit
 from tabwork.operators.missing import NullPlan, describe_missing, drop_sparse, missing_per_row
 from tabwork.operators.plotdata import histogram
-from tabwork.operators.quantile import quantile_dict
+from tabwork.operators.quantile import approximate_quantiles, exact_quantiles, quantile_dict
 from tabwork.operators.relational import latest_per_key
 from tabwork.operators.scale import KINDS, Scaler
 from tabwork.operators.split import _allocate, split, split_sizes
@@ -358,3 +359,41 @@ def test_tests_without_variance(spark):
     assert [r["p"] for r in ttest_vs_overall(flat, "x", "g").collect()] == [0.0, 0.0]
     three = ttest_ind(spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 2.0), ("b", 4.0)], "g string, x double"), "x", "g", "a", "b").first()
     assert three["dof"] == 2 and three["p"] == pytest.approx(1 - abs(three["t"]) / math.sqrt(2 + three["t"] ** 2))
+
+
+def test_quantiles_of_a_group_packed_in_one_cell(spark):
+    """One group holds 98 % of the rows, packed between two others' values, and half of it is one value."""
+    rng = np.random.default_rng(6)
+    packed = np.concatenate([0.5 + rng.random(4000) * 1e-6, np.full(4000, 0.5 + 1e-6)])
+    groups = {"hot": packed, "few": rng.normal(0, 1e6, 100), None: np.arange(60.0), "one": np.array([7.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, values in groups.items() for v in values], "g string, x double").repartition(6)
+    qs = [0.0, 0.1, 0.25, 0.4999, 0.5, 0.9, 1.0]
+    for options in ({}, {"cell_rows": 50, "crowded_rows": 20}, {"cell_rows": 10, "crowded_rows": 10**9}):
+        got = {r["g"]: (r["n"], r["q"]) for r in exact_quantiles(df, ["x"], qs, by=["g"], **options).collect()}
+        assert set(got) == set(groups)
+        for k, values in groups.items():
+            assert got[k][0] == len(values) and np.allclose(got[k][1], np.quantile(values, qs), rtol=1e-12, atol=1e-12)
+    whole = np.concatenate(list(groups.values()))
+    assert np.allclose(quantile_dict(df, ["x"], qs, max_distinct=0, cell_rows=50, crowded_rows=20)["x"], np.quantile(whole, qs), rtol=1e-12, atol=1e-12)
+
+
+def test_sketched_quantiles_keep_their_rank_and_merge_in_two_levels(spark):
+    rng = np.random.default_rng(7)
+    x = np.sort(rng.lognormal(0, 2, 60_000))
+    df = spark.createDataFrame([(i % 3, float(v), None) for i, v in enumerate(x)], "g int, x double, nothing double").repartition(9)
+    qs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    found = approximate_quantiles(df, ["x", "nothing"], qs)
+    assert column(found, "column") == ["x"]
+    for q, v in zip(qs, found.first()["q"]):
+        assert np.searchsorted(x, v, "left") / len(x) - 0.002 <= q <= np.searchsorted(x, v, "right") / len(x) + 0.002
+    assert approximate_quantiles(df, ["x"], qs, by=["g"]).count() == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_salt" in plan and plan.index("kll_merge_agg_double") < plan.index("SinglePartition")
+    assert "partial_kll_sketch" not in plan[: plan.index("SinglePartition")]
+
+
+def test_nothing_wide_is_broadcast(spark):
+    assert rows_if_small(spark.range(5), 4) is None and len(rows_if_small(spark.range(5), 5)) == 5
+    texts = spark.createDataFrame([("a", 1), (None, 2)], "t string, k int")
+    assert sorted(map(str, rows_if_small(texts))) == sorted(map(str, texts.collect()))
+    assert rows_if_small(texts.unionByName(spark.createDataFrame([("x" * 300, 3)], texts.schema))) is None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabwork.operators.plotdata import (
-    box_stats, histogram, overlay_histograms, regression_line, scatter_density, scatter_sample, violin,
+    box_stats, histogram, overlay_histograms, regression_band, regression_line, scatter_density, scatter_sample, violin,
 )
 from tabwork.operators.profile import value_counts
 from tabwork.plans.base import LINEITEM_MASKED, derive, plain, rd, sql_rd, table
@@ -23,6 +23,15 @@ def hist_default_bins(spark, sf):
     return _round(histogram(derive(spark, sf, LINEITEM_MASKED), "c"), 6, "lo", "hi")
 
 
+def hist_on_edges(spark, sf):
+    """Hundredths in bins of a hundredth: every value is an edge, up to rounding."""
+    return _round(histogram(table(spark, sf, "lineitem"), "l_discount", 10), 6, "lo", "hi")
+
+
+def hist_on_edges_by_group(spark, sf):
+    return _round(histogram(table(spark, sf, "lineitem"), "l_quantity", 70, by="l_returnflag"), 6, "lo", "hi")
+
+
 def hist_by_group(spark, sf):
     return _round(histogram(table(spark, sf, "events"), "value", 20, by="event_type"), 4, "lo", "hi")
 
@@ -79,6 +88,16 @@ def line_by_group(spark, sf):
     return df.withColumns({**{c: rd(c, 5) for c in LINE}, "r2": rd("r2", 10), "sxx": rd("sxx", 3), "sigma": rd("sigma", 5)})
 
 
+def line_band(spark, sf):
+    df = regression_band(table(spark, sf, "part"), "p_size", "p_retailprice", grid=20)
+    return _round(df, 6, "x", "fit", "lo", "hi")
+
+
+def line_band_by_group(spark, sf):
+    df = regression_band(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", by="l_returnflag", grid=10, level=0.99)
+    return _round(df, 5, "x", "fit", "lo", "hi")
+
+
 def scatter_whole(spark, sf):
     return scatter_sample(table(spark, sf, "orders"), "o_orderkey", ["o_totalprice", "o_custkey"], 200)
 
@@ -93,8 +112,8 @@ def scatter_counts(spark, sf):
 
 QUERIES = {
     f.__name__: f for f in (
-        hist_numeric, hist_default_bins, hist_by_group, hist_shared_edges, hist_overlay, hist_categorical, box_whole,
-        box_by_group, violin_density, violin_two_keys, violin_from_bins, line_of_fit, line_by_group, scatter_whole,
+        hist_numeric, hist_default_bins, hist_on_edges, hist_on_edges_by_group, hist_by_group, hist_shared_edges, hist_overlay, hist_categorical, box_whole,
+        box_by_group, violin_density, violin_two_keys, violin_from_bins, line_of_fit, line_by_group, line_band, line_band_by_group, scatter_whole,
         scatter_by_group, scatter_counts,
     )
 }
@@ -108,15 +127,13 @@ def _hist_sql(source, x, bins, digits, by="", shared=False):
     limits = "SELECT min(x) AS lo_all, max(x) AS hi_all" + (", g" if own else "") + f" FROM d {own}"
     if by and shared:
         limits = f"SELECT g, lo_all, hi_all FROM (SELECT DISTINCT g FROM d), ({limits})"
-    match = "d.g = l.g" if by else "TRUE"
     lead = f"l.g AS {by}, " if by else ""
+    width = f"(hi_all - lo_all) / {bins}e0"
     return f"""
 WITH d AS ({keep}), l AS ({limits}),
-c AS (SELECT {'d.g, ' if by else ''}CAST(least(floor((x - lo_all) / ((hi_all - lo_all) / {bins}e0)), {bins - 1}) AS INTEGER) AS b, count(*) AS n
-      FROM d JOIN l ON {match} GROUP BY ALL)
-SELECT {lead}CAST(b.i AS INTEGER) AS bin, {sql_rd(f'lo_all + b.i * (hi_all - lo_all) / {bins}e0', digits)} AS lo,
-       {sql_rd(f'lo_all + (b.i + 1) * (hi_all - lo_all) / {bins}e0', digits)} AS hi, coalesce(n, 0) AS n
-FROM l CROSS JOIN range({bins}) b(i) LEFT JOIN c ON c.b = b.i {'AND c.g = l.g' if by else ''}"""
+b AS (SELECT l.*, CAST(i AS INTEGER) AS bin, lo_all + i * {width} AS lo, CASE WHEN i = {bins - 1} THEN hi_all ELSE lo_all + (i + 1) * {width} END AS hi FROM l, range({bins}) r(i)),
+c AS (SELECT {'b.g, ' if by else ''}bin, count(*) AS n FROM b JOIN d ON x >= lo AND (x < hi OR bin = {bins - 1} AND x <= hi) {'AND d.g = b.g' if by else ''} GROUP BY ALL)
+SELECT {lead}l.bin, {sql_rd('lo', digits)} AS lo, {sql_rd('hi', digits)} AS hi, coalesce(n, 0) AS n FROM b l LEFT JOIN c ON c.bin = l.bin {'AND c.g = l.g' if by else ''}"""
 
 
 def _box_sql(by):
@@ -154,11 +171,34 @@ SELECT {lead}n, {', '.join(f'{sql_rd(c, digits)} AS {c}' for c in LINE)}, {sql_r
        {sql_rd('sqrt(syy * (1 - r2) / (n - 2))', digits)} AS sigma FROM f"""
 
 
+#: The t quantile by its expansion in 1 / dof (Fisher and Cornish), beside the normal one.
+_Z = {0.95: 1.959963984540054, 0.99: 2.5758293035489004}
+
+
+def _t_quantile_sql(level, dof):
+    z = _Z[level]
+    terms = [z, (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+             (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160]
+    return "(" + " + ".join(f"{t!r}e0 / pow({dof}, {i})" for i, t in enumerate(terms)) + ")"
+
+
+def _band_sql(source, x, y, by, grid, level, digits):
+    lead, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
+    return f"""
+WITH f AS (SELECT {lead}count(*) AS n, regr_slope({y}, {x}) AS slope, regr_intercept({y}, {x}) AS intercept, regr_r2({y}, {x}) AS r2,
+   avg({x}) AS mean, regr_sxx({y}, {x}) AS sxx, regr_syy({y}, {x}) AS syy, min({x}) AS a, max({x}) AS z FROM {source} {group}),
+p AS (SELECT *, CAST(i AS INTEGER) AS point, a + i * (z - a) / {grid - 1}e0 AS x FROM f, range({grid}) r(i)),
+w AS (SELECT *, intercept + slope * x AS fit, {_t_quantile_sql(level, '(n - 2)')} * sqrt(syy * (1 - r2) / (n - 2)) * sqrt(1e0 / n + pow(x - mean, 2) / sxx) AS half FROM p)
+SELECT {lead}point, {sql_rd('x', digits)} AS x, {sql_rd('fit', digits)} AS fit, {sql_rd('fit - half', digits)} AS lo, {sql_rd('fit + half', digits)} AS hi FROM w"""
+
+
 _HASH = "md5(CAST(o_orderkey AS VARCHAR) || '|123')"
 _CELL = "CAST(least(floor(({0} - (SELECT min({0}) FROM lineitem)) / (((SELECT max({0}) FROM lineitem) - (SELECT min({0}) FROM lineitem)) / 20e0)), 19) AS INTEGER)"
 ORACLE = {
     "hist_numeric": _hist_sql("SELECT * FROM lineitem", "l_extendedprice", 100, 4),
     "hist_default_bins": _hist_sql(_LINES, "c", 10, 6),
+    "hist_on_edges": _hist_sql("SELECT * FROM lineitem", "l_discount", 10, 6),
+    "hist_on_edges_by_group": _hist_sql("SELECT * FROM lineitem", "l_quantity", 70, 6, by="l_returnflag"),
     "hist_by_group": _hist_sql("SELECT * FROM events", "value", 20, 4, by="event_type"),
     "hist_shared_edges": _hist_sql("SELECT * FROM events", "value", 20, 4, by="event_type", shared=True),
     "hist_overlay": _hist_sql(
@@ -172,6 +212,8 @@ ORACLE = {
     "violin_from_bins": _violin_sql("SELECT * FROM lineitem", "l_extendedprice", ["l_returnflag"], 100, 3, "1e6", "density_e6", 6, bins=500),
     "line_of_fit": _line_sql("part", "p_size", "p_retailprice", "", 6, 9),
     "line_by_group": _line_sql("lineitem", "l_quantity", "l_extendedprice", "l_returnflag", 5, 10),
+    "line_band": _band_sql("part", "p_size", "p_retailprice", "", 20, 0.95, 6),
+    "line_band_by_group": _band_sql("lineitem", "l_quantity", "l_extendedprice", "l_returnflag", 10, 0.99, 5),
     "scatter_whole": f"SELECT o_orderkey, o_totalprice, o_custkey FROM orders ORDER BY {_HASH}, o_orderkey LIMIT 200",
     "scatter_by_group": f"""
 SELECT o_orderkey, o_orderstatus, o_totalprice FROM (

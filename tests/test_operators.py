@@ -7,16 +7,16 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabwork.functions.bounded import rows_if_small
+from tabwork.functions.bounded import join_group_rows, rows_if_small
 from tabwork.functions.columns import as_categorical, drop_columns, one_hot
 from tabwork.functions.missing import differs, excess_over, normalize_missing, not_true
 from tabwork.functions.normal import normal_cdf, normal_ppf
 from tabwork.functions import pvalues
-from tabwork.functions.pvalues import chi2_tail_array, f_tail_array, t_two_sided_array
+from tabwork.functions.pvalues import chi2_tail_array, f_tail_array, t_quantile_array, t_two_sided_array
 from tabwork.operators.bins import qcut
 from tabwork.operators.cluster import compare_scaling, elbow, inertia, kmeans_fit
 from tabwork.operators.missing import NullPlan, describe_missing, drop_sparse, missing_per_row
-from tabwork.operators.plotdata import histogram
+from tabwork.operators.plotdata import histogram, regression_band, scatter_sample, violin, violin_error
 from tabwork.operators.quantile import approximate_quantiles, exact_quantiles, quantile_dict
 from tabwork.operators.relational import latest_per_key
 from tabwork.operators.scale import KINDS, Scaler
@@ -397,3 +397,66 @@ def test_nothing_wide_is_broadcast(spark):
     texts = spark.createDataFrame([("a", 1), (None, 2)], "t string, k int")
     assert sorted(map(str, rows_if_small(texts))) == sorted(map(str, texts.collect()))
     assert rows_if_small(texts.unionByName(spark.createDataFrame([("x" * 300, 3)], texts.schema))) is None
+
+
+def test_histogram_counts_by_its_edges(spark):
+    values = [i / 100 for i in range(0, 1700, 17)] + [17.0, 16.66, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for bins in (50, 7, 100):
+        for r in histogram(df, "x", bins).collect():
+            assert r["n"] == sum(r["lo"] <= v and (v < r["hi"] or (r["bin"] == bins - 1 and v <= r["hi"])) for v in values)
+
+
+def test_violin_is_within_its_bound_of_the_direct_sum(spark):
+    rng = np.random.default_rng(4)
+    groups = {"hot": np.concatenate([rng.normal(0, 1, 3000), rng.normal(40, 0.01, 500), [400.0]]), "few": rng.random(5), "two": np.array([1.0, 5.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, values in groups.items() for v in values] + [("none", 1.0), ("none", 1.0), (None, 2.0)], "g string, x double").repartition(5)
+    rows = violin(df, "x", "g", grid=60).collect()
+    assert len(rows) == 3 * 60
+    for r in rows:
+        x = groups[r["g"]]
+        h = len(x) ** -0.2 * x.std(ddof=1)
+        peak = 1 / (h * math.sqrt(2 * math.pi))
+        want = peak * np.mean(np.exp(-0.5 * ((r["x"] - x) / h) ** 2))
+        assert abs(r["density"] - want) <= peak * (violin_error() + 1e-14)
+
+
+def test_a_group_of_most_rows_meets_its_statistics_where_it_is(spark):
+    many = spark.range(20_000).select(F.when(F.col("id") < 19_600, F.lit(-1)).otherwise(F.col("id")).alias("g"), (F.col("id") % 97).cast("double").alias("x")).repartition(8)
+    stats = many.groupBy("g").agg(F.count("*").alias("n"), F.avg("x").alias("m"))
+    joined = join_group_rows(many, stats, ["g"], max_rows=10)
+    assert joined.count() == 20_000 and joined.where("g = -1 and n <> 19600").isEmpty()
+    most = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most <= 20_000 / 8 * 1.5
+    want = {(r["g"], r["bin"]): r["n"] for r in histogram(many, "x", 5, by="g").collect()}
+    assert want[(-1, 0)] == many.where("g = -1 and x < 19.2").count() and len(want) == 401 * 5
+
+
+def test_scatter_ranks_few_rows(spark):
+    df = spark.range(30_000).select("id", F.when(F.col("id") < 29_000, "hot").when(F.col("id") < 29_990, "mid").otherwise("few").alias("g"), F.lit(1).alias("_cut2"))
+    got = scatter_sample(df, "id", [], 50, by="g")
+    hashed = df.select("g", "id", F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit("123"))).alias("h")).collect()
+    want = {(k, r["id"]) for k in ("hot", "mid", "few") for r in sorted((r for r in hashed if r["g"] == k), key=lambda r: (r["h"], r["id"]))[:50]}
+    assert {(r["g"], r["id"]) for r in got.collect()} == want and len(want) == 110
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_cut" in plan[plan.index("Window"):]  # the filter lies below the ranking
+
+
+def test_band_of_a_small_sample(spark):
+    x, y = np.array([1.0, 2, 4, 7, 9]), np.array([2.0, 1, 5, 6, 12])
+    df = spark.createDataFrame([("a", float(u), float(v)) for u, v in zip(x, y)] + [("b", 1.0, 1.0), ("b", 2.0, 3.0), ("c", 1.0, 1.0), ("c", 1.0, 2.0)], "g string, x double, y double")
+    rows = [r for r in regression_band(df, "x", "y", by="g", grid=9).collect()]
+    assert {r["g"] for r in rows} == {"a", "b"} and all(r["lo"] is None for r in rows if r["g"] == "b")
+    slope, intercept = np.polyfit(x, y, 1)
+    sigma = math.sqrt(np.sum((y - intercept - slope * x) ** 2) / 3)
+    for r in (r for r in rows if r["g"] == "a"):
+        half = 3.182446305284263 * sigma * math.sqrt(1 / 5 + (r["x"] - x.mean()) ** 2 / np.sum((x - x.mean()) ** 2))
+        assert (r["fit"], r["lo"], r["hi"]) == pytest.approx((intercept + slope * r["x"], intercept + slope * r["x"] - half, intercept + slope * r["x"] + half))
+
+
+def test_t_quantile_inverts_the_tail():
+    q = np.array([1e-10, 1e-3, 0.025, 0.3, 0.5, 0.7, 0.999, 1 - 1e-9])
+    for dof in (1, 2, 3, 7, 1e3, 1e7):
+        t = t_quantile_array(q, np.full(q.shape, dof))
+        assert t_two_sided_array(t, np.full(q.shape, dof)) / 2 == pytest.approx(np.minimum(q, 1 - q), rel=1e-9) and (np.sign(t) == np.sign(q - 0.5)).all()
+    assert np.isnan(t_quantile_array([0.5, 1.0, 0.9], [0, 3, np.nan])).all() and t_quantile_array(0.975, 2.0) == pytest.approx(4.302652729749464)

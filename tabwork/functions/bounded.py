@@ -39,20 +39,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
 HOT_SHARE = 0.001
 
 
-def join_group_rows(data: DataFrame, stats: DataFrame, by: list[str], count: str = "n", max_rows: int = MAX_ROWS) -> DataFrame:
+def join_group_rows(data: DataFrame, stats: DataFrame, by: list[str], count: str = "n", max_rows: int = MAX_ROWS, how: str = "inner") -> DataFrame:
     """``data`` with the columns of its group's row in ``stats`` (one row per group, rows of the group in ``count``).
 
     Few groups are broadcast. Of many, those with more than ``HOT_SHARE`` of the rows are broadcast, as they are
     few by arithmetic, so their rows stay where they are; the others are small and meet in a shuffled join. Rows
-    without a group there, and NULL groups, are left out.
+    without a group there, and NULL groups, are left out unless ``how`` is "left".
     """
     rows = rows_if_small(stats, max_rows)
     if rows is not None:
-        return data.join(F.broadcast(data.sparkSession.createDataFrame(rows, stats.schema)), by)
+        return data.join(F.broadcast(data.sparkSession.createDataFrame(rows, stats.schema)), by, how)
     total = stats.agg(F.sum(count)).first()[0]
     hot = stats.where(F.col(count) > HOT_SHARE * total)
     few = rows_if_small(hot, int(1 / HOT_SHARE))
     if few is None:  # only where texts of groups are wide
-        return data.join(stats, by)
+        return data.join(stats, by, how)
     marked = F.broadcast(data.sparkSession.createDataFrame(few, stats.schema))
-    return data.join(marked, by).unionByName(data.join(marked.select(*by), by, "left_anti").join(stats, by))
+    return data.join(marked, by).unionByName(data.join(marked.select(*by), by, "left_anti").join(stats, by, how))

@@ -76,13 +76,19 @@ def one_hot(
     max_levels: int = 200,
     rename: Mapping[str, str] | None = None,
     levels: Sequence | None = None,
+    prefix: str = "",
 ) -> DataFrame:
-    """Add one 0/1 column per level; a missing value gives 0 everywhere."""
+    """Add one 0/1 column per level, named ``prefix`` and the level; a missing value gives 0 everywhere.
+
+    A name that the table has already, or that two levels share, is an error: no column is replaced.
+    """
     levels = sorted_levels(df, column, max_levels) if levels is None else list(levels)
     rename = rename or {}
     kept = levels[1:] if drop_first else levels
     source = F.col(f"`{column}`")
-    return df.withColumns({
-        rename.get(str(level), str(level)): F.coalesce((source == F.lit(level)).cast("int"), F.lit(0))
-        for level in kept
-    })
+    names = [rename.get(str(level), prefix + str(level)) for level in kept]
+    taken = {c.lower() for c in df.columns}
+    clashes = sorted({n for i, n in enumerate(names) if n.lower() in taken or n.lower() in {m.lower() for m in names[:i]}})
+    if clashes:
+        raise ValueError(f"columns exist already or twice: {clashes}; give a prefix or rename them")
+    return df.withColumns({name: F.coalesce((source == F.lit(level)).cast("int"), F.lit(0)) for name, level in zip(names, kept)})

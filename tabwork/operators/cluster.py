@@ -1,24 +1,27 @@
 """K-means: fit with restarts, labelling, inertia, elbow curve, profiles, scaled-versus-raw comparison.
 
-Input must hold no missing value in the clustered columns (impute first).
+A fit wants rows without missing values in the clustered columns and raises otherwise (impute first); labelling
+gives such rows no label, and inertia leaves them out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from tabwork.functions.missing import nan_to_null
 from tabwork.operators.profile import group_means
 from tabwork.operators.scale import Scaler
 
@@ -32,7 +35,6 @@ class KMeansFit:
     cols: list[str]
     centroids: list[list[float]]
     inertia: float
-    model: KMeansModel | None = None
 
     def label(self, df: DataFrame, out: str = "cluster") -> DataFrame:
         return assign(df, self.centroids, self.cols, out)
@@ -71,14 +73,14 @@ def _best(data, cols, k, restarts, max_iter, tol, seed) -> KMeansFit:
                        predictionCol="_label").fit(data)
         cost = model.summary.trainingCost
         if best is None or cost < best.inertia:
-            best = KMeansFit(list(cols), [list(map(float, c)) for c in model.clusterCenters()], cost, model)
+            best = KMeansFit(list(cols), sorted(list(map(float, c)) for c in model.clusterCenters()), cost)
     return best
 
 
 def kmeans_fit(
     df: DataFrame, cols: Sequence[str], k: int, restarts: int = 10, max_iter: int = 300, tol: float = 1e-4, seed: int = SEED
 ) -> KMeansFit:
-    """Best of ``restarts`` runs by inertia. Cluster numbers carry no meaning."""
+    """Best of ``restarts`` runs by inertia. Clusters are numbered by their centroids in ascending order."""
     with _vectors(df, cols) as data:
         return _best(data, cols, k, restarts, max_iter, tol, seed)
 
@@ -99,14 +101,19 @@ def _nearest(centroids, cols) -> Column:
     ]))
 
 
+def _complete(df, cols) -> Column:
+    """Whether a row has a value, and not NaN, in all columns."""
+    return reduce(and_, [nan_to_null(c, df.schema[c].dataType).isNotNull() for c in cols])
+
+
 def assign(df: DataFrame, centroids: Sequence[Sequence[float]], cols: Sequence[str], out: str = "cluster") -> DataFrame:
-    """Add the index of the nearest centroid (lowest index when equally near). A row-wise expression."""
-    return df.withColumn(out, _nearest(centroids, cols)["i"])
+    """Add the index of the nearest centroid (lowest index when equally near), NULL for a row with a missing value. A row-wise expression."""
+    return df.withColumn(out, F.when(_complete(df, cols), _nearest(centroids, cols)["i"]))
 
 
 def inertia(df: DataFrame, centroids: Sequence[Sequence[float]], cols: Sequence[str]) -> DataFrame:
-    """``(inertia)``: sum of squared distances to the nearest centroid."""
-    return df.agg(F.sum(F.array_min(F.array(*_distances(centroids, cols)))).alias("inertia"))
+    """``(inertia)``: sum of squared distances to the nearest centroid, over the rows that ``assign`` gives a label."""
+    return df.agg(F.sum(F.when(_complete(df, cols), F.array_min(F.array(*_distances(centroids, cols))))).alias("inertia"))
 
 
 def elbow(
@@ -124,24 +131,64 @@ def profile(df: DataFrame, label: str = "cluster", cols: Sequence[str] | None =
     return group_means(df, [label], cols)
 
 
+def match_clusters(pairs: Sequence[tuple[int, int, int]], k: int) -> list[int]:
+    """For each cluster of one clustering the cluster of the other that it is, one to one, with the most rows in common.
+
+    ``pairs`` are (cluster, other cluster, rows). The assignment problem on the k x k table, by shortest augmenting paths.
+    """
+    rows = [[0] * k for _ in range(k)]
+    for i, j, n in pairs:
+        rows[i][j] += n
+    match_of, row_price, col_price = [-1] * k, [0] * k, [0] * k  # match_of: the row of each column
+    for start in range(k):
+        reach, before, done = [math.inf] * k, [-1] * k, set()
+        row, cost, last = start, 0, -1
+        while True:
+            for j in range(k):
+                if j not in done:
+                    length = cost - rows[row][j] - row_price[row] - col_price[j]
+                    if length < reach[j]:
+                        reach[j], before[j] = length, last
+            last = min((j for j in range(k) if j not in done), key=lambda j: (reach[j], j))
+            cost = reach[last]
+            done.add(last)
+            if match_of[last] < 0:
+                break
+            row = match_of[last]
+        row_price[start] += cost
+        for j in done - {last}:
+            row_price[match_of[j]] += cost - reach[j]
+            col_price[j] -= cost - reach[j]
+        while last >= 0:
+            earlier = before[last]
+            match_of[last] = match_of[earlier] if earlier >= 0 else start
+            last = earlier
+    return [match_of.index(i) for i in range(k)]
+
+
 def compare_scaling(
-    df: DataFrame, cols: Sequence[str], k: int, kind: str = "minmax", restarts: int = 10, seed: int = SEED
+    df: DataFrame, cols: Sequence[str], k: int, kind: str = "minmax", restarts: int = 10, seed: int = SEED, train: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Cluster raw and scaled values of the same rows.
+    """Cluster raw and scaled values of the same rows; ``train`` are the rows to fit on, all by default.
 
     Returns profiles ``(variant, cluster, column, mean)`` in original units, and the
-    label crosstab ``(raw, scaled, n)``.
+    label crosstab ``(raw, scaled, n)``. Scaled clusters carry the number of the raw cluster that they match, each another one, so
+    that the two share as many rows as possible: equal clusterings have equal labels.
     """
-    model = Scaler(kind=kind, cols=list(cols)).fit(df)
-    raw = kmeans_fit(df, cols, k, restarts, seed=seed)
-    scaled = kmeans_fit(model.transform(df), cols, k, restarts, seed=seed)
+    fit_on = df if train is None else train
+    model = Scaler(kind=kind, cols=list(cols)).fit(fit_on)
+    raw = kmeans_fit(fit_on, cols, k, restarts, seed=seed)
+    scaled = kmeans_fit(model.transform(fit_on), cols, k, restarts, seed=seed)
     # Both labels come from one projection: scaled copies of the columns sit beside the raw ones.
     copies = [f"_s{i}" for i in range(len(cols))]
     doubled = df.withColumns({f"_r{i}": F.col(f"`{c}`").cast("double") for i, c in enumerate(cols)})
     both = model.transform(doubled).withColumnsRenamed(dict(zip(cols, copies)))
-    both = both.withColumn("scaled", _nearest(scaled.centroids, copies)["i"])
-    both = both.withColumnsRenamed({f"_r{i}": c for i, c in enumerate(cols)})
-    both = both.withColumn("raw", _nearest(raw.centroids, cols)["i"])
+    both = assign(both, scaled.centroids, copies, "_scaled").withColumnsRenamed({f"_r{i}": c for i, c in enumerate(cols)})
+    both = assign(both, raw.centroids, cols, "raw").where("raw is not null")
+    pairs = both.groupBy("raw", "_scaled").agg(F.count(F.lit(1)).alias("n")).collect()
+    raw_of = match_clusters([(r["_scaled"], r["raw"], r["n"]) for r in pairs], k)
+    both = both.withColumn("scaled", F.get(F.array(*[F.lit(i) for i in raw_of]), F.col("_scaled")))
+    table = df.sparkSession.createDataFrame([(r["raw"], raw_of[r["_scaled"]], r["n"]) for r in pairs], "raw int, scaled int, n bigint")
     means = None
     for variant in ("raw", "scaled"):
         wide = both.groupBy(F.col(variant).alias("cluster")).agg(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(cols)])
@@ -149,4 +196,4 @@ def compare_scaling(
             F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("mean")) for i, c in enumerate(cols)
         ])))
         means = long if means is None else means.unionByName(long)
-    return means, both.groupBy("raw", "scaled").agg(F.count(F.lit(1)).alias("n"))
+    return means, table

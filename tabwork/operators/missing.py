@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import add
 
@@ -10,6 +11,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, FractionalType, IntegralType, StringType
 
 from tabwork.functions.missing import nan_to_null, normalize_missing
 from tabwork.operators.quantile import quantile_dict
@@ -113,19 +115,72 @@ class NullPlan(Estimator):
         return NullPlanModel(plan=plan, fills=fills)
 
 
+#: Values that the sketch of a column tracks; no value it leaves out has more than 3.5 / TRACKED of the rows.
+TRACKED, CANDIDATES = 10_000, 20
+#: Sketches that one task merges at most, in the second of two levels.
+SALTS = 64
+_SKETCHED = (IntegralType, StringType, BooleanType, DateType, FractionalType)
+
+
 def _modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
-    """Most frequent value per column: one distributed count per column, top 1 kept."""
-    result = {}
+    """Most frequent value per column, the lowest of equals.
+
+    One job sketches the frequent values of all columns, a second counts only the best candidates exactly. Where the
+    bound of the sketch doesn't put every other value below them, the column is counted in full.
+    """
+    result: dict[str, object] = {}
+    easy = [c for c in cols if isinstance(df.schema[c].dataType, _SKETCHED)]
+    bounds = _candidates(df, easy) if easy else {}
+    counted = _candidate_counts(df, {c: values for c, (values, _) in bounds.items() if values})
     for c in cols:
-        top = (
-            df.select(F.col(f"`{c}`").alias("v")).where("v is not null")
-            .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), F.asc("v")).limit(1).collect()
-        )
-        result[c] = top[0].v if top else None
+        values, others = bounds.get(c, ([], math.inf))
+        counts = counted.get(c, {})
+        best = max(counts.values(), default=0)
+        if best > others:
+            result[c] = min(values[i] for i, n in counts.items() if n == best)
+        else:
+            result[c] = _mode_by_counting(df, c)
     return result
 
 
+def _candidates(df, cols):
+    """Per column its most frequent values by the sketch, and a bound on the count of any other value."""
+    salted = df.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)], (F.spark_partition_id() % SALTS).alias("salt"))
+    low = salted.groupBy("salt").agg(*[a for i in range(len(cols)) for a in (F.expr(f"approx_top_k_accumulate(v{i}, {TRACKED})").alias(f"s{i}"), F.count(f"v{i}").alias(f"n{i}"))])
+    top = low.agg(*[a for i in range(len(cols)) for a in (F.expr(f"approx_top_k_combine(s{i}, {TRACKED})").alias(f"s{i}"), F.sum(f"n{i}").alias(f"n{i}"))])
+    row = top.select(*[a for i in range(len(cols)) for a in (F.expr(f"approx_top_k_estimate(s{i}, {CANDIDATES + 1})").alias(f"t{i}"), f"n{i}")]).first()
+    found = {}
+    for i, c in enumerate(cols):
+        items = [(r["item"], r["count"]) for r in row[f"t{i}"] or [] if r["item"] is not None]
+        beyond = [n for _, n in items[CANDIDATES:]]
+        found[c] = ([v for v, _ in items[:CANDIDATES]], max([3.5 / TRACKED * (row[f"n{i}"] or 0), *beyond]))
+    return found
+
+
+def _candidate_counts(df, candidates):
+    """Exact counts {column: {place in the list: count}} of the candidate values, in one job."""
+    if not candidates:
+        return {}
+    names = list(candidates)
+    places = F.array(*[
+        F.struct(F.lit(i).alias("series"), F.array_position(F.array(*[F.lit(v).cast(df.schema[c].dataType) for v in candidates[c]]), F.col(f"`{c}`")).alias("place"))
+        for i, c in enumerate(names)
+    ])
+    rows = df.select(F.inline(places)).where("place > 0").groupBy("series", "place").agg(F.count(F.lit(1)).alias("n")).collect()
+    found: dict[str, dict[int, int]] = {}
+    for r in rows:
+        found.setdefault(names[r["series"]], {})[r["place"] - 1] = r["n"]
+    return found
+
+
+def _mode_by_counting(df, c):
+    top = (
+        df.select(F.col(f"`{c}`").alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n"), F.asc("v")).limit(1).collect()
+    )
+    return top[0].v if top else None
+
+
 class NullPlanModel(Model):
     """Learned fill values; ``transform`` is one lazy projection and filter."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwork.functions.columns import numeric_columns, sorted_levels
@@ -71,10 +71,11 @@ def describe(
     )
 
 
-def value_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def value_counts(df: DataFrame, cols: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
     """``(column, value, count)`` without missing values.
 
-    One column keeps its type; several are cast to text and counted in one job.
+    One column keeps its type; several are cast to text and counted in one job. ``top`` keeps the most frequent values
+    of each column, equal counts by value: tasks keep their own top before they meet, so no column is sorted whole.
     """
     cols = df.columns if cols is None else list(cols)
     data = normalize_missing(df.select(*cols))
@@ -84,7 +85,11 @@ def value_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         long = data.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols
         ])))
-    return long.where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    counts = long.where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    if top is None:
+        return counts
+    best = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
+    return counts.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= top).drop("_place")
 
 
 def top_values(df: DataFrame, column: str, n: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -28,8 +29,11 @@ ZERO = 10 * 2.220446049250313e-16
 # Fixed values of the normal kind: distance to the end knots that counts as the end, and the clip bound it gives.
 END_MARGIN = 1e-7
 NORMAL_CLIP = 5.199337582605575
-LAMBDA_POINTS = 17
-LAMBDA_ROUNDS = 4
+#: Newton steps of the power fit: how far one goes while no bracket is known, when they have settled, and how many there may be.
+LAMBDA_STRIDE = 2.0
+LAMBDA_CLOSE = 1e-7
+LAMBDA_STEPS = 60
+SERIES_TERMS = 12
 
 
 class Scaler(Estimator):
@@ -186,77 +190,85 @@ def _fit_knots(train, cols, count):
 
 
 def _fit_lambda(train, cols):
-    """Maximum-likelihood power per column.
+    """Maximum-likelihood power per column, by Newton steps on the slope of the profile likelihood.
 
-    Each round is one job that scores 17 powers of every column; rows expand inside
-    the map stage and combine there. Brackets shrink eightfold per round and widen
-    when the best power sits on their border.
+    A step is one job for all columns still open: it sums the transformed values and their first two derivatives by
+    the power. Powers that showed a slope of either sign make a bracket that steps stay inside; until both are known a step is at most ``LAMBDA_STRIDE``,
+    which doubles every time.
     """
     logs = train.select(*[
         (F.signum(F.col(f"`{c}`")) * F.log1p(F.abs(F.col(f"`{c}`")))).alias(c) for c in cols
     ])
     base = logs.agg(*[
         a for i, c in enumerate(cols) for a in (
-            F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.var_pop(F.col(f"`{c}`")).alias(f"v{i}"), F.sum(F.col(f"`{c}`")).alias(f"s{i}"),
+            F.count(F.col(f"`{c}`")).alias(f"n{i}"), (F.min(F.col(f"`{c}`")) < F.max(F.col(f"`{c}`"))).alias(f"v{i}"), F.avg(F.col(f"`{c}`")).alias(f"s{i}"),
         )
     ]).first()
-    n = {c: base[f"n{i}"] for i, c in enumerate(cols)}
-    log_sum = {c: base[f"s{i}"] for i, c in enumerate(cols)}
-    result = {c: None if n[c] == 0 else 1.0 for c in cols}
-    open_cols = [c for i, c in enumerate(cols) if n[c] and base[f"v{i}"] > 0]
-    bracket = {c: (-2.0, 2.0) for c in open_cols}
-    rounds = {c: 0 for c in open_cols}
-    last = LAMBDA_POINTS - 1
-    while open_cols:
-        grid = {
-            c: [bracket[c][0] + (bracket[c][1] - bracket[c][0]) * j / last for j in range(LAMBDA_POINTS)]
-            for c in open_cols
-        }
-        scored = logs.select(*open_cols, F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_j"))
-        rows = scored.groupBy("_j").agg(*[
-            F.var_pop(_yeo_johnson_of_log(
-                F.col(f"`{c}`"), F.get(_doubles(grid[c]), F.col("_j"))
-            )).alias(f"v{i}")
-            for i, c in enumerate(open_cols)
-        ]).collect()
-        still = []
-        for i, c in enumerate(open_cols):
-            score = [-math.inf] * LAMBDA_POINTS
-            for r in rows:
-                v = r[f"v{i}"]
-                if v is not None and 0 < v < math.inf:
-                    score[r["_j"]] = -n[c] / 2 * math.log(v) + (grid[c][r["_j"]] - 1) * log_sum[c]
-            best = max(range(LAMBDA_POINTS), key=score.__getitem__)
-            low, high = bracket[c]
-            if best in (0, last) and abs(low) < 64 and abs(high) < 64:
-                shift = (high - low) * (0.75 if best else -0.75)
-                bracket[c] = (low + shift, high + shift)
-                still.append(c)
-                continue
-            rounds[c] += 1
-            left, right = max(best - 1, 0), min(best + 1, last)
-            if rounds[c] < LAMBDA_ROUNDS:
-                bracket[c] = (grid[c][left], grid[c][right])
-                still.append(c)
+    mean_log = {c: base[f"s{i}"] for i, c in enumerate(cols)}
+    result = {c: None if base[f"n{i}"] == 0 else 1.0 for i, c in enumerate(cols)}
+    at = {c: 1.0 for i, c in enumerate(cols) if base[f"v{i}"]}
+    bracket = {c: (-math.inf, math.inf) for c in at}
+    for attempt in range(LAMBDA_STEPS):
+        stride = LAMBDA_STRIDE * 2**attempt
+        if not at:
+            return result
+        following = {}
+        for c, (slope, bend) in _likelihood_slopes(logs, at, mean_log).items():
+            lam, (low, high) = at[c], bracket[c]
+            if slope is None:  # beyond what doubles hold: half the way back
+                low, high = (low, lam) if lam > 1 else (lam, high)
             else:
-                step = (high - low) / last
-                a, b, d = score[left], score[best], score[right]
-                bend = a - 2 * b + d
-                shift = 0.5 * (a - d) / bend * step if bend < 0 and 0 < best < last else 0.0
-                result[c] = grid[c][best] + shift
-        open_cols = still
-    return result
+                low, high = (lam, high) if slope > 0 else (low, lam)
+            step = -slope / bend if slope is not None and bend < 0 else math.inf
+            new = lam + step
+            if math.isinf(low) or math.isinf(high):
+                new = min(max(new, lam - stride), lam + stride) if math.isfinite(step) else lam + math.copysign(stride, slope)
+            elif not low < new < high:
+                new = (low + high) / 2
+            bracket[c] = (low, high)
+            if abs(new - lam) <= LAMBDA_CLOSE * (1 + abs(lam)):
+                result[c] = new
+            else:
+                following[c] = new
+        at = following
+    raise ValueError(f"the likelihood of {sorted(at)} has no maximum within reach")
+
+
+def _likelihood_slopes(logs, at, mean_log):
+    """First and second derivative by the power of the profile log-likelihood per row, {column: (slope, bend)}; None where values overflow."""
+    def parts(c, lam):
+        s = F.col(f"`{c}`")
+        size = F.abs(s)
+        power = F.when(s >= 0, F.lit(lam)).otherwise(F.lit(2.0 - lam))
+        value, first, second = _growth(power * size)
+        # For negative values the power counts down as lambda grows, and the value itself is negative.
+        return F.signum(s) * size * value, size * size * first, F.signum(s) * size * size * size * second
+
+    names = list(at)
+    columns = [p.alias(f"{part}{i}") for i, c in enumerate(names) for p, part in zip(parts(c, at[c]), "yde")]
+    row = logs.select(*columns).agg(*[
+        a for i in range(len(names)) for a in (
+            F.var_pop(f"y{i}").alias(f"v{i}"), F.covar_pop(f"y{i}", f"d{i}").alias(f"c{i}"), F.var_pop(f"d{i}").alias(f"w{i}"), F.covar_pop(f"y{i}", f"e{i}").alias(f"b{i}"))
+    ]).first()
+    found = {}
+    for i, c in enumerate(names):
+        v, cross, w, b = (row[f"{t}{i}"] for t in "vcwb")
+        good = all(x is not None and math.isfinite(x) for x in (v, cross, w, b)) and v > 0
+        rise = 2 * cross / v if good else 0.0
+        found[c] = (mean_log[c] - rise / 2, -((2 * (w + b)) / v - rise * rise) / 2) if good else (None, 0.0)
+    return found
 
 
-# ---- expressions -------------------------------------------------------------
+def _growth(z: Column) -> tuple[Column, Column, Column]:
+    """(e^z - 1) / z and its first two derivatives; by their series near 0, where the closed forms lose digits."""
+    near = F.abs(z) < 0.5
+    series = [reduce(lambda total, k: total * z + 1.0 / (math.factorial(k) * (k + d)), range(SERIES_TERMS - 1, -1, -1), F.lit(0.0)) for d in (1, 2, 3)]
+    e, safe = F.exp(z), F.when(~near, z)
+    closed = [F.expm1(z) / safe, (e * (z - 1) + 1) / (safe * safe), (e * (z * z - 2 * z + 2) - 2) / (safe * safe * safe)]
+    return tuple(F.when(near, s).otherwise(c) for s, c in zip(series, closed))
 
-def _yeo_johnson_of_log(s: Column, lam: Column) -> Column:
-    """Yeo-Johnson with the power as a column, from s = sign(x) * ln(1 + |x|)."""
-    mirror = F.lit(2.0) - lam
-    up = F.when(F.abs(lam) < ZERO, s).otherwise(F.expm1(lam * s) / F.nullif(lam, F.lit(0.0)))
-    down = F.when(F.abs(mirror) < ZERO, s).otherwise(-F.expm1(-mirror * s) / F.nullif(mirror, F.lit(0.0)))
-    return F.when(s >= 0, up).otherwise(down)
 
+# ---- expressions -------------------------------------------------------------
 
 def yeo_johnson(x: Column, lam: float) -> Column:
     up = F.log1p(x) if abs(lam) < ZERO else (F.pow(x + 1.0, F.lit(lam)) - 1.0) / F.lit(lam)

@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwork.functions.columns import sorted_levels
 from tabwork.functions.missing import normalize_missing
-from tabwork.functions.pvalues import chi2_pvalue, f_pvalue, t_pvalue
+from tabwork.functions.pvalues import chi2_tail_array, f_pvalue, t_pvalue
 
 ALPHA = 0.05
 #: A constant group whose mean differs from an overall mean by a smaller share of it does not differ.
 _ROUNDING = 1e-12
+#: Slices in which levels of one side meet those of the other for a whole grid of cells.
+_SLICES = 64
 
 
 def _safe(column):
@@ -84,50 +85,59 @@ def anova(df: DataFrame, x: str, by: str, groups: list | None = None, alpha: flo
     return _with_reject(result, alpha)
 
 
-def expected_counts(df: DataFrame, a: str, b: str, max_levels: int = 1000) -> DataFrame:
-    """Observed and expected count of every cell ``(a, b, observed, expected)``.
+def _pair_counts(df, a, b):
+    """Rows (a, b, o) of the pairs that occur, and the totals (a, r) and (b, c)."""
+    data = normalize_missing(df.select(F.col(f"`{a}`").alias("a"), F.col(f"`{b}`").alias("b"))).dropna()
+    cells = data.groupBy("a", "b").agg(F.count(F.lit(1)).alias("o"))
+    return cells, lambda cells: (cells.groupBy("a").agg(F.sum("o").alias("r")), cells.groupBy("b").agg(F.sum("o").alias("c")))
 
-    Cells come from a pivot over the levels of ``b``, so absent pairs are present
-    with 0; column totals are one row of at most ``max_levels`` numbers.
+
+def expected_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Observed and expected count of every cell ``(a, b, observed, expected)``, absent pairs with 0.
+
+    The grid has as many rows as there are levels of ``a`` times levels of ``b``: that is the result asked for.
+    It is made by matching the levels of ``a``, repeated for ``_SLICES`` slices, with the slice of each level of ``b``.
     """
-    matrix, levels, totals, n = _count_matrix(df, a, b, max_levels)
-    cells = F.array(*[
-        F.struct(
-            F.lit(level).alias(b), F.col(f"c{i}").alias("observed"),
-            (F.col("row_total") * F.lit(float(totals[i])) / F.lit(float(n))).alias("expected"),
-        )
-        for i, level in enumerate(levels)
-    ])
-    return matrix.select(a, F.inline(cells))
-
-
-def _count_matrix(df, a, b, max_levels):
-    data = normalize_missing(df.select(a, b)).dropna()
-    levels = sorted_levels(data, b, max_levels)
-    if not levels:
+    cells, totals = _pair_counts(df, a, b)
+    rows, cols = totals(cells)
+    n = rows.agg(F.sum("r")).first()[0]
+    if not n:
         raise ValueError("no complete pairs")
-    counted = data.groupBy(a).agg(*[
-        F.count_if(F.col(b) == F.lit(level)).alias(f"c{i}") for i, level in enumerate(levels)
-    ], F.count(F.lit(1)).alias("row_total"))
-    totals = counted.agg(*[F.sum(f"c{i}") for i in range(len(levels))]).first()
-    return counted, levels, totals, sum(totals)
-
-
-def chi2(df: DataFrame, a: str, b: str, correction: bool = True, alpha: float = ALPHA, max_levels: int = 1000) -> DataFrame:
-    """Chi-square test of independence; 2x2 tables take the Yates correction."""
-    cells = expected_counts(df, a, b, max_levels)
-    gap = F.abs(F.col("observed") - F.col("expected"))
-    rows_cols = cells.agg(
-        F.count_distinct(F.col(a)).alias("r"), F.count_distinct(F.col(b)).alias("c"),
-        F.sum(gap * gap / F.col("expected")).alias("plain"),
-        F.sum(F.pow(gap - F.least(gap, F.lit(0.5)), F.lit(2.0)) / F.col("expected")).alias("yates"),
-    )
-    dof = (F.col("r") - 1) * (F.col("c") - 1)
-    value = F.when((dof == 1) & F.lit(correction), F.col("yates")).otherwise(F.col("plain"))
-    result = rows_cols.select(value.alias("chi2"), dof.alias("dof")).withColumn(
-        "p", F.when(F.col("dof") == 0, F.lit(1.0)).otherwise(chi2_pvalue("chi2", F.col("dof").cast("double")))
-    )
-    return _with_reject(result, alpha)
+    sliced = cols.withColumn("slice", F.pmod(F.xxhash64("b"), F.lit(_SLICES)).cast("int"))
+    grid = rows.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(_SLICES - 1)))).join(sliced, "slice")
+    expected = F.col("r") * (F.col("c").cast("double") / F.lit(float(n)))
+    return grid.join(cells, ["a", "b"], "left").select(
+        F.col("a").alias(a), F.col("b").alias(b), F.coalesce("o", F.lit(0).cast("bigint")).alias("observed"), expected.alias("expected"))
+
+
+def chi2(df: DataFrame, a: str, b: str, correction: bool = True, alpha: float = ALPHA) -> DataFrame:
+    """Chi-square test of independence ``(chi2, dof, p, reject)``; 2x2 tables take the Yates correction.
+
+    One scan counts the pairs that occur; the rest works on those counts, whatever the number of levels. A pair that
+    doesn't occur adds its expected count, and all expected counts add up to n, so absent pairs are never listed.
+    """
+    cells, totals = _pair_counts(df, a, b)
+    cells = cells.persist()
+    try:
+        rows, cols = totals(cells)
+        r = rows.agg(F.count(F.lit(1)).alias("levels"), F.sum(1.0 / F.col("r")).alias("inverse"), F.sum("r").alias("n")).first()
+        c = cols.agg(F.count(F.lit(1)).alias("levels"), F.sum(1.0 / F.col("c")).alias("inverse")).first()
+        n, dof = r["n"], (r["levels"] - 1) * (c["levels"] - 1)
+        if not n:
+            raise ValueError("no complete pairs")
+        expected = F.col("r") * (F.col("c").cast("double") / F.lit(float(n)))
+        gap = F.abs(F.col("o") - expected)
+        part = cells.join(rows, "a").join(cols, "b").agg(
+            F.count(F.lit(1)).alias("cells"), F.sum(gap * gap / expected).alias("listed"), F.sum(expected).alias("expected"), F.max(gap).alias("gap")).first()
+    finally:
+        cells.unpersist()
+    value = part["listed"] + (0.0 if part["cells"] == r["levels"] * c["levels"] else n - part["expected"])
+    if correction and dof == 1:
+        # In a 2x2 table observed and expected differ by the same number in all four cells.
+        value = (part["gap"] - min(part["gap"], 0.5)) ** 2 * n * r["inverse"] * c["inverse"]
+    value = max(value, 0.0)
+    tail = 1.0 if dof == 0 else float(chi2_tail_array(value, dof))
+    return df.sparkSession.createDataFrame([(value, dof, tail, tail < alpha)], "chi2 double, dof bigint, p double, reject boolean")
 
 
 def pearson(df: DataFrame, x: str, y: str, by: str | None = None, alpha: float = ALPHA) -> DataFrame:

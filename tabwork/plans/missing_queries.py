@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabwork.operators.missing import NullPlan, describe_missing, drop_rows_missing, drop_sparse, missing_per_row
 from tabwork.plans.base import DOCS_LABELLED, ORDERS_MASKED, derive, plain, rd, scratch_path, sql_rd
 from tabwork.plans.property import (
-    CATEGORICAL, COUNTIES, IMPUTATION, LOOKUPS, SINGLE_UNIT_USES, clean_properties, property_transactions, split_and_impute,
+    CATEGORICAL, COUNTIES, IMPUTATION, LOOKUPS, SINGLE_UNIT_USES, clean_properties, prepare_properties, property_transactions,
 )
 from tabwork.sources.tables import acquire_cached
 
@@ -132,7 +132,7 @@ def property_clean(spark, sf):
 
 
 def property_prepared(spark, sf):
-    df = split_and_impute(clean_properties(_stored(spark, sf, "first")))
+    df = prepare_properties(spark, _tables(spark, sf), scratch_path(spark, "properties"), **DATES)
     return _small_types(df).withColumns({c: rd(c, 6) for c in ("buildingqualitytypeid", "yearbuilt")})
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwork.functions.normal import (
     PPF_CENTRAL_DEN, PPF_CENTRAL_NUM, PPF_MIDDLE_DEN, PPF_MIDDLE_NUM, PPF_TAIL_DEN, PPF_TAIL_NUM,
 )
-from tabwork.operators.scale import NORMAL_CLIP, Scaler, scale_splits, unscale_splits, yeo_johnson
+from tabwork.operators.scale import KINDS, NORMAL_CLIP, Scaler, scale_splits, unscale_splits, yeo_johnson
 from tabwork.operators.split import split, split_views
 from tabwork.plans.base import ORDERS_MASKED, derive, plain, rd, sql_rd, table
 
@@ -37,6 +40,10 @@ def split_stratified_masked(spark, sf):
     return df.groupBy("status", "split").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
 
 
+def split_many_strata(spark, sf):
+    return split(table(spark, sf, "orders"), "o_orderkey", stratify="o_custkey").select("o_orderkey", "o_custkey", "split")
+
+
 COLS = ["price", "grade"]
 
 
@@ -83,11 +90,21 @@ def scale_inverse_three_parts(spark, sf):
     return back[0].unionByName(back[1]).unionByName(back[2]).select("o_orderkey", *[rd(c, 4).alias(c) for c in COLS])
 
 
+def scale_all_kinds(spark, sf):
+    """Each kind fitted on train through the three-part form, and its training part turned back."""
+    parts = split_views(split(derive(spark, sf, ORDERS_MASKED).drop("o_custkey", "o_orderdate"), "o_orderkey"))
+    found = []
+    for kind in KINDS:
+        model, train, *_ = scale_splits(kind, *parts, keep=["o_orderkey"])
+        found.append(model.inverse_transform(train).select(F.lit(kind).alias("kind"), "o_orderkey", *[rd(c, 4).alias(c) for c in COLS]))
+    return reduce(DataFrame.unionByName, found)
+
+
 QUERIES = {
-    **{f.__name__: f for f in (split_rows, split_sizes, split_two_keys, split_stratified, split_stratified_masked)},
+    **{f.__name__: f for f in (split_rows, split_sizes, split_two_keys, split_stratified, split_stratified_masked, split_many_strata)},
     **{f"scale_{k}": _scaled(k) for k in ("minmax", "standard", "robust", "uniform", "quantile", "normal")},
-    **{f"scale_roundtrip_{k}": _roundtrip(k) for k in ("minmax", "standard", "robust", "quantile", "normal", "yeojohnson")},
-    **{f.__name__: f for f in (scale_yeojohnson_fixed, scale_yeojohnson_fit, scale_three_parts, scale_inverse_three_parts)},
+    **{f"scale_roundtrip_{k}": _roundtrip(k) for k in ("minmax", "standard", "robust", "uniform", "quantile", "normal", "yeojohnson")},
+    **{f.__name__: f for f in (scale_yeojohnson_fixed, scale_yeojohnson_fit, scale_three_parts, scale_inverse_three_parts, scale_all_kinds)},
 }
 
 _ORDERS = plain(ORDERS_MASKED)
@@ -102,7 +119,7 @@ parts AS (SELECT *, CASE WHEN rk < nt THEN 'test' WHEN rk < nt + ceil(2 * {pct}
 
 
 def _stratified_sql(source, key, strat, pct="0.1e0"):
-    """Largest remainders, first for test, then for validate."""
+    """Largest remainders, first for test, then for validate; strata of one row have no part in it."""
     def shares(name, counts, total):
         return f"""
 {name}_q AS (SELECT s, c, c * {total} // nn AS low, c * {total} % nn AS rest, {total} AS total FROM (
@@ -113,12 +130,13 @@ WITH src AS (SELECT *, {strat} AS s FROM ({source})),
 counts AS (SELECT s, count(*) AS c FROM src GROUP BY 1),
 n0 AS (SELECT CAST(sum(c) AS BIGINT) AS n FROM counts),
 sizes AS (SELECT n, CAST(ceil({pct} * n) AS BIGINT) AS nt, CAST(ceil(2 * {pct} * (n - CAST(ceil({pct} * n) AS BIGINT))) AS BIGINT) AS nv FROM n0),
-{shares('t', 'counts', 'nt')},
+usable AS (SELECT * FROM counts WHERE c > 1 OR (SELECT count(*) FROM counts) = 1),
+{shares('t', 'usable', 'nt')},
 left_over AS (SELECT s, c - k AS c FROM t),
 {shares('v', 'left_over', 'nv')},
 r AS (SELECT src.*, row_number() OVER (PARTITION BY s ORDER BY md5(CAST({key} AS VARCHAR) || '|123'), {key}) - 1 AS rk FROM src),
 parts AS (SELECT r.*, CASE WHEN rk < t.k THEN 'test' WHEN rk < t.k + v.k THEN 'validate' ELSE 'train' END AS split
-          FROM r JOIN t ON r.s IS NOT DISTINCT FROM t.s JOIN v ON r.s IS NOT DISTINCT FROM v.s)"""
+          FROM r LEFT JOIN t ON r.s IS NOT DISTINCT FROM t.s LEFT JOIN v ON r.s IS NOT DISTINCT FROM v.s)"""
 
 
 _TRAIN = "SELECT * FROM m"
@@ -182,7 +200,7 @@ ORACLE = {
     "scale_uniform": _knot_sql(100),
     "scale_quantile": _knot_sql(1000),
     "scale_normal": _knot_sql(1000, normal=True),
-    **{f"scale_roundtrip_{k}": _BACK for k in ("minmax", "standard", "robust", "quantile", "normal", "yeojohnson")},
+    **{f"scale_roundtrip_{k}": _BACK for k in ("minmax", "standard", "robust", "uniform", "quantile", "normal", "yeojohnson")},
     "scale_yeojohnson_fixed": f"SELECT c_custkey, {sql_rd(f'CASE WHEN c_acctbal >= 0 THEN (pow(c_acctbal + 1, {LAMBDA}e0) - 1) / {LAMBDA}e0 ELSE -(pow(1 - c_acctbal, {2 - LAMBDA}e0) - 1) / {2 - LAMBDA}e0 END', 6)} AS scaled FROM customer",
     "scale_yeojohnson_fit": " UNION ALL ".join(f"""
 SELECT '{c}' AS "column", arg_max(lam, score) AS lambda FROM (
@@ -193,4 +211,6 @@ SELECT '{c}' AS "column", arg_max(lam, score) AS lambda FROM (
     "scale_three_parts": _MASKED_SPLIT + """, lim AS (SELECT min(price) pl, max(price) ph, min(grade) gl, max(grade) gh FROM parts WHERE split = 'train')
 SELECT o_orderkey, split AS part, """ + f"{sql_rd('(price - pl) / (ph - pl)', 6)} AS price, {sql_rd('(grade - gl) / (gh - gl)', 6)} AS grade FROM parts, lim",
     "scale_inverse_three_parts": _BACK,
+    "scale_all_kinds": _MASKED_SPLIT + f" SELECT kind, o_orderkey, {', '.join(f'{sql_rd(c, 4)} AS {c}' for c in COLS)} FROM parts, unnest({list(KINDS)}) k(kind) WHERE split = 'train'",
+    "split_many_strata": _stratified_sql("SELECT * FROM orders", "o_orderkey", "o_custkey") + " SELECT o_orderkey, o_custkey, split FROM parts",
 }

@@ -80,6 +80,11 @@ def value_counts_all(spark, sf):
     return value_counts(derive(spark, sf, ORDERS_MASKED), ["o_custkey", "status", "priority"])
 
 
+def value_counts_top(spark, sf):
+    """The three most frequent values of each column."""
+    return value_counts(derive(spark, sf, ORDERS_MASKED), ["o_custkey", "status", "priority"], top=3)
+
+
 def column_mean(spark, sf):
     return table(spark, sf, "orders").agg(rd(F.avg("o_totalprice"), 4).alias("mean_price"))
 
@@ -179,7 +184,7 @@ def qcut_one_bin(spark, sf):
 QUERIES = {
     f.__name__: f for f in (
         table_info_masked, describe_numeric, describe_masked, describe_by_group, describe_approximate, describe_approximate_quartiles, quantiles_sketched, value_counts_one,
-        value_counts_all, column_mean, filtered_means, group_means_one_key, group_two_keys, group_sizes_two_keys,
+        value_counts_all, value_counts_top, column_mean, filtered_means, group_means_one_key, group_two_keys, group_sizes_two_keys,
         group_means_all_numeric, crosstab_long, crosstab_wide, quantiles_exact, quantiles_by_cells, quantiles_by_group,
         quantiles_by_group_cells, simpson_reversal, upper_outliers_columns, outliers_masked, outlier_summary_columns,
         qcut_bins, qcut_means, qcut_one_bin,
@@ -244,6 +249,9 @@ ORACLE = {
     "describe_approximate": f"SELECT *, true AS q25_near, true AS q50_near, true AS q75_near FROM ({_describe_sql('SELECT * FROM lineitem', NUMBERS, quartiles=False)})",
     "quantiles_sketched": f"SELECT event_type, count(*) AS n, CAST(i AS INT) AS i, true AS near FROM events, range({len(TENTHS)}) r(i) GROUP BY event_type, i",
     "value_counts_one": f"SELECT status AS value, count(*) AS count FROM ({_ORDERS}) WHERE status IS NOT NULL GROUP BY 1",
+    "value_counts_top": f"""
+SELECT "column", value, count FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS place FROM ({" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS count FROM ({plain(ORDERS_MASKED)}) WHERE {c} IS NOT NULL GROUP BY 2" for c in ("o_custkey", "status", "priority"))})) WHERE place <= 3""",
     "value_counts_all": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS count FROM ({_ORDERS}) WHERE {c} IS NOT NULL GROUP BY 1, 2"
         for c in ("o_custkey", "status", "priority")

@@ -46,29 +46,27 @@ def latest_txn_first_only(spark, sf):
 
 
 NESTED_SQL = """
-SELECT c.*, sub.o_orderkey, sub.o_totalprice, CAST(CAST(sub.o_orderdate AS DATE) AS {text}) AS order_date, n_name, r_name
-FROM customer_coded AS c
-INNER JOIN (
-    SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderdate
-    FROM orders AS o
-    INNER JOIN (SELECT o_custkey, MAX(o_orderdate) AS newest FROM orders GROUP BY o_custkey) AS m
-        ON o.o_custkey = m.o_custkey
-    WHERE o.o_orderdate = m.newest
-) AS sub ON c.c_custkey = sub.o_custkey
-LEFT JOIN nation AS n ON c.nation_id = n.n_nationkey
-LEFT JOIN region AS r ON n.n_regionkey = r.r_regionkey
-WHERE c_name IS NOT NULL AND c_acctbal IS NOT NULL
-    AND CAST(sub.o_orderdate AS DATE) BETWEEN DATE '2001-01-01' AND DATE '2001-12-31'
+SELECT buyer.c_custkey, buyer.c_name, buyer.c_acctbal, buyer.nation_id, final.o_orderkey, final.o_totalprice,
+       CAST(final.placed AS STRING) AS order_date, home.n_name, home.r_name
+FROM (
+    SELECT o_custkey, o_orderkey, o_totalprice, to_date(o_orderdate) AS placed
+    FROM {orders} LEFT SEMI JOIN (
+        SELECT o_custkey AS who, max(o_orderdate) AS at FROM {orders} GROUP BY o_custkey HAVING year(max(o_orderdate)) = 2001
+    ) latest ON o_custkey = who AND o_orderdate = at
+) final
+JOIN (SELECT * FROM {customer_coded} WHERE c_name IS NOT NULL AND c_acctbal IS NOT NULL) buyer ON buyer.c_custkey = final.o_custkey
+LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM {nation} LEFT JOIN {region} ON r_regionkey = n_regionkey) home ON home.n_nationkey = buyer.nation_id
 """
 
 
 def latest_txn_sql_text(spark, sf):
+    """Nested tables in one SQL text; its check is the window form of the same question."""
     tables = {n: table(spark, sf, n) for n in ("orders", "nation", "region")}
-    return run_sql(spark, NESTED_SQL.format(text="STRING"), {"customer_coded": derive(spark, sf, CUSTOMER_CODED), **tables})
+    return run_sql(spark, NESTED_SQL, {"customer_coded": derive(spark, sf, CUSTOMER_CODED), **tables})
 
 
 def full_table_select(spark, sf):
-    return run_sql(spark, "SELECT * FROM customer", {"customer": table(spark, sf, "customer")})
+    return run_sql(spark, "SELECT * FROM {customer}", {"customer": table(spark, sf, "customer")})
 
 
 def csv_write_read(spark, sf):
@@ -78,6 +76,15 @@ def csv_write_read(spark, sf):
     return read_csv(spark, path, schema=customer.schema)
 
 
+def csv_stored_index(spark, sf):
+    """A CSV with an index stored in a column without a name, its types found by reading."""
+    path = scratch_path(spark, "csv")
+    orders = table(spark, sf, "orders")
+    write_csv(orders.select((F.col("o_orderkey") * 3).alias("i"), "o_orderkey", rd("o_totalprice", 2).alias("price"), "o_orderstatus").toDF("", "number", "price", "status"), path)
+    df = read_csv(spark, path)
+    return df.withColumn("types", F.concat_ws(",", *[F.typeof(c) for c in df.columns]))
+
+
 def cached_acquire(spark, sf):
     path = scratch_path(spark, "cache")
     build = lambda: derive(spark, sf, ORDERS_MASKED).groupBy("status").agg(F.count("price").alias("n_price"), F.max("price").alias("max_price"))
@@ -136,6 +143,12 @@ def one_hot_drop_first(spark, sf):
     return drop_columns(one_hot(df, "status", rename={"O": "is_open", "P": "is_pending"}), ["status"])
 
 
+def one_hot_prefixed(spark, sf):
+    """A table that has columns named as the levels already."""
+    df = derive(spark, sf, ORDERS_MASKED).select("o_orderkey", "status", F.col("price").alias("O"), F.lit(1).alias("P"))
+    return one_hot(df, "status", drop_first=False, prefix="status_").withColumn("O", rd("O", 2))
+
+
 def numeric_and_suffix_columns(spark, sf):
     df = as_categorical(table(spark, sf, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
     numeric = df.select("l_orderkey", *numeric_columns(df))
@@ -172,7 +185,7 @@ QUERIES = {
     f.__name__: f for f in (
         latest_txn_enriched, latest_txn_first_only, latest_txn_sql_text, full_table_select, csv_write_read, cached_acquire,
         single_unit_filter, keep_unknown_units, stacked_masks, col_mismatch_rows, col_agreement_share, row_min, clip_at_zero,
-        code_to_label, categorical_ids, one_hot_drop_first, numeric_and_suffix_columns, ratio_and_percent, first_rows_ordered,
+        code_to_label, categorical_ids, one_hot_drop_first, one_hot_prefixed, csv_stored_index, numeric_and_suffix_columns, ratio_and_percent, first_rows_ordered,
         sorted_table, table_shape,
     )
 }
@@ -197,7 +210,7 @@ WHERE {pick} = 1 AND o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIM
 ORACLE = {
     "latest_txn_enriched": _latest_sql("rk"),
     "latest_txn_first_only": _latest_sql("rn"),
-    "latest_txn_sql_text": f"WITH customer_coded AS ({plain(CUSTOMER_CODED)})" + NESTED_SQL.format(text="VARCHAR"),
+    "latest_txn_sql_text": _latest_sql("rk"),
     "full_table_select": "SELECT * FROM customer",
     "csv_write_read": "SELECT * FROM customer",
     "cached_acquire": f"SELECT status, count(price) AS n_price, max(price) AS max_price FROM ({_ORDERS}) GROUP BY status",
@@ -211,6 +224,9 @@ ORACLE = {
     "code_to_label": "SELECT c_custkey, CASE c_nationkey WHEN 3 THEN 'Los Angeles' WHEN 7 THEN 'Orange' WHEN 11 THEN 'Ventura' END AS county FROM customer",
     "categorical_ids": f"SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(CAST(grade AS BIGINT) AS VARCHAR) AS grade FROM ({_ORDERS})",
     "one_hot_drop_first": f"SELECT o_orderkey, CASE WHEN status = 'O' THEN 1 ELSE 0 END AS is_open, CASE WHEN status = 'P' THEN 1 ELSE 0 END AS is_pending FROM ({_ORDERS})",
+    "one_hot_prefixed": f"SELECT o_orderkey, status, {sql_rd('price', 2)} AS \"O\", 1 AS \"P\", " + ", ".join(
+        f"CASE WHEN status = '{v}' THEN 1 ELSE 0 END AS \"status_{v}\"" for v in "FOP") + f" FROM ({_ORDERS})",
+    "csv_stored_index": f"SELECT CAST(o_orderkey AS INT) AS number, {sql_rd('o_totalprice', 2)} AS price, o_orderstatus AS status, 'int,double,string' AS types FROM orders",
     "numeric_and_suffix_columns": "SELECT " + ", ".join(
         f"{sql_rd(f'avg({c})', 6)} AS mean_{c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ) + ", max(l_extendedprice) AS max_l_extendedprice FROM lineitem",

@@ -84,6 +84,10 @@ def chi2_quality_by_toxic(spark, sf):
     return _round(chi2(derive(spark, sf, DOCS_LABELLED), "quality", "toxic"), chi2=7, p=7)
 
 
+def chi2_many_levels(spark, sf):
+    return _round(chi2(table(spark, sf, "orders"), "o_custkey", "o_orderpriority"), chi2=5, p=7)
+
+
 def chi2_expected(spark, sf):
     return _round(expected_counts(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority"), expected=6)
 
@@ -104,7 +108,7 @@ def ttest_by_group_vs_overall(spark, sf):
 QUERIES = {
     f.__name__: f for f in (
         ttest_two_sample, ttest_significant, anova_oneway, anova_three_groups, anova_alike_groups, tests_without_variance, anova_many_groups, anova_over_quartiles, chi2_independence,
-        chi2_two_by_two, chi2_quality_by_toxic, chi2_expected, pearson_whole, pearson_by_group, ttest_by_group_vs_overall,
+        chi2_two_by_two, chi2_quality_by_toxic, chi2_many_levels, chi2_expected, pearson_whole, pearson_by_group, ttest_by_group_vs_overall,
     )
 } | {"anova_over_quartiles_p": anova_over_quartiles}  # the name it had while anova_over_quartiles left out p
 
@@ -205,6 +209,10 @@ UNION ALL SELECT test, CASE WHEN apart THEN 0e0 ELSE 1e0 END, apart FROM (
     "chi2_independence": _chi2("SELECT * FROM orders", "o_orderstatus", "o_orderpriority", 8, _PLAIN, _CHI8, 7),
     "chi2_two_by_two": _chi2(_EVENTS, "channel", "size", 1, _YATES, _normal_p("sqrt(chi2)"), 6),
     "chi2_quality_by_toxic": _chi2(_DOCS, "quality", "toxic", 1, _YATES, _normal_p("sqrt(chi2)"), 7),
+    "chi2_many_levels": f"""{_cells("SELECT * FROM orders", "o_custkey", "o_orderpriority")},
+x AS (SELECT sum({_PLAIN}) AS chi2, (count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS dof FROM cells),
+p AS (SELECT *, list_sum([exp(i * ln(chi2 / 2) - lgamma(i + 1) - chi2 / 2) FOR i IN range(0, dof // 2)]) AS p FROM x)
+SELECT {sql_rd('chi2', 5)} AS chi2, dof, {sql_rd('p', 7)} AS p, p < 0.05 AS reject FROM p""",
     "chi2_expected": _cells("SELECT * FROM orders", "o_orderstatus", "o_orderpriority")
     + f" SELECT a AS o_orderstatus, b AS o_orderpriority, observed, {sql_rd('expected', 6)} AS expected FROM cells",
     "pearson_whole": _pearson(""),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -54,26 +56,58 @@ def read_jdbc(spark: SparkSession, url: str, **how) -> DataFrame:
 
 
 def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Run a SQL text with the given frames as its tables."""
-    for name, frame in tables.items():
-        frame.createOrReplaceTempView(name)
-    return spark.sql(text)
+    """Run a SQL text with the given frames as its tables. Tables are named in braces, as ``{orders}``; no view is left behind."""
+    return spark.sql(text, **tables)
 
 
-def _is_stored(spark: SparkSession, path: str) -> bool:
-    """Something is at ``path`` and it is not the rest of a write that was broken off."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    unfinished = spark._jvm.org.apache.hadoop.fs.Path(root, "_temporary")
-    return fs.exists(root) and not fs.exists(unfinished)
+class _Files:
+    """The few file operations that publishing needs, on any file system Spark reads."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop
+        self._no_overwrite = spark.sparkContext._gateway.new_array(self._hadoop.fs.Options.Rename, 0)
+        self._context = self._hadoop.fs.FileContext.getFileContext(self.path(path).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+
+    def path(self, name: str):
+        return self._hadoop.fs.Path(name)
+
+    def exists(self, name: str) -> bool:
+        return self._context.util().exists(self.path(name))
+
+    def remove(self, name: str) -> None:
+        if self.exists(name):
+            self._context.delete(self.path(name), True)
+
+    def publish(self, source: str, target: str) -> bool:
+        """Rename in one step, unless the target exists by now."""
+        try:
+            self._context.rename(self.path(source), self.path(target), self._no_overwrite)
+        except Py4JJavaError:
+            if self.exists(target):
+                return False
+            raise
+        return True
 
 
 def acquire_cached(spark: SparkSession, build: Callable[[], DataFrame], path: str, fmt: str = "parquet") -> DataFrame:
     """Build and store the table when its stored copy is missing; always read the stored copy.
 
-    ``path`` must be storage every executor sees. Parquet keeps types, CSV does not.
+    ``path`` must be storage every executor sees. Parquet keeps types, CSV does not. The table is written to a
+    folder of its own, checked for the mark of a finished write, and published by renaming; so a copy is whole or not there. Of
+    two writers at once the first to publish wins, and the other reads the winner's copy. The rest of a write that was broken off, a
+    folder without that mark, is replaced.
     """
-    if not _is_stored(spark, path):
-        writer = build().write.mode("overwrite")
-        writer.csv(path, header=True) if fmt == "csv" else writer.format(fmt).save(path)
+    path = path.rstrip("/")
+    files = _Files(spark, path)
+    if not files.exists(f"{path}/_SUCCESS"):
+        staging = f"{path}.staging-{uuid.uuid4().hex}"
+        try:
+            writer = build().write.mode("errorifexists")
+            writer.csv(staging, header=True) if fmt == "csv" else writer.format(fmt).save(staging)
+            if not files.exists(f"{staging}/_SUCCESS"):
+                raise RuntimeError("the write left no _SUCCESS mark; set mapreduce.fileoutputcommitter.marksuccessfuljobs")
+            while not files.publish(staging, path) and not files.exists(f"{path}/_SUCCESS"):
+                files.remove(path)
+        finally:
+            files.remove(staging)
     return read_table(spark, fmt, path)

@@ -1,5 +1,6 @@
 """Hand-made tables with written-out answers, and properties that hold for any data."""
 
+import itertools
 import math
 import statistics
 
@@ -14,15 +15,18 @@ from tabwork.functions.normal import normal_cdf, normal_ppf
 from tabwork.functions import pvalues
 from tabwork.functions.pvalues import chi2_tail_array, f_tail_array, t_quantile_array, t_two_sided_array
 from tabwork.operators.bins import qcut
-from tabwork.operators.cluster import compare_scaling, elbow, inertia, kmeans_fit
+from tabwork.operators.cluster import assign, compare_scaling, elbow, inertia, kmeans_fit, match_clusters
+from tabwork.operators import missing as missing_operators
+from tabwork.operators import scale as scale_operators
+from tabwork.operators import split as split_operators
 from tabwork.operators.missing import NullPlan, describe_missing, drop_sparse, missing_per_row
 from tabwork.operators.plotdata import histogram, regression_band, scatter_sample, violin, violin_error
 from tabwork.operators.quantile import approximate_quantiles, exact_quantiles, quantile_dict
 from tabwork.operators.relational import latest_per_key
 from tabwork.operators.scale import KINDS, Scaler
 from tabwork.operators.split import _allocate, split, split_sizes
-from tabwork.operators.stats import anova, chi2, pearson, ttest_ind, ttest_vs_overall
-from tabwork.sources.tables import acquire_cached, jdbc_options
+from tabwork.operators.stats import anova, chi2, expected_counts, pearson, ttest_ind, ttest_vs_overall
+from tabwork.sources.tables import acquire_cached, jdbc_options, run_sql
 
 NAN = float("nan")
 
@@ -460,3 +464,138 @@ def test_t_quantile_inverts_the_tail():
         t = t_quantile_array(q, np.full(q.shape, dof))
         assert t_two_sided_array(t, np.full(q.shape, dof)) / 2 == pytest.approx(np.minimum(q, 1 - q), rel=1e-9) and (np.sign(t) == np.sign(q - 0.5)).all()
     assert np.isnan(t_quantile_array([0.5, 1.0, 0.9], [0, 3, np.nan])).all() and t_quantile_array(0.975, 2.0) == pytest.approx(4.302652729749464)
+
+
+def test_chi2_of_many_levels(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 5000, 40_000), rng.integers(0, 3, 40_000)
+    df = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b)] + [(None, 1), (7, None)], "a int, b int").repartition(5)
+    table = np.zeros((5000, 3))
+    np.add.at(table, (a, b), 1)
+    table = table[table.sum(1) > 0]
+    expected = table.sum(1, keepdims=True) * table.sum(0) / table.sum()
+    row = chi2(df, "a", "b").first()
+    assert row["chi2"] == pytest.approx(((table - expected) ** 2 / expected).sum()) and row["dof"] == (len(table) - 1) * 2
+    few = spark.createDataFrame([(0, 0)] * 9 + [(1, 1)] * 5, "a int, b int")
+    gap = 9 - 81 / 14 - 0.5
+    assert chi2(few, "a", "b").first()["chi2"] == pytest.approx(gap**2 * 14 * (1 / 9 + 1 / 5) ** 2)
+    cells = {(r["a"], r["b"]): (r["observed"], r["expected"]) for r in expected_counts(few, "a", "b").collect()}
+    assert cells[(0, 1)] == (0, pytest.approx(45 / 14)) and len(cells) == 4
+    assert chi2(few.where("a = 0"), "a", "b").first()["p"] == 1.0
+    with pytest.raises(ValueError):
+        chi2(few.limit(0), "a", "b")
+
+
+def test_modes_with_ties_and_without_frequent_values(spark, monkeypatch):
+    rows = [(i % 3 if i < 600 else 5, "b" if i % 2 else "a", float(i), None, i % 7 == 0) for i in range(1000)] + [(None, None, NAN, None, None)] * 2000
+    df = normalize_missing(spark.createDataFrame(rows, "i int, s string, x double, nothing string, t boolean").repartition(6))
+    assert missing_operators._modes(df, ["i", "s", "x", "t"]) == {"i": 5, "s": "a", "x": 0.0, "t": False}
+    assert missing_operators._modes(df, ["nothing"]) == {"nothing": None}
+    asked = []
+    real = missing_operators._mode_by_counting
+    monkeypatch.setattr(missing_operators, "_mode_by_counting", lambda d, c: asked.append(c) or real(d, c))
+    missing_operators._modes(df, ["i", "s", "t"])
+    assert asked == []  # the sketch tells them from all others
+    # With room for few values the bound doesn't separate, and the column is counted in full.
+    monkeypatch.setattr(missing_operators, "TRACKED", 32)
+    assert missing_operators._modes(df, ["x", "s"]) == {"x": 0.0, "s": "a"} and "x" in asked
+
+
+def test_power_fit_ends_where_the_likelihood_is_flat(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    data = {"log": rng.lognormal(0, 1, 400), "left": -rng.lognormal(0, 1, 400), "both": rng.normal(0, 3, 400), "far": 1e6 + rng.random(400), "tiny": rng.random(400) * 1e-5}
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*data.values())], ", ".join(f"{c} double" for c in data))
+    calls, real = [], scale_operators._likelihood_slopes
+    monkeypatch.setattr(scale_operators, "_likelihood_slopes", lambda *a: calls.append(1) or real(*a))
+    narrow = ["log", "left", "both"]
+    learned = Scaler(kind="yeojohnson", cols=narrow).fit(df).learned
+    assert len(calls) <= 7
+
+    def likelihood(x, lam):
+        y = np.where(x >= 0, np.expm1(lam * np.log1p(np.abs(x))) / lam, -np.expm1((2 - lam) * np.log1p(np.abs(x))) / (2 - lam))
+        return -len(x) / 2 * math.log(y.var()) + (lam - 1) * np.sum(np.sign(x) * np.log1p(np.abs(x)))
+
+    for c, lam in learned.items():
+        at = [likelihood(data[c], lam + d) for d in (-1e-3, 0.0, 1e-3)]
+        assert at[1] >= max(at[0], at[2]) and abs(at[2] - at[0]) / 2e-3 < 1e-2 * abs(at[0] - 2 * at[1] + at[2]) / 1e-6
+    # A power far outside the usual range is found too, not cut off at a border.
+    assert abs(Scaler(kind="yeojohnson", cols=["tiny"]).fit(df).learned["tiny"]) > 64
+
+
+def test_split_of_very_many_strata(spark):
+    sizes = {i: 1 + i * i % 5 for i in range(20_000)}
+    df = spark.range(20_000).select(F.col("id").alias("s"), F.explode(F.sequence(F.lit(1), F.expr("1 + id * id % 5"))).alias("i")).select(F.expr("s * 10 + i").alias("k"), F.when(F.col("s") > 0, F.col("s")).alias("s"))
+    got = {(r["s"], r["split"]): r["n"] for r in split(df, "k", stratify="s").groupBy("s", "split").agg(F.count("*").alias("n")).collect()}
+    usable = {s or None: c for s, c in sizes.items() if c > 1}
+    test_n, validate_n = split_sizes(sum(sizes.values()), 0.1)
+    test = _allocate(test_n, usable)
+    validate = _allocate(validate_n, {s: c - test[s] for s, c in usable.items()})
+    for s, c in sizes.items():
+        key = s or None
+        assert (got.get((key, "test"), 0), got.get((key, "validate"), 0)) == (test.get(key, 0), validate.get(key, 0)), s
+    assert sum(got.values()) == sum(sizes.values())
+
+
+def test_the_nth_value_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(split_operators, "TOP_ROWS", 10)
+    df = spark.createDataFrame([(None,)] + [(i * 37 % 501,) for i in range(500)], "s int").repartition(7)
+    want = [None, *sorted(i * 37 % 501 for i in range(500))]
+    assert [split_operators._nth(df, n) for n in (1, 2, 11, 250, 501)] == [want[n - 1] for n in (1, 2, 11, 250, 501)]
+
+
+def test_split_refuses_keys_that_do_not_identify(spark):
+    with pytest.raises(ValueError, match="without a value"):
+        split(spark.createDataFrame([(None, 1)] * 20, "k int, x int"), "k")
+    with pytest.raises(ValueError, match="does not identify"):
+        split(spark.range(400).select((F.col("id") % 100).alias("k")), "k")
+
+
+def test_indicators_never_replace_a_column(spark):
+    df = spark.createDataFrame([("price", 1.5), ("size", 2.5)], "kind string, Price double")
+    with pytest.raises(ValueError, match="price"):
+        one_hot(df, "kind", drop_first=False)
+    wide = one_hot(df, "kind", drop_first=False, prefix="is_")
+    assert wide.columns == ["kind", "Price", "is_price", "is_size"] and column(wide.orderBy("Price"), "Price") == [1.5, 2.5]
+
+
+def test_rows_with_missing_values_have_no_cluster(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (9.0, 9.0), (None, 0.0), (9.0, NAN)], "x double, y double")
+    centres = [[0.0, 0.0], [10.0, 10.0]]
+    assert column(assign(df, centres, ["x", "y"]), "cluster") == [0, 1, None, None]
+    assert inertia(df, centres, ["x", "y"]).first()[0] == 2.0
+
+
+def test_cluster_matching_against_every_assignment():
+    rng = np.random.default_rng(2)
+    for k in range(1, 7):
+        for _ in range(30):
+            table = rng.integers(0, 6, (k, k))
+            match = match_clusters([(i, j, int(table[i, j])) for i in range(k) for j in range(k)], k)
+            assert sorted(match) == list(range(k))
+            assert sum(table[i, j] for i, j in enumerate(match)) == max(sum(table[i, p[i]] for i in range(k)) for p in itertools.permutations(range(k)))
+
+
+def test_cache_replaces_a_write_that_was_broken_off(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "part-0.parquet").write_text("rest of something")
+    assert acquire_cached(spark, lambda: spark.range(4), str(path)).count() == 4
+    with pytest.raises(ZeroDivisionError):
+        acquire_cached(spark, lambda: 1 / 0, str(tmp_path / "u"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_cache_of_two_writers_is_the_first_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def slow():
+        acquire_cached(spark, lambda: spark.range(3), path)  # another writer comes first
+        return spark.range(100)
+
+    assert acquire_cached(spark, slow, path).count() == 3
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_sql_text_leaves_no_view(spark):
+    assert run_sql(spark, "SELECT max(id) AS m FROM {left_behind}", {"left_behind": spark.range(4)}).first()["m"] == 3
+    assert not spark.catalog.tableExists("left_behind")

@@ -1,7 +1,6 @@
-"""Registered queries against their SQL checks. TABWORK_ALL=1 takes every query, the default a spread of them."""
+"""Registered queries against their SQL checks, every one of them."""
 
 import inspect
-import os
 
 import pytest
 
@@ -9,14 +8,6 @@ from tabwork.plans.catalogue import ORACLE, QUERIES
 from tests.oracle import connect, differences
 
 SF = "/root/testdata/sf0.001"
-SPREAD = [
-    "latest_txn_enriched", "latest_txn_first_only", "latest_txn_sql_text", "csv_write_read", "cached_acquire", "keep_unknown_units",
-    "col_mismatch_rows", "clip_at_zero", "one_hot_drop_first", "describe_masked", "value_counts_all", "crosstab_wide",
-    "quantiles_by_cells", "quantiles_by_group_cells", "outlier_summary_columns", "qcut_bins", "missing_per_row_orders",
-    "drop_sparse_orders", "impute_plan", "property_join", "ttest_two_sample", "anova_three_groups", "chi2_two_by_two",
-    "pearson_by_group", "split_two_keys", "split_stratified_masked", "scale_robust", "scale_normal", "kmeans_profile",
-    "hist_shared_edges", "box_by_group", "violin_two_keys", "line_by_group", "scatter_by_group",
-]
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +15,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE) if os.environ.get("TABWORK_ALL") else SPREAD)
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SF), con, ORACLE[name]) is None
 

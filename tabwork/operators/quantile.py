@@ -24,7 +24,7 @@ from tabwork.functions.missing import normalize_missing
 
 MAX_DISTINCT = 200_000
 #: A series of up to so many rows is ranked at once.
-CELL_ROWS = 100_000
+CELL_ROWS = 200_000
 #: A cell of more rows is cut again.
 CROWDED_ROWS = 1_000_000
 REFINEMENTS = 4
@@ -172,8 +172,14 @@ def _by_cells(data, cols, qs, by, edges, cell_rows, crowded_rows):
         top = _sketched(data, by, list(cols.values()))
         rows = F.array(*[F.struct(F.lit(i).alias("series"), F.when(F.col(f"n{j}") > cell_rows, F.array_distinct(_at_ranks(f"k{j}", f"n{j}", _cut_ranks(qs)))).alias("cuts"))
                          for j, i in enumerate(cols)])
-        cuts = broadcast_if_small(top.select(*[F.col(f"`{b}`") for b in by], F.inline(rows)).where("cuts is not null"))
+        cuts = top.select(*[F.col(f"`{b}`") for b in by], F.inline(rows)).where("cuts is not null")
+        known = rows_if_small(cuts)
+        if known == []:
+            return _interpolated(_ranked_at_once(_long(data, cols, by), keys, qs), by, cols, qs)
+        cuts = cuts if known is None else F.broadcast(data.sparkSession.createDataFrame(known, cuts.schema))
         values = _joined(_long(data, cols, by), cuts, keys, "left").select(*keys, "x", F.coalesce(_cell_in(F.col("cuts"), F.col("x")), F.lit(0)).alias("cell"))
+    elif not any(edges.values()):
+        return _interpolated(_ranked_at_once(_long(data, cols, []), keys, qs), by, cols, qs)
     else:
         values = _long(data, cols, [], lambda i, c: F.expr(_cell_text(f"`{c}`", edges[i])).alias("cell"))
     hits = _hits(values, keys, qs)
@@ -204,8 +210,28 @@ def _by_cells(data, cols, qs, by, edges, cell_rows, crowded_rows):
         *keys, "n", "x",
         F.explode(F.filter(F.col("ranks"), lambda r: (r - F.col("base") >= F.col("upto") - F.col("c")) & (r - F.col("base") < F.col("upto")))).alias("rank"),
     )
+    return _interpolated(picked.unionByName(single), by, cols, qs)
+
+
+def _ranked_at_once(values, keys, qs):
+    """Rows ``(keys..., n, x, rank)`` of the wanted ranks, for series of few rows: each is ranked whole, equal values counted before."""
+    counted = values.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
+    series = Window.partitionBy(*keys)
+    running = counted.select(*keys, "x", "c", F.sum("c").over(series.orderBy("x")).alias("upto"), F.sum("c").over(series).alias("n"))
+    here = F.filter(_ranks(qs), lambda r: (r >= F.col("upto") - F.col("c")) & (r < F.col("upto")))
+    return running.select(*keys, "n", "x", F.explode(here).alias("rank"))
+
+
+def _ranks(qs):
+    """The ranks from 0 that quantiles of ``n`` values lie between."""
+    return F.array_distinct(F.flatten(F.transform(_array(qs), lambda q: F.array(
+        F.floor(q * (F.col("n") - 1)).cast("bigint"), F.ceil(q * (F.col("n") - 1)).cast("bigint")
+    ))))
+
+
+def _interpolated(picked, by, cols, qs):
     # At most two rows per wanted quantile and series.
-    found = picked.unionByName(single).groupBy(*keys).agg(
+    found = picked.groupBy(*by, "series").agg(
         F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("at")
     )
 
@@ -241,10 +267,7 @@ def _holding(spans, keys):
 def _hits(values, keys, qs):
     per_cell = values.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("low"), F.max("x").alias("high"))
     whole = _spans(per_cell, keys).withColumn("n", F.sum("m").over(Window.partitionBy(*keys)))
-    ranks = F.array_distinct(F.flatten(F.transform(_array(qs), lambda q: F.array(
-        F.floor(q * (F.col("n") - 1)).cast("bigint"), F.ceil(q * (F.col("n") - 1)).cast("bigint")
-    ))))
-    return _holding(whole.select(*keys, "cell", "m", "low", "high", "n", F.col("before").alias("base"), ranks.alias("ranks")), keys)
+    return _holding(whole.select(*keys, "cell", "m", "low", "high", "n", F.col("before").alias("base"), _ranks(qs).alias("ranks")), keys)
 
 
 def _cut_again(values, crowded, keys):

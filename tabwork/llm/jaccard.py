@@ -7,23 +7,27 @@ c(n, m) = ceil(t * (n + m) / (1 + t)) of them. Nodes meet in lists:
   their shingles, for each partner size m up to the boundary.
 * Larger sets (and the small ones that may have a larger partner) list themselves under their
   first n - ceil(t * n) + 1 shingles in one order of all shingles, so two linked sets share a list.
-  The order is that of the hash, but frequent shingles come last: those that are, in some batch of
-  documents, in ``FREQUENT`` of the sets. There can be no more of them than the mean set size over that share.
+  The order is that of the hash, but frequent shingles come last, the rarer ones of them first: those that are, in some batch of
+  documents, in ``FREQUENT`` of the sets. Any order gives the same links.
 * The boundary is the size with the least cost: subsets to write, against list entries times the mean
   length of the lists, both from a count of all sets by size.
-* A list of more than ``light`` nodes is heavy, and so is that of a frequent shingle: it is not scanned, its nodes are listed anew. Shingles
-  are dealt by hash into more parts than two linked sets can differ in, so two linked sets agree
-  in all shingles of one part at least; a node lists itself under each of its parts. A frequent
-  shingle alone brings nobody together there. Sets that are dealt only for their frequent shingles have listed all others, so if
-  they meet in no list they share frequent shingles at most: two of them are compared only if each has c(n, m) frequent ones.
-
-Before the sets of a pair are fetched, bitmaps are compared: each set has a bitmap of the parities of its
-hashed shingles, and two of them differ in no more bits than the sets differ in shingles.
-
-Lists are read in two rounds. First each node is compared with one node of its list; then
-nodes of one list that are not yet in one component are compared in all pairs. Only pairs that
-could not change a component are left out, so components are exact. The lists of parts have no bound on their
-length: sets that have enough frequent shingles, agree in a part and do not link are still compared in all pairs. Shingles are 64-bit hashes;
+
+Lists are worked off so that a group of near copies costs about as many pairs as it has nodes:
+
+* Rounds: each node is compared with one node only, the least of the first nodes of its lists; the links found so far make
+  components, lists that lie within one component are dropped, and the rest goes into the next round,
+  where the node compared with is one of another component. ``ROUNDS`` rounds at most.
+* Lists of up to ``light`` nodes that still hold several components are compared in pairs of different components.
+* The nodes of longer ones are listed anew: shingles are dealt by hash into more parts than two linked sets can differ in, so
+  two linked sets agree in all shingles of one part at least, and a node lists itself under each of its parts. These lists get rounds
+  as well; what is left of them is compared in blocks of ``BLOCK`` nodes against each other, by bitmap, and only pairs that pass are written.
+
+A pair is looked at in a list only if the shingles from the listed one on suffice in both sets, as in the list of its first
+common shingle they must. Each set has a bitmap of the parities of its hashed shingles, and two of them differ in no more
+bits than the sets differ in shingles: bitmaps are compared before the sets of a pair are fetched.
+
+Components are exact: only pairs that could not change a component are left out. What stays quadratic is the comparing of bitmaps, not the
+rows written, in lists of parts of sets that agree in a part, do not link, and number more than a block. Shingles are 64-bit hashes;
 sets are compared by them in full.
 
 Defined results: NULL and empty texts, and texts without words, have an empty set and are linked
@@ -40,7 +44,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwork.llm.common import blobs, chunks, long_array, small_side, stored, text_buffers
@@ -52,14 +56,15 @@ TOP, BOTTOM = 4, 5
 SHINGLE = 5
 #: Largest boundary considered between small and large sets.
 MOST_SMALL = 32
-#: Longest list that is scanned in pairs.
+#: Longest list of the first kind that is compared in pairs.
 LIGHT = 32
+#: Rounds of comparing each node with one other, and nodes of a long list that one task compares with as many others.
+ROUNDS, BLOCK = 3, 1024
 #: Share of the sets of a batch that makes a shingle frequent, and the sets it takes at least.
 FREQUENT, FEWEST = 0.0005, 5
-#: Frequent shingles that are put last, and so sent to the tasks, at most.
+#: Frequent shingles that are put last, and so sent to the tasks, at most: the most frequent ones. Others keep their place by hash; links do not depend on it.
 MOST_FREQUENT = 1_000_000
 _SALT = constants(4, 99)
-_MARK, _ENTRY, _FLAG, _COMMON = 0, 1, 2, 3
 #: Bits of the bitmap of a set.
 BITS = 2048
 
@@ -90,18 +95,23 @@ def _sets_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         yield lo, hi, values, starts, np.where(sizes > 0, nodes, np.uint64(0))
 
 
+def _digest() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def document_nodes(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_shingles, node, first): the node is NULL for empty sets, ``first`` is the least shingle. Other rows hold frequent shingles."""
+    """Rows (doc_id, digest, n_shingles, node, first, bits): the node is NULL for empty sets, ``first`` is the least shingle. Other rows hold frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, none = ["doc_id", "n_shingles", "node", "first", "frequent", "bits"], lambda n: pa.nulls(n, pa.int64())
+        names, none = ["doc_id", "digest", "n_shingles", "node", "first", "frequent", "bits"], lambda n: pa.nulls(n, pa.int64())
         for batch in batches:
             tokens, distinct, seen = [], 0, np.empty(0, np.uint64)
             for lo, hi, values, starts, nodes in _sets_of(batch.column(1)):
                 sizes = np.diff(starts)
                 first = np.append(values, np.uint64(0))[np.minimum(starts[:-1], len(values))]
                 node = pa.compute.if_else(pa.array(sizes == 0), pa.scalar(None, pa.int64()), long_array(nodes))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), node, long_array(first), none(hi - lo), _bitmaps(values, starts)], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), node, long_array(first), none(hi - lo), _bitmaps(values, starts)], names=names)
                 fresh = _fresh(nodes, sizes, seen)
                 seen = np.union1d(seen, nodes[fresh])
                 distinct += int(fresh.sum())
@@ -110,9 +120,9 @@ def document_nodes(docs: DataFrame) -> DataFrame:
                 found = np.sort(np.concatenate(tokens))
                 fewest = max(FEWEST, int(FREQUENT * distinct))
                 often = np.unique(found[: len(found) - fewest + 1][found[: len(found) - fewest + 1] == found[fewest - 1 :]]) if len(found) >= fewest else found[:0]
-                yield pa.RecordBatch.from_arrays([none(len(often))] * 4 + [long_array(often), pa.nulls(len(often), pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([none(len(often))] * 5 + [long_array(often), pa.nulls(len(often), pa.binary())], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, first long, frequent long, bits binary")
+    return docs.select("doc_id", "text", _digest()).mapInArrow(run, "doc_id long, digest long, n_shingles long, node long, first long, frequent long, bits binary")
 
 
 def _bitmaps(values: np.ndarray, starts: np.ndarray) -> pa.Array:
@@ -157,97 +167,135 @@ def _subset_keys(tokens: np.ndarray, boundary: int) -> list[int]:
     return keys
 
 
-def _entries(boundary: int, light: int, frequent):
-    """Entries (key, node, n, kind) of each batch. A key with more than ``light`` nodes in one batch is sent as a mark, its nodes as flags.
+def _entries(boundary: int, frequent):
+    """Entries (key, node, n, pos) of each batch: pos is the place of a listed shingle in the order of the set.
 
-    ``frequent`` is the broadcast sorted array of frequent shingles, whose nodes are flagged as well, as another kind.
+    ``frequent`` is the broadcast pair of the sorted frequent shingles and the rank of each in the order of all.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = frequent.value
+        often, rank = frequent.value
         for batch in batches:
-            keys, owners, sizes_of, flagged, seen = [], [], [], [], np.empty(0, np.uint64)
+            seen = np.empty(0, np.uint64)
             for _, _, values, starts, nodes in _sets_of(batch.column(0)):
                 sizes = np.diff(starts)
                 fresh = _fresh(nodes, sizes, seen)
                 seen = np.union1d(seen, nodes[fresh])
-                last = np.zeros(len(values), bool)
+                owner_of = np.repeat(np.arange(len(sizes)), sizes)
+                place = np.zeros(len(values), np.int64)
                 if len(often):
-                    last = often[np.minimum(np.searchsorted(often, values), len(often) - 1)] == values
-                order = np.argsort(np.repeat(2 * np.arange(len(sizes)), sizes) + last, kind="stable")
+                    at = np.minimum(np.searchsorted(often, values), len(often) - 1)
+                    place = np.where(often[at] == values, rank[at] + 1, 0)
+                order = np.lexsort((place, owner_of))  # keeps the order of hashes among equals
                 take = np.where(fresh & (BOTTOM * sizes >= TOP * (boundary + 1)), prefix_length(sizes), 0)
-                at = order[np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take) + np.repeat(starts[:-1], take)]
+                pos = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take)
                 owner = np.repeat(np.arange(len(nodes)), take)
-                listed = ~last[at]
-                keys.append(values[at[listed]])
-                owners.append(nodes[owner[listed]])
-                sizes_of.append(sizes[owner[listed]])
-                flagged.append(np.unique(owner[~listed]))
-                flagged[-1] = (nodes[flagged[-1]], sizes[flagged[-1]])
+                parts = [(values[order[pos + starts[:-1][owner]]], nodes[owner], sizes[owner], pos)]
                 for i in np.flatnonzero(fresh & (sizes <= boundary)):
                     for found in _subset_keys(values[starts[i] : starts[i + 1]], boundary):
-                        keys.append(found)
-                        owners.append(np.full(len(found), nodes[i]))
-                        sizes_of.append(np.full(len(found), sizes[i]))
-            if not keys:
-                continue
-            key, node, size = np.concatenate(keys), np.concatenate(owners), np.concatenate(sizes_of)
-            order = np.argsort(key, kind="stable")
-            key, node, size = key[order], node[order], size[order]
-            edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-            lengths = np.diff(np.append(edges, len(key)))
-            heavy = np.repeat(lengths > light, lengths)
-            marks = key[edges[lengths > light]]
-            flags, index = np.unique(node[heavy], return_index=True)
-            common, which = np.unique(np.concatenate([f for f, _ in flagged]), return_index=True)
-            parts = [
-                (key[~heavy], node[~heavy], size[~heavy], _ENTRY), (marks, np.zeros(len(marks), np.uint64), np.zeros(len(marks), np.int64), _MARK),
-                (mix(flags), flags, size[heavy][index], _FLAG),
-                (mix(common), common, np.concatenate([z for _, z in flagged])[which], _COMMON),
-            ]
-            for k, nd, sz, kind in parts:
-                for lo in range(0, len(k), 50_000):
-                    part = slice(lo, lo + 50_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [long_array(k[part]), long_array(nd[part]), pa.array(sz[part].astype(np.int32)), pa.array(np.full(len(k[part]), kind, np.int8))], names=["key", "node", "n", "kind"])
+                        parts.append((found, np.full(len(found), nodes[i]), np.full(len(found), sizes[i]), np.zeros(len(found), np.int64)))
+                yield from _entry_rows(*(np.concatenate(column) for column in zip(*parts)))
 
     return run
 
 
-def _scan(light: int):
-    """Lists of two or more nodes from entries in the order (key, kind, node); nodes of heavy lists come out as flagged. Holds ``light`` rows at most between batches."""
-    names = ("key", "node", "n", "kind")
+def _entry_rows(key, node, n, pos):
+    for lo in range(0, len(key), 50_000):
+        part = slice(lo, lo + 50_000)
+        yield pa.RecordBatch.from_arrays([long_array(key[part]), long_array(node[part]), pa.array(n[part].astype(np.int32)), pa.array(pos[part].astype(np.int32))], names=["key", "node", "n", "pos"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry, heavy_key = [np.empty(0, np.int64)] * 4, None
 
-        def finish(key, node, n, kind, heavy_key):
-            edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            lengths = np.diff(np.append(edges, len(key)))
-            heavy = (lengths > light) | (kind[edges] == _MARK) | ((key[edges] == heavy_key) if heavy_key is not None else False)
-            flagged = (np.repeat(heavy, lengths) & (kind == _ENTRY)) | (kind >= _FLAG)
-            listed = np.repeat(~heavy & (lengths > 1), lengths) & (kind == _ENTRY)
-            keep = flagged | listed
-            return pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep]), pa.array(n[keep].astype(np.int32)), pa.array(flagged[keep]), pa.array((flagged & (kind != _COMMON))[keep])], names=["key", "node", "n", "flagged", "heavy"])
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of two or more nodes from entries in the order (key, node), each entry with the first one of its list. Holds one row between batches."""
+    names = ("key", "node", "n", "pos")
+    last, first, waits = None, None, False
+    for batch in batches:
+        rows = np.stack([batch.column(x).to_numpy().astype(np.int64) for x in names])
+        if not rows.shape[1]:
+            continue
+        before = np.concatenate([rows[:2, :1] - 1 if last is None else last[:2, None], rows[:2, :-1]], axis=1)
+        rows = rows[:, (rows[0] != before[0]) | (rows[1] != before[1])]
+        if not rows.shape[1]:
+            continue
+        if last is not None:  # the last entry stands before the batch, to be written if its list goes on
+            rows = np.concatenate([last[:, None], rows], axis=1)
+        heads = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
+        at = np.flatnonzero(heads)
+        lengths = np.diff(np.append(at, rows.shape[1]))
+        firsts = rows[1:, at]
+        if last is not None:
+            firsts[:, 0] = first
+        write = np.repeat(lengths > 1, lengths)
+        if last is not None:
+            write[0] &= waits
+        of = np.repeat(firsts, lengths, axis=1)
+        single = bool(lengths[-1] == 1) and (last is None or len(lengths) > 1)
+        first, last, waits = of[:, -1], rows[:, -1], single
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows[i, write].astype(t)) for i, t in enumerate((np.int64, np.int64, np.int32, np.int32))] + [pa.array(of[i, write].astype(t)) for i, t in enumerate((np.int64, np.int32, np.int32))],
+            names=[*names, "first", "first_n", "first_pos"])
+
+
+def _light_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of different components that a list of bounded length, in the order (key, node), leaves possible."""
+    names = ("key", "node", "n", "pos", "component")
+    carry = np.empty((len(names), 0), np.int64)
+
+    def pairs(rows):
+        key, node, n, pos, component = rows
+        for d in range(1, rows.shape[1]):
+            same = key[d:] == key[:-d]
+            if not same.any():
+                break
+            i = np.flatnonzero(same & (component[d:] != component[:-d]))
+            i = i[_possible(n[i], pos[i], n[i + d], pos[i + d])]
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[i + d])], names=["a", "b"])
 
-        for batch in batches:
-            rows = [np.concatenate([c, batch.column(x).to_numpy().astype(np.int64)]) for c, x in zip(carry, names)]
-            new = np.ones(len(rows[0]), bool)
-            new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]) | (rows[3][1:] != rows[3][:-1])
-            key, node, n, kind = (r[new] for r in rows)
-            if not len(key):
-                continue
-            last = int(np.searchsorted(key, key[-1], "left"))
-            whole = len(key) - last > light or kind[last] == _MARK or key[-1] == heavy_key
-            cut = len(key) if whole else last
-            if cut:
-                yield finish(key[:cut], node[:cut], n[:cut], kind[:cut], heavy_key)
-            heavy_key = key[-1] if whole else None
-            carry = [x[cut:] for x in (key, node, n, kind)]
-        if len(carry[0]):
-            yield finish(*carry, heavy_key)
+    for batch in batches:
+        rows = np.concatenate([carry, np.stack([batch.column(x).to_numpy().astype(np.int64) for x in names])], axis=1)
+        if rows.shape[1]:
+            cut = int(np.searchsorted(rows[0], rows[0, -1], "left"))
+            yield from pairs(rows[:, :cut])
+            carry = rows[:, cut:]
+    yield from pairs(carry)
+
+
+def _possible(n, pos, m, other):
+    """Whether sets of n and m shingles can link if the first shingle they share stands at these places."""
+    need = -(-TOP * (n + m) // (TOP + BOTTOM))
+    return (TOP * n <= BOTTOM * m) & (TOP * m <= BOTTOM * n) & (n - pos >= need) & (m - other >= need)
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of different components, with bitmaps near enough, from pairs of blocks in the order (key, low, high). Holds one pair of blocks."""
+    names = ("key", "low", "high", "own", "node", "n", "pos", "component")
+    rows, bits = np.empty((len(names), 0), np.int64), np.empty((0, BITS // 8), np.uint8)
+
+    def compare(rows, bits):
+        key, low, high, own, node, n, pos, component = rows
+        for i in np.flatnonzero(own == low):
+            other = (own == high) & (component != component[i])
+            if low[i] == high[i]:
+                other &= node > node[i]
+            j = np.flatnonzero(other)
+            j = j[_possible(n[i], pos[i], n[j], pos[j])]
+            most = (n[i] + n[j]) * (BOTTOM - TOP) // (TOP + BOTTOM)
+            j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= most]
+            if len(j):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), node[i])), pa.array(node[j])], names=["a", "b"])
 
-    return run
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.concatenate([rows, np.stack([batch.column(x).to_numpy().astype(np.int64) for x in names])], axis=1)
+        bits = np.concatenate([bits, text_buffers(batch.column("bits"))[0].reshape(batch.num_rows, -1)])
+        heads = np.flatnonzero(np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]))
+        for lo, hi in zip(heads[:-1], heads[1:]):
+            yield from compare(rows[:, lo:hi], bits[lo:hi])
+        rows, bits = rows[:, heads[-1] :], bits[heads[-1] :]
+    if rows.shape[1]:
+        yield from compare(rows, bits)
 
 
 def _class_starts() -> np.ndarray:
@@ -285,22 +333,13 @@ def _fetch(docs: DataFrame, nodes: DataFrame, known: DataFrame, body, schema: st
     return docs.select("doc_id", "text").join(small_side(ids, 8), "doc_id", "left_semi").select("text").mapInArrow(body, schema)
 
 
-def _part_entries(frequent):
-    """Entries (key, node, n, common) of the parts; ``common`` is how many of the set's shingles are frequent."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = frequent.value
-        for batch in batches:
-            for _, _, values, starts, nodes in _sets_of(batch.column(0)):
-                keys = [_part_keys(values[a:b]) if b > a else np.empty(0, np.uint64) for a, b in zip(starts[:-1], starts[1:])]
-                times = np.array([len(k) for k in keys])
-                known = np.concatenate([[0], np.cumsum(np.isin(values, often))])
-                common = known[starts[1:]] - known[starts[:-1]]
-                yield pa.RecordBatch.from_arrays(
-                    [long_array(np.concatenate(keys)), long_array(np.repeat(nodes, times)), *(pa.array(np.repeat(x, times).astype(np.int32)) for x in (np.diff(starts), common))],
-                    names=["key", "node", "n", "common"])
-
-    return run
+def _part_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries (key, node, n, pos) of the parts; a part has no place in an order."""
+    for batch in batches:
+        for _, _, values, starts, nodes in _sets_of(batch.column(0)):
+            keys = [_part_keys(values[a:b]) if b > a else np.empty(0, np.uint64) for a, b in zip(starts[:-1], starts[1:])]
+            times = np.array([len(k) for k in keys])
+            yield from _entry_rows(np.concatenate(keys), np.repeat(nodes, times), np.repeat(np.diff(starts), times), np.zeros(int(times.sum()), np.int64))
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,64 +386,125 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+_LIST = "key long, node long, n int, pos int, first long, first_n int, first_pos int"
+
+
+def _lists(entries: DataFrame) -> DataFrame:
+    return stored(entries.sparkSession, entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_scan, _LIST), "lists")
+
+
+def _may_link(n: str, pos: str, m: str, other: str):
+    need = F.ceil(TOP * (F.col(n) + F.col(m)) / (TOP + BOTTOM))
+    return _fits(n, m) & (F.col(n) - F.col(pos) >= need) & (F.col(m) - F.col(other) >= need)
+
+
+def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFrame, links: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None, DataFrame]:
+    """Rounds over the lists: all links known then, the components they make, and the lists that still hold several components, with component and length."""
+    spark, tried, found = docs.sparkSession, None, components(links) if links is not None else None
+    for attempt in range(ROUNDS):
+        if found is None:
+            near = lists.where(F.col("node") != F.col("first")).where(_may_link("n", "pos", "first_n", "first_pos"))
+        else:
+            lists = _several(spark, lists, found)
+            heads = lists.groupBy("key").agg(F.min(F.struct("component", "node", "n", "pos")).alias("h"))
+            heads = heads.select("key", F.col("h.component").alias("beside"), F.col("h.node").alias("first"), F.col("h.n").alias("first_n"), F.col("h.pos").alias("first_pos"))
+            near = lists.select("key", "node", "n", "pos", "component").join(heads, "key").where(F.col("component") != F.col("beside")).where(_may_link("n", "pos", "first_n", "first_pos"))
+        near = near.select(F.col("node").alias("a"), F.col("first").alias("b"))
+        near = _ordered((near if tried is None else near.join(tried, ["a", "b"], "left_anti")).groupBy("a").agg(F.min("b").alias("b")))
+        fresh = stored(spark, near, "pairs")
+        if fresh.isEmpty():
+            break
+        both = fresh.unionByName(fresh.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tried = both if tried is None else tried.unionByName(both)
+        more = stored(spark, _verify(docs, known, fresh, bitmaps), "verified")
+        if more.isEmpty():
+            break
+        links = more if links is None else links.unionByName(more)
+        found = components(links)
+    return links, found, _several(spark, lists, found)
+
+
+def _several(spark, lists: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Entries of the lists that hold nodes of several components."""
+    rows = lists.select("key", "node", "n", "pos")
+    placed = rows.withColumn("component", F.col("node")) if found is None else rows.join(found, "node", "left").select("key", "node", "n", "pos", F.coalesce("component", "node").alias("component"))
+    held = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("length")).where("low <> high").select("key", "length")
+    return stored(spark, placed.join(held, "key"), "several")
+
+
+def _in_blocks(lists: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Candidate pairs of long lists: each pair of blocks of a list is one group of rows, of bounded size."""
+    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
+    cut = lists.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = cut.join(bitmaps.select("node", "bits"), "node").select(
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "pos", "component", "bits")
+    return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_block_pairs, "a long, b long")
+
+
 def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, light: int = LIGHT) -> DataFrame:
     """Rows (node, component) of the nodes that link with another one. ``known`` and ``frequent`` are of ``document_nodes``."""
     spark = docs.sparkSession
     small = known.where(F.col("n_shingles").between(1, MOST_SMALL)).groupBy("n_shingles", "node").agg(F.first("first").alias("first"))
     sizes = small.groupBy("n_shingles").agg(F.count("*").alias("sets"), F.countDistinct("first").alias("firsts")).collect()
     boundary = choose_boundary([tuple(r) for r in sizes])
-    often = np.sort(np.array([r["frequent"] for r in frequent.collect()], np.int64).view(np.uint64))
-    sent = spark.sparkContext.broadcast(often)
-    entries = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_entries(boundary, light, sent), "key long, node long, n int, kind byte")
-    scanned = entries.repartition("key").sortWithinPartitions("key", "kind", "node").mapInArrow(_scan(light), "key long, node long, n int, flagged boolean, heavy boolean")
-    scanned = stored(spark, scanned, "lists")
-    heavy = scanned.where("flagged").select("node").distinct()
-    beside = Window.partitionBy("key").orderBy("node")
-    hot = stored(spark, scanned.where("heavy").select("node").distinct().withColumn("hot", F.lit(True)), "heavy")
-    parts = _fetch(docs, heavy, known, _part_entries(sent), "key long, node long, n int, common int")
-    parts = parts.withColumn("shared", F.lag("node").over(beside).isNotNull() | F.lead("node").over(beside).isNotNull()).where("shared")
-    parts = parts.join(small_side(hot, 64), "node", "left").select("key", "node", "n", F.when(F.col("hot"), F.col("n")).otherwise(F.col("common")).alias("common"))
-    lists = stored(spark, scanned.where("NOT flagged").select("key", "node", "n", F.col("n").alias("common")).unionByName(parts), "lists")
-
-    pivots = lists.groupBy("key").agg(F.min(F.struct("node", "n")).alias("pivot")).select("key", F.col("pivot.node").alias("b"), F.col("pivot.n").alias("m"))
-    tried = stored(spark, _ordered(lists.join(pivots, "key").where((F.col("node") != F.col("b")) & _fits("n", "m")).select(F.col("node").alias("a"), "b")), "pairs")
+    by_count = np.array([r["frequent"] for r in frequent.collect()], np.int64).view(np.uint64)[::-1]
+    order = np.argsort(by_count)
+    sent = spark.sparkContext.broadcast((by_count[order], order))
+    entries = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_entries(boundary, sent), "key long, node long, n int, pos int")
+    lists = _lists(entries)
     bitmaps = stored(spark, known.join(lists.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits").dropDuplicates(["node"]), "bitmaps")
-    links = stored(spark, _verify(docs, known, tried, bitmaps), "verified")
-
-    found = components(links)
-    placed = lists.join(found, "node", "left").select("key", "node", "n", "common", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    placed = stored(spark, placed.join(mixed, "key"), "mixed")
-    other = placed.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("common").alias("most"), F.col("component").alias("beside"))
-    # First the sizes that can link, so that no row is made for nodes of other sizes.
-    sizes = placed.select("key", "n", "common").distinct()
-    able = sizes.join(sizes.select("key", F.col("n").alias("m"), F.col("common").alias("most")), "key")
-    able = able.where(_fits("n", "m") & ((TOP + BOTTOM) * F.least("common", "most") >= TOP * (F.col("n") + F.col("m"))))
-    rest = placed.join(able, ["key", "n", "common"]).join(other, ["key", "m", "most"]).where((F.col("node") < F.col("b")) & (F.col("component") != F.col("beside")))
-    rest = rest.select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = stored(spark, _verify(docs, known, rest, bitmaps), "verified")
-    return found if more.isEmpty() else components(links.unionByName(more))
-
-
-def groups(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id): the smallest id that links and copies reach."""
+    links, found, lists = _rounds(docs, known, lists, bitmaps, None)
+
+    rest = lists.where(F.col("length") <= light).repartition("key").sortWithinPartitions("key", "node").mapInArrow(_light_pairs, "a long, b long")
+    more = stored(spark, _verify(docs, known, _ordered(rest), bitmaps), "verified")
+    if not more.isEmpty():
+        links = more if links is None else links.unionByName(more)
+    long = lists.where(F.col("length") > light).select("node").distinct()
+    if not long.isEmpty():
+        dealt = _lists(_fetch(docs, long, known, _part_entries, "key long, node long, n int, pos int"))
+        links, found, dealt = _rounds(docs, known, dealt, bitmaps, links)
+        more = stored(spark, _verify(docs, known, _ordered(_in_blocks(dealt, bitmaps)), bitmaps), "verified")
+        if not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
+    return spark.createDataFrame([], "node long, component long") if links is None else components(links)
+
+
+def document_groups(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, digest, n_shingles, group, component_id) of each row: groups are told apart by a number, empty sets have none."""
     spark = docs.sparkSession
     made = stored(spark, document_nodes(docs), "nodes")
     known = made.where("frequent IS NULL").drop("frequent")
-    # Any set of shingles may come last, so a bound on their number costs time at worst.
     frequent = made.where("frequent IS NOT NULL").groupBy("frequent").count().orderBy(F.desc("count"), "frequent").select("frequent").limit(MOST_FREQUENT)
     nodes = known.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     found = link_components(docs, nodes, frequent)
     least = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_node = least.join(of, "component").select("node", "component_id")
-    joined = known.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    by_node = least.join(of, "component").select("node", F.col("component").alias("group"), "component_id")
+    joined = known.select("doc_id", "digest", "n_shingles", "node").join(by_node, "node", "left")
+    return joined.select("doc_id", "digest", "n_shingles", "group", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id): the smallest id that links and copies reach."""
+    return document_groups(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns; of repeated rows one stays, rows with NULL ids all do."""
-    kept = groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    marked = docs.join(kept, docs["doc_id"] == kept["_kept"], "left")
-    one = marked.where(F.col("_kept").isNotNull()).drop("_kept").dropDuplicates(["doc_id"])
+    """One document of each group, one with the smallest id, with all its columns; rows with NULL ids all stay.
+
+    Where an id has several texts, each that is in a group of its own stays: only repeats and near copies go.
+    """
+    id_name, text_name, group_name = (_free(docs, name) for name in ("kept_id", "kept_text", "kept_group"))
+    firsts = document_groups(docs).where("doc_id = component_id").groupBy("doc_id", F.coalesce("group", "digest").alias(group_name)).agg(F.min("digest").alias(text_name))
+    firsts = firsts.withColumnRenamed("doc_id", id_name)
+    marked = docs.join(firsts, (docs["doc_id"] == firsts[id_name]) & (_digest() == firsts[text_name]))
+    one = marked.dropDuplicates([id_name, group_name]).select(*[F.col(f"`{c}`") for c in docs.columns])
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -14,20 +14,21 @@ c(n, m) = ceil(t * (n + m) / (1 + t)) of them. Nodes meet in lists:
 
 Lists are worked off so that a group of near copies costs about as many pairs as it has nodes:
 
-* Rounds: each node is compared with one node only, the least of the first nodes of its lists; the links found so far make
+* Rounds: each node is compared with one node only, the one that stands first in most of its lists; the links found so far make
   components, lists that lie within one component are dropped, and the rest goes into the next round,
   where the node compared with is one of another component. ``ROUNDS`` rounds at most.
 * Lists of up to ``light`` nodes that still hold several components are compared in pairs of different components.
 * The nodes of longer ones are listed anew: shingles are dealt by hash into more parts than two linked sets can differ in, so
-  two linked sets agree in all shingles of one part at least, and a node lists itself under each of its parts. These lists get rounds
-  as well; what is left of them is compared in blocks of ``BLOCK`` nodes against each other, by bitmap, and only pairs that pass are written.
+  two linked sets agree in all shingles of one part at least, and a node lists itself under each of its parts. These lists
+  are compared in blocks of ``BLOCK`` nodes against each other, by bitmap, and only pairs that pass are written: at first only the
+  nearest one of another component for each node, again and again while such pairs link, and what then still lies apart in full.
 
 A pair is looked at in a list only if the shingles from the listed one on suffice in both sets, as in the list of its first
 common shingle they must. Each set has a bitmap of the parities of its hashed shingles, and two of them differ in no more
 bits than the sets differ in shingles: bitmaps are compared before the sets of a pair are fetched.
 
 Components are exact: only pairs that could not change a component are left out. What stays quadratic is the comparing of bitmaps, not the
-rows written, in lists of parts of sets that agree in a part, do not link, and number more than a block. Shingles are 64-bit hashes;
+rows written, in lists of parts of many sets that agree in a part and do not link. Shingles are 64-bit hashes;
 sets are compared by them in full.
 
 Defined results: NULL and empty texts, and texts without words, have an empty set and are linked
@@ -59,7 +60,9 @@ MOST_SMALL = 32
 #: Longest list of the first kind that is compared in pairs.
 LIGHT = 32
 #: Rounds of comparing each node with one other, and nodes of a long list that one task compares with as many others.
-ROUNDS, BLOCK = 3, 1024
+ROUNDS, BLOCK = 2, 1024
+#: Passes over blocks at most in which a node is compared with the nearest one of another component only; what then remains is compared in full.
+NEAREST = 8
 #: Share of the sets of a batch that makes a shingle frequent, and the sets it takes at least.
 FREQUENT, FEWEST = 0.0005, 5
 #: Frequent shingles that are put last, and so sent to the tasks, at most: the most frequent ones. Others keep their place by hash; links do not depend on it.
@@ -67,6 +70,8 @@ MOST_FREQUENT = 1_000_000
 _SALT = constants(4, 99)
 #: Bits of the bitmap of a set.
 BITS = 2048
+#: Bits of the folded one, that is compared before a pair is written.
+FOLDED = 512
 
 
 def shared_needed(n: int, m: int) -> int:
@@ -104,14 +109,14 @@ def document_nodes(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, digest, n_shingles, node, first, bits): the node is NULL for empty sets, ``first`` is the least shingle. Other rows hold frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, none = ["doc_id", "digest", "n_shingles", "node", "first", "frequent", "bits"], lambda n: pa.nulls(n, pa.int64())
+        names, none = ["doc_id", "digest", "n_shingles", "node", "first", "frequent", "bits", "folded"], lambda n: pa.nulls(n, pa.int64())
         for batch in batches:
             tokens, distinct, seen = [], 0, np.empty(0, np.uint64)
             for lo, hi, values, starts, nodes in _sets_of(batch.column(1)):
                 sizes = np.diff(starts)
                 first = np.append(values, np.uint64(0))[np.minimum(starts[:-1], len(values))]
                 node = pa.compute.if_else(pa.array(sizes == 0), pa.scalar(None, pa.int64()), long_array(nodes))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), node, long_array(first), none(hi - lo), _bitmaps(values, starts)], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), node, long_array(first), none(hi - lo), *_bitmaps(values, starts)], names=names)
                 fresh = _fresh(nodes, sizes, seen)
                 seen = np.union1d(seen, nodes[fresh])
                 distinct += int(fresh.sum())
@@ -120,16 +125,18 @@ def document_nodes(docs: DataFrame) -> DataFrame:
                 found = np.sort(np.concatenate(tokens))
                 fewest = max(FEWEST, int(FREQUENT * distinct))
                 often = np.unique(found[: len(found) - fewest + 1][found[: len(found) - fewest + 1] == found[fewest - 1 :]]) if len(found) >= fewest else found[:0]
-                yield pa.RecordBatch.from_arrays([none(len(often))] * 5 + [long_array(often), pa.nulls(len(often), pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([none(len(often))] * 5 + [long_array(often)] + [pa.nulls(len(often), pa.binary())] * 2, names=names)
 
-    return docs.select("doc_id", "text", _digest()).mapInArrow(run, "doc_id long, digest long, n_shingles long, node long, first long, frequent long, bits binary")
+    return docs.select("doc_id", "text", _digest()).mapInArrow(run, "doc_id long, digest long, n_shingles long, node long, first long, frequent long, bits binary, folded binary")
 
 
-def _bitmaps(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+def _bitmaps(values: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Bitmaps of the sets, and the same folded to ``FOLDED`` bits."""
     rows = len(starts) - 1
     place = np.repeat(np.arange(rows), np.diff(starts)) * BITS + (values >> np.uint64(7)).astype(np.int64) % BITS
     bits = np.packbits((np.bincount(place, minlength=rows * BITS) & 1).astype(bool))
-    return blobs(bits, np.arange(rows + 1) * (BITS // 8))
+    folded = np.bitwise_xor.reduce(bits.reshape(rows, BITS // FOLDED, FOLDED // 8), axis=1).ravel()
+    return blobs(bits, np.arange(rows + 1) * (BITS // 8)), blobs(folded, np.arange(rows + 1) * (FOLDED // 8))
 
 
 def _fresh(nodes: np.ndarray, sizes: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -239,9 +246,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _light_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) of different components that a list of bounded length, in the order (key, node), leaves possible."""
     names = ("key", "node", "n", "pos", "component")
-    carry = np.empty((len(names), 0), np.int64)
+    rows, bits = np.empty((len(names), 0), np.int64), np.empty((0, FOLDED // 8), np.uint8)
 
-    def pairs(rows):
+    def pairs(rows, bits):
         key, node, n, pos, component = rows
         for d in range(1, rows.shape[1]):
             same = key[d:] == key[:-d]
@@ -249,16 +256,19 @@ def _light_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 break
             i = np.flatnonzero(same & (component[d:] != component[:-d]))
             i = i[_possible(n[i], pos[i], n[i + d], pos[i + d])]
+            most = (n[i] + n[i + d]) * (BOTTOM - TOP) // (TOP + BOTTOM)
+            i = i[np.bitwise_count(bits[i] ^ bits[i + d]).sum(axis=1, dtype=np.int64) <= most]
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[i + d])], names=["a", "b"])
 
     for batch in batches:
-        rows = np.concatenate([carry, np.stack([batch.column(x).to_numpy().astype(np.int64) for x in names])], axis=1)
-        if rows.shape[1]:
+        if batch.num_rows:
+            rows = np.concatenate([rows, np.stack([batch.column(x).to_numpy().astype(np.int64) for x in names])], axis=1)
+            bits = np.concatenate([bits, text_buffers(batch.column("folded"))[0].reshape(batch.num_rows, -1)])
             cut = int(np.searchsorted(rows[0], rows[0, -1], "left"))
-            yield from pairs(rows[:, :cut])
-            carry = rows[:, cut:]
-    yield from pairs(carry)
+            yield from pairs(rows[:, :cut], bits[:cut])
+            rows, bits = rows[:, cut:], bits[cut:]
+    yield from pairs(rows, bits)
 
 
 def _possible(n, pos, m, other):
@@ -267,35 +277,45 @@ def _possible(n, pos, m, other):
     return (TOP * n <= BOTTOM * m) & (TOP * m <= BOTTOM * n) & (n - pos >= need) & (m - other >= need)
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of different components, with bitmaps near enough, from pairs of blocks in the order (key, low, high). Holds one pair of blocks."""
+def _block_pairs(nearest: bool):
+    """Pairs (a, b, apart) of different components, with bitmaps near enough, from pairs of blocks in the order (key, low, high). Holds one pair of blocks.
+
+    ``nearest`` gives each node only the nearest one of another component in the other block.
+    """
     names = ("key", "low", "high", "own", "node", "n", "pos", "component")
-    rows, bits = np.empty((len(names), 0), np.int64), np.empty((0, BITS // 8), np.uint8)
 
     def compare(rows, bits):
         key, low, high, own, node, n, pos, component = rows
-        for i in np.flatnonzero(own == low):
-            other = (own == high) & (component != component[i])
-            if low[i] == high[i]:
+        for i in np.flatnonzero(own >= low) if nearest else np.flatnonzero(own == low):
+            other = (own == (low[i] + high[i] - own[i])) & (component != component[i])
+            if low[i] == high[i] and not nearest:
                 other &= node > node[i]
             j = np.flatnonzero(other)
             j = j[_possible(n[i], pos[i], n[j], pos[j])]
             most = (n[i] + n[j]) * (BOTTOM - TOP) // (TOP + BOTTOM)
-            j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= most]
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            j, apart = j[apart <= most], apart[apart <= most]
+            if nearest and len(j):
+                pick = np.lexsort((node[j], apart))[:1]
+                j, apart = j[pick], apart[pick]
             if len(j):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), node[i])), pa.array(node[j])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), node[i])), pa.array(node[j]), pa.array(apart)], names=["a", "b", "apart"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = np.concatenate([rows, np.stack([batch.column(x).to_numpy().astype(np.int64) for x in names])], axis=1)
-        bits = np.concatenate([bits, text_buffers(batch.column("bits"))[0].reshape(batch.num_rows, -1)])
-        heads = np.flatnonzero(np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]))
-        for lo, hi in zip(heads[:-1], heads[1:]):
-            yield from compare(rows[:, lo:hi], bits[lo:hi])
-        rows, bits = rows[:, heads[-1] :], bits[heads[-1] :]
-    if rows.shape[1]:
-        yield from compare(rows, bits)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, bits = np.empty((len(names), 0), np.int64), np.empty((0, BITS // 8), np.uint8)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.concatenate([rows, np.stack([batch.column(x).to_numpy().astype(np.int64) for x in names])], axis=1)
+            bits = np.concatenate([bits, text_buffers(batch.column("bits"))[0].reshape(batch.num_rows, -1)])
+            heads = np.flatnonzero(np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]))
+            for lo, hi in zip(heads[:-1], heads[1:]):
+                yield from compare(rows[:, lo:hi], bits[lo:hi])
+            rows, bits = rows[:, heads[-1] :], bits[heads[-1] :]
+        if rows.shape[1]:
+            yield from compare(rows, bits)
+
+    return run
 
 
 def _class_starts() -> np.ndarray:
@@ -398,10 +418,10 @@ def _may_link(n: str, pos: str, m: str, other: str):
     return _fits(n, m) & (F.col(n) - F.col(pos) >= need) & (F.col(m) - F.col(other) >= need)
 
 
-def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFrame, links: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None, DataFrame]:
-    """Rounds over the lists: all links known then, the components they make, and the lists that still hold several components, with component and length."""
-    spark, tried, found = docs.sparkSession, None, components(links) if links is not None else None
-    for attempt in range(ROUNDS):
+def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """Rounds over the lists: the links found, and the lists that still hold several of the components they make, with component and length."""
+    spark, tried, links, found = docs.sparkSession, None, None, None
+    for _ in range(ROUNDS):
         if found is None:
             near = lists.where(F.col("node") != F.col("first")).where(_may_link("n", "pos", "first_n", "first_pos"))
         else:
@@ -409,9 +429,10 @@ def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFr
             heads = lists.groupBy("key").agg(F.min(F.struct("component", "node", "n", "pos")).alias("h"))
             heads = heads.select("key", F.col("h.component").alias("beside"), F.col("h.node").alias("first"), F.col("h.n").alias("first_n"), F.col("h.pos").alias("first_pos"))
             near = lists.select("key", "node", "n", "pos", "component").join(heads, "key").where(F.col("component") != F.col("beside")).where(_may_link("n", "pos", "first_n", "first_pos"))
-        near = near.select(F.col("node").alias("a"), F.col("first").alias("b"))
-        near = _ordered((near if tried is None else near.join(tried, ["a", "b"], "left_anti")).groupBy("a").agg(F.min("b").alias("b")))
-        fresh = stored(spark, near, "pairs")
+        # Of the nodes that stand first in its lists, a node is compared with the one that does so most often: alike sets share most lists.
+        near = near.groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.count("*").alias("times"))
+        near = near if tried is None else near.join(tried, ["a", "b"], "left_anti")
+        fresh = stored(spark, _ordered(near.groupBy("a").agg(F.max(F.struct("times", "b"))["b"].alias("b"))), "pairs")
         if fresh.isEmpty():
             break
         both = fresh.unionByName(fresh.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -421,7 +442,7 @@ def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFr
             break
         links = more if links is None else links.unionByName(more)
         found = components(links)
-    return links, found, _several(spark, lists, found)
+    return links, _several(spark, lists, found)
 
 
 def _several(spark, lists: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -432,13 +453,14 @@ def _several(spark, lists: DataFrame, found: DataFrame | None) -> DataFrame:
     return stored(spark, placed.join(held, "key"), "several")
 
 
-def _in_blocks(lists: DataFrame, bitmaps: DataFrame) -> DataFrame:
+def _in_blocks(lists: DataFrame, bitmaps: DataFrame, nearest: bool) -> DataFrame:
     """Candidate pairs of long lists: each pair of blocks of a list is one group of rows, of bounded size."""
     blocks = F.ceil(F.col("length") / BLOCK).cast("int")
     cut = lists.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = cut.join(bitmaps.select("node", "bits"), "node").select(
         "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "pos", "component", "bits")
-    return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_block_pairs, "a long, b long")
+    pairs = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_block_pairs(nearest), "a long, b long, apart long")
+    return _ordered(pairs.groupBy("a").agg(F.min(F.struct("apart", "b"))["b"].alias("b")) if nearest else pairs)
 
 
 def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, light: int = LIGHT) -> DataFrame:
@@ -452,20 +474,29 @@ def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, ligh
     sent = spark.sparkContext.broadcast((by_count[order], order))
     entries = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_entries(boundary, sent), "key long, node long, n int, pos int")
     lists = _lists(entries)
-    bitmaps = stored(spark, known.join(lists.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits").dropDuplicates(["node"]), "bitmaps")
-    links, found, lists = _rounds(docs, known, lists, bitmaps, None)
+    bitmaps = stored(spark, known.join(lists.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits", "folded").dropDuplicates(["node"]), "bitmaps")
+    links, lists = _rounds(docs, known, lists, bitmaps)
 
-    rest = lists.where(F.col("length") <= light).repartition("key").sortWithinPartitions("key", "node").mapInArrow(_light_pairs, "a long, b long")
+    rest = lists.where(F.col("length") <= light).join(bitmaps.select("node", "folded"), "node").repartition("key").sortWithinPartitions("key", "node").mapInArrow(_light_pairs, "a long, b long")
     more = stored(spark, _verify(docs, known, _ordered(rest), bitmaps), "verified")
     if not more.isEmpty():
         links = more if links is None else links.unionByName(more)
     long = lists.where(F.col("length") > light).select("node").distinct()
     if not long.isEmpty():
         dealt = _lists(_fetch(docs, long, known, _part_entries, "key long, node long, n int, pos int"))
-        links, found, dealt = _rounds(docs, known, dealt, bitmaps, links)
-        more = stored(spark, _verify(docs, known, _ordered(_in_blocks(dealt, bitmaps)), bitmaps), "verified")
-        if not more.isEmpty():
-            links = more if links is None else links.unionByName(more)
+        dealt = _several(spark, dealt, None if links is None else components(links))
+        nearest, passes = True, 0
+        while True:
+            more = stored(spark, _verify(docs, known, _in_blocks(dealt, bitmaps, nearest), bitmaps), "verified")
+            if not more.isEmpty():
+                links = more if links is None else links.unionByName(more)
+            if not nearest:
+                break
+            # As long as nearest ones link, each pass joins every component that has a link to another one.
+            passes += 1
+            nearest = not more.isEmpty() and passes < NEAREST
+            if not more.isEmpty():
+                dealt = _several(spark, dealt, components(links))
     return spark.createDataFrame([], "node long, component long") if links is None else components(links)
 
 

@@ -20,8 +20,8 @@ Spans of a document that overlap or touch are joined. Hashes of words have 64 bi
 a span rests on ``min_words`` equal word hashes in a row.
 
 Defined results: NULL and empty texts have no spans; a repetition within one document counts as any
-other; rows that share id and text are copies; NULL ids take part under their own NULL;
-an empty table gives no rows; other columns are ignored.
+other; rows that share id and text are copies; different texts of one id, or of NULL, are
+documents of their own, each with its spans; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,13 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwork.llm.common import blobs, chunks, long_array, small_side, stored, text_buffers
 from tabwork.llm.text import NOT_SPACE, Words, constants, mix, windows, words
 
 MIN_WORDS, SEED = 50, 26
+#: What a document is known by: its id and a digest of its text.
+_DOC = "doc struct<doc_id:bigint,digest:bigint>"
 HELD = 32768
 
 
@@ -79,7 +81,7 @@ def _seed_rows(seed: int, window: int, min_words: int):
                 again = np.flatnonzero(counts[inverse] > 1)
                 for places, known in ((again, True), (once, False)):
                     columns = [ids.take(pa.array(owner[places])), pa.array(at[places].astype(np.int32)), long_array(hashes[places]), pa.array(np.full(len(places), known))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "word", "seed", "known"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc", "word", "seed", "known"])
 
     return run
 
@@ -112,11 +114,17 @@ def _suffix_rows(min_words: int, seed: int):
                     rows = np.arange(len(context) + 1) * context.shape[1]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(lo, hi - lo).take(pa.array(owner[part])), pa.array(at[part].astype(np.int32)), long_array(hashes[part]), blobs(context.ravel(), rows)],
-                        names=["doc_id", "word", "seed", "context"])
+                        names=["doc", "word", "seed", "context"])
 
     return run
 
 
+def _codes(doc: pa.Array) -> np.ndarray:
+    """A number for each document of a column of (id, digest)."""
+    ids, digests = (column.dictionary_encode().indices.fill_null(-1).to_numpy().astype(np.int64) + 1 for column in doc.flatten())
+    return ids * (len(doc) + 1) + digests
+
+
 def _matches(min_words: int, seed: int, held: int):
     """Reads suffixes in order and gives spans (key NULL), or the windows of seeds with too many suffixes (key is the window's hash)."""
     left, right = min_words - seed, 2 * min_words - seed
@@ -138,7 +146,7 @@ def _matches(min_words: int, seed: int, held: int):
     def block(rows: list, parted: bool) -> Iterator[pa.RecordBatch]:
         """Spans of complete groups of suffixes; ``parted``: of a part of one group, with the windows the other parts must see."""
         doc, word, seeds, context = rows
-        n, code = len(word), doc.dictionary_encode().indices.fill_null(-1).to_numpy().astype(np.int64)
+        n, code = len(word), _codes(doc)
         behind, before = split(context)
         same = seeds[1:] == seeds[:-1]
 
@@ -180,7 +188,7 @@ def _matches(min_words: int, seed: int, held: int):
             yield spans(doc, index[new], at[new], ends, pa.nulls(len(new), pa.int64()))
 
     def spans(doc: pa.Array, index: np.ndarray, start: np.ndarray, stop: np.ndarray, key: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([doc.take(pa.array(index)), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), key], names=["doc_id", "start", "stop", "key"])
+        return pa.RecordBatch.from_arrays([doc.take(pa.array(index)), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), key], names=["doc", "start", "stop", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry, frequent = None, None
@@ -215,10 +223,14 @@ def _matches(min_words: int, seed: int, held: int):
 
 def _joined(spans: DataFrame) -> DataFrame:
     """Overlapping and touching spans of each document as one."""
-    before = Window.partitionBy("doc_id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("doc").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
     marked = spans.withColumn("new", F.coalesce(F.col("start") > F.max("stop").over(before), F.lit(True)).cast("int"))
-    numbered = marked.withColumn("span", F.sum("new").over(Window.partitionBy("doc_id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("doc_id", "span").agg(F.min("start").alias("start_word"), F.max("stop").alias("end_word")).drop("span")
+    numbered = marked.withColumn("span", F.sum("new").over(Window.partitionBy("doc").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("doc", "span").agg(F.min("start").alias("start_word"), F.max("stop").alias("end_word")).drop("span")
+
+
+def _doc() -> Column:
+    return F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest")).alias("doc")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, seed: int = SEED, held: int = HELD) -> DataFrame:
@@ -227,17 +239,18 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, seed: int = SEED
     if not 0 < seed <= min_words:
         raise ValueError("a seed has at least one word and at most min_words")
     spark = docs.sparkSession
-    seeds = docs.select("doc_id", "text").mapInArrow(_seed_rows(seed, window, min_words), "doc_id long, word int, seed long, known boolean")
-    beside = Window.partitionBy("seed").orderBy("doc_id", "word")
+    seeds = docs.select(_doc(), "text").mapInArrow(_seed_rows(seed, window, min_words), f"{_DOC}, word int, seed long, known boolean")
+    beside = Window.partitionBy("seed").orderBy("doc", "word")
     seeds = stored(spark, seeds, "seeds")
     kept = seeds.where("NOT known").withColumn("again", F.lag("word").over(beside).isNotNull() | F.lead("word").over(beside).isNotNull()).where("again")
-    kept = kept.select("doc_id", "word").unionByName(seeds.where("known").select("doc_id", "word"))
-    places = stored(spark, kept.groupBy("doc_id").agg(F.array_sort(F.collect_set("word")).alias("places")), "places")
-    on = docs.select(F.col("doc_id").alias("id"), "text").join(small_side(places, 100, 5 * F.size("places")), F.col("id").eqNullSafe(F.col("doc_id")))
-    suffixes = on.select("doc_id", "text", "places").mapInArrow(_suffix_rows(min_words, seed), "doc_id long, word int, seed long, context binary")
+    kept = kept.select("doc", "word").unionByName(seeds.where("known").select("doc", "word"))
+    places = stored(spark, kept.groupBy("doc").agg(F.array_sort(F.collect_set("word")).alias("places")), "places")
+    on = docs.select(_doc(), "text").join(small_side(places, 132, 5 * F.size("places")), "doc")
+    suffixes = on.select("doc", "text", "places").mapInArrow(_suffix_rows(min_words, seed), f"{_DOC}, word int, seed long, context binary")
     ordered = suffixes.repartition("seed").sortWithinPartitions("seed", "context")
-    found = stored(spark, ordered.mapInArrow(_matches(min_words, seed, held), "doc_id long, start int, stop int, key long"), "spans")
+    found = stored(spark, ordered.mapInArrow(_matches(min_words, seed, held), f"{_DOC}, start int, stop int, key long"), "spans")
     frequent = found.where("key IS NOT NULL").distinct()
     again = frequent.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    more = frequent.join(again, "key", "left_semi").select("doc_id", "start", "stop")
-    return _joined(found.where("key IS NULL").select("doc_id", "start", "stop").unionByName(more).distinct())
+    more = frequent.join(again, "key", "left_semi").select("doc", "start", "stop")
+    spans = _joined(found.where("key IS NULL").select("doc", "start", "stop").unionByName(more).distinct())
+    return spans.select("doc.doc_id", "start_word", "end_word")

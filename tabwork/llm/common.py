@@ -74,3 +74,11 @@ def blobs(values: np.ndarray, starts: np.ndarray) -> pa.Array:
 def long_array(values: np.ndarray) -> pa.Array:
     """64-bit hashes as Spark longs."""
     return pa.array(np.ascontiguousarray(values).view(np.int64))
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwork.llm.common import blobs, chunks, long_array, small_side, stored, text_buffers
+from tabwork.llm.common import blobs, chunks, free_name, long_array, small_side, stored, text_buffers
 from tabwork.llm.graph import components
 from tabwork.llm.text import NOT_SPACE, constants, mix, sets, shingles, words
 
@@ -525,17 +525,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Where an id has several texts, each that is in a group of its own stays: only repeats and near copies go.
     """
-    id_name, text_name, group_name = (_free(docs, name) for name in ("kept_id", "kept_text", "kept_group"))
+    id_name, text_name, group_name = (free_name(docs.columns, name) for name in ("kept_id", "kept_text", "kept_group"))
     firsts = document_groups(docs).where("doc_id = component_id").groupBy("doc_id", F.coalesce("group", "digest").alias(group_name)).agg(F.min("digest").alias(text_name))
     firsts = firsts.withColumnRenamed("doc_id", id_name)
     marked = docs.join(firsts, (docs["doc_id"] == firsts[id_name]) & (_digest() == firsts[text_name]))
     one = marked.dropDuplicates([id_name, group_name]).select(*[F.col(f"`{c}`") for c in docs.columns])
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
-
-
-def _free(docs: DataFrame, name: str) -> str:
-    """``name``, lengthened until no column has it."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    return name

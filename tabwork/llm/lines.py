@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tabwork.llm.common import chunks, long_array, small_side, stored, text_buffers
+from tabwork.llm.common import chunks, free_name, long_array, small_side, stored, text_buffers
 from tabwork.llm.text import constants, mix, powers, span_hashes
 
 MIN_CHARS = 20
@@ -205,9 +206,10 @@ def first_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All columns of ``docs`` with repeated lines cut out of ``text``, then n_lines and n_removed."""
-    kept = first_lines(docs, min_chars).groupBy("doc_id").agg(F.collect_list("line").alias("_kept"))
+    """All columns of ``docs`` with repeated lines cut out of ``text``, then ``_n_lines`` and ``_n_removed`` (lengthened by ``_`` if taken)."""
     at, columns = docs.columns.index("text"), docs.columns
+    id_name, kept_name, total, removed = (free_name(columns, name) for name in ("_id", "_kept", "_n_lines", "_n_removed"))
+    kept = first_lines(docs, min_chars).groupBy(F.col("doc_id").alias(id_name)).agg(F.collect_list("line").alias(kept_name))
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,8 +223,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 n_lines.append(len(split))
                 n_removed.append(len(split) - len(left))
             arrays = [pa.array(texts, batch.column(at).type) if i == at else batch.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=[*columns, "_n_lines", "_n_removed"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=[*columns, total, removed])
 
-    joined = docs.join(kept.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").select(*columns, F.col("doc_id").alias("_id"), "_kept")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(rebuild, f"{fields}, _n_lines long, _n_removed long")
+    joined = docs.join(kept, docs["doc_id"] == kept[id_name], "left").select(*[F.col(f"`{c}`") for c in columns], F.col("doc_id").alias(id_name), kept_name)
+    schema = StructType([*docs.schema.fields, StructField(total, LongType()), StructField(removed, LongType())])
+    return joined.toDF(*[f"c{i}" for i in range(len(columns) + 2)]).mapInArrow(rebuild, schema)  # names with dots are back in the result

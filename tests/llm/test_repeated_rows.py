@@ -38,3 +38,24 @@ def test_record_table_holds_every_byte_once(spark, chunk):
         assert b"".join(bytes(r["data"]) for r in parts[i]) == (text or "").encode() and [r["chunk"] for r in parts[i]] == list(range(1, len(parts[i]) + 1))
         assert [r["last"] for r in parts[i]] == [False] * (len(parts[i]) - 1) + [True] and all(len(r["data"]) <= chunk for r in parts[i])
         assert parts[i][-1]["sha1"] == hashlib.sha1((text or "").encode()).hexdigest()
+
+
+def test_spans_of_texts_that_share_an_id(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(None, passage), (None, " ".join(f"s{i}" for i in range(30))), (1, "a b " + passage), (1, "c " + " ".join(f"q{i}" for i in range(70))), (1, passage + " d"), (2, None)]
+    got = sorted((r["doc_id"] or 0, r["start_word"], r["end_word"]) for r in suffix.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(0, 0, 60), (1, 0, 60), (1, 2, 62)]
+    only = spark.createDataFrame([(None, passage), (None, passage + " e")], "doc_id long, text string")
+    for held in (1, 32768):
+        assert [(r["start_word"], r["end_word"]) for r in suffix.repeated_spans(only, held=held).collect()] == [(0, 60), (0, 60)]
+
+
+def test_line_dedup_keeps_columns_with_its_own_names(spark):
+    line = "the quick brown fox jumps"
+    docs = spark.createDataFrame([(1, line, "a", 1, 2, "x"), (2, line + "!\nrest", "b", 3, 4, "y"), (2, line + "!\nrest", "b", 3, 4, "y"), (None, line, "c", 5, 6, "z")],
+                                 "doc_id long, text string, _id string, _kept int, _n_lines long, `dot.ted` string")
+    found = lines.dedup_lines(docs)
+    assert found.columns == [*docs.columns, "_n_lines_", "_n_removed"]
+    got = sorted((r["doc_id"] or 0, r["text"], r["_id"], r["_kept"], r["_n_lines"], r["dot.ted"], r["_n_lines_"], r["_n_removed"]) for r in found.collect())
+    assert got == [(0, line, "c", 5, 6, "z", 1, 0), (1, line, "a", 1, 2, "x", 1, 0), (2, "rest", "b", 3, 4, "y", 2, 1), (2, "rest", "b", 3, 4, "y", 2, 1)]
+    assert lines.dedup_lines(docs.limit(0)).count() == 0

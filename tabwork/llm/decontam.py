@@ -2,9 +2,10 @@
 
 Texts are lower-cased (A-Z) and cut into words of digits, letters and characters beyond
 ASCII. An item's windows are its runs of ``window`` words; an item of fewer words is one
-window. The hash set sent to the tasks stays bounded: a benchmark of more than ``max_chars``
-characters is taken in blocks of items, one scan each, every scan adding to the result of the one
-before. Every hash hit is verified word by word.
+window. Windows are cut from the items in Spark, and the hash set sent to the tasks stays bounded: windows whose
+spelling takes more than ``max_chars`` characters are taken in blocks, one after the other. A block's scan writes only the
+spans and items of the distinct texts that it hits, and the last step joins them to the documents by the text's SHA-256; of the texts nothing
+is written. One block needs no join. Every hash hit is verified word by word. What must fit besides is one window.
 
 Defined results: NULL and empty texts have no words and are clean; items without words match
 nothing; items with equal texts all count; NULL item ids take part as the empty string;
@@ -16,13 +17,14 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwork.llm.common import chunks, stored, text_buffers
+from tabwork.llm.common import chunks, long_array, small_side, stored, text_buffers
 from tabwork.llm.text import ALPHANUMERIC, Words, windows, words
 
 _SLOTS = 1 << 20
@@ -31,18 +33,10 @@ _SLOTS = 1 << 20
 class Windows:
     """Windows of benchmark items by length: sorted hashes, their spelling, and the items that hold each."""
 
-    def __init__(self, items: list[tuple[str, str]], length: int):
+    def __init__(self, rows: list[tuple[int, int, bytes, str]]):
         found: dict[int, dict[int, tuple[bytes, set[str]]]] = {}
-        for item, text in items:
-            raw = np.frombuffer((text or "").encode(), np.uint8)
-            w = words(raw, np.array([0, len(raw)]), ALPHANUMERIC)
-            if not len(w.starts):
-                continue
-            n = min(length, len(w.starts))
-            at, hashes = windows(w, n)
-            by = found.setdefault(n, {})
-            for i, h in zip(at.tolist(), hashes.tolist()):
-                by.setdefault(h, (w.spelled(i, n), set()))[1].add(item or "")
+        for n, h, spelled, item in rows:
+            found.setdefault(n, {}).setdefault(h & (1 << 64) - 1, (bytes(spelled), set()))[1].add(item)
         self.by_length = []
         for n, by in sorted(found.items()):
             order = sorted(by)
@@ -62,45 +56,94 @@ class Windows:
                     yield i, n, items[k]
 
 
-def _tables(benchmark: DataFrame, window: int, max_chars: int) -> Iterator[Windows]:
-    """Window tables of blocks of items with about ``max_chars`` characters of text each, which bounds their windows."""
-    sized = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = (sized.agg(F.sum(F.length("text"))).first()[0] or 0) // max_chars + 1
+def _item_windows(length: int):
+    """The distinct windows (n, hash, spelled, item) of each item, n words each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(1))
+            for item, lo, hi in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:]):
+                w = words(data, np.array([lo, hi]), ALPHANUMERIC)
+                n = min(length, len(w.starts))
+                if not n:
+                    continue
+                at, hashes = windows(w, n)
+                hashes, first = np.unique(hashes, return_index=True)
+                for a in range(0, len(hashes), 10_000):
+                    part = [w.spelled(int(i), n) for i in at[first[a : a + 10_000]]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(part), n, np.int32)), long_array(hashes[a : a + 10_000]), pa.array(part, pa.binary()), pa.array([item] * len(part), pa.string())], names=["n", "hash", "spelled", "item"])
+
+    return run
+
+
+def _tables(benchmark: DataFrame, window: int, max_chars: int) -> Iterator[tuple[int, Windows]]:
+    """Window tables of blocks with about ``max_chars`` characters of spelled windows each, with their number. A table is made when it is asked for."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
+    made = stored(benchmark.sparkSession, items.mapInArrow(_item_windows(window), "n int, hash long, spelled binary, item string").distinct(), "windows")
+    size = made.agg(F.sum(F.octet_length("spelled") + F.octet_length("item"))).first()[0] or 0
+    blocks = size // max_chars + 1
     for block in range(blocks):
-        rows = sized.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        yield Windows([(r["item"], r["text"]) for r in rows], window)
+        yield blocks, Windows([tuple(r) for r in made.where(F.pmod(F.xxhash64("hash", "item"), F.lit(blocks)) == block).collect()])
 
 
-def _pass(found: DataFrame, table: Windows, last: bool) -> DataFrame:
-    """Adds to each row's ``hit_spans`` and ``items`` what one table finds in its text, and counts its words; the last pass empties the text."""
-    sent = found.sparkSession.sparkContext.broadcast(table)
+_HITS = "n_words long, n_hit long, hit_spans array<int>, items array<string>"
+
+
+def _scan(docs: DataFrame, table: Windows | None, first: str, kind: str, only_hits: bool) -> DataFrame:
+    """The column ``first`` of ``docs``, of type ``kind``, with number of words, hit words, their spans, and items found in ``text``."""
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             for lo, hi in chunks(offsets):
-                part = batch.slice(lo, hi - lo)
                 w = words(data, offsets[lo : hi + 1], ALPHANUMERIC)
-                hit, owner = np.zeros(len(w.starts), bool), w.owner()
-                for i, spans in enumerate(part.column("hit_spans").to_pylist()):
-                    for a, b in zip(spans[::2], spans[1::2]):
-                        hit[w.first[i] + a : w.first[i] + b] = True
-                items = [set(x) for x in part.column("items").to_pylist()]
-                for i, n, which in sent.value.hits(w):
+                hit, owner, items = np.zeros(len(w.starts), bool), w.owner(), [set() for _ in range(hi - lo)]
+                for i, n, which in sent.value.hits(w) if sent.value else ():
                     hit[i : i + n] = True
                     items[owner[i]].update(which)
                 sums = np.concatenate([[0], np.cumsum(hit)])
                 n_hit = sums[w.first + w.counts] - sums[w.first]
                 spans = [_runs(hit[f : f + n]) if h else [] for f, n, h in zip(w.first, w.counts, n_hit)]
-                new = {
-                    "n_words": pa.array(w.counts.astype(np.int64)), "n_hit": pa.array(n_hit.astype(np.int64)),
-                    "hit_spans": pa.array(spans, pa.list_(pa.int32())), "items": pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                }
-                if last:
-                    new["text"] = pa.array([""] * (hi - lo), part.column("text").type)
-                yield pa.RecordBatch.from_arrays([new.get(n, part.column(n)) for n in part.schema.names], names=part.schema.names)
-
-    return found.mapInArrow(run, found.schema)
+                rows = pa.RecordBatch.from_arrays(
+                    [batch.column(first).slice(lo, hi - lo), pa.array(w.counts.astype(np.int64)), pa.array(n_hit.astype(np.int64)),
+                     pa.array(spans, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
+                    names=[first, "n_words", "n_hit", "hit_spans", "items"])
+                yield rows.filter(pa.array(n_hit > 0)) if only_hits else rows
+
+    return docs.mapInArrow(run, f"{first} {kind}, {_HITS}")
+
+
+def _in_blocks(docs: DataFrame, tables: Iterator[tuple[int, Windows]]) -> DataFrame:
+    """As ``_scan`` of one table that holds all of ``tables``; a text has one row of hits a table at most."""
+    spark, found, key = docs.sparkSession, None, F.sha2("text", 256)
+    for _, table in tables:
+        hits = _scan(docs.select(key.alias("digest"), "text"), table, "digest", "string", True)
+        hits = stored(spark, hits.dropDuplicates(["digest"]).select("digest", "hit_spans", "items"), "hits")
+        found = hits if found is None else found.unionByName(hits)
+    each = found.groupBy("digest").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("found"), F.collect_list("hit_spans").alias("parts"))
+    merged = stored(spark, each.mapInArrow(_merged, "digest string, found array<string>, hit_spans array<int>, n_hit long"), "hits")
+    counted = _scan(docs.select(F.struct("kept", key.alias("digest")).alias("row"), "text"), None, "row", f"struct<kept:{docs.schema['kept'].dataType.simpleString()},digest:string>", False)
+    wide = small_side(merged, 100, 4 * F.size("hit_spans") + F.octet_length(F.array_join("found", ",")) + 16 * F.size("found"))
+    joined = counted.select("row.kept", F.col("row.digest").alias("digest"), "n_words").join(wide, "digest", "left")
+    return joined.select(
+        "kept", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("hit_spans", F.array().cast("array<int>")).alias("hit_spans"),
+        F.coalesce("found", F.array().cast("array<string>")).alias("items"))
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of several tables as the runs of their union."""
+    for batch in batches:
+        spans, counts = [], []
+        for parts in batch.column("parts").to_pylist():
+            hit = np.zeros(max(p[-1] for p in parts), bool)
+            for p in parts:
+                for a, b in zip(p[::2], p[1::2]):
+                    hit[a:b] = True
+            spans.append(_runs(hit))
+            counts.append(int(hit.sum()))
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("found"), pa.array(spans, pa.list_(pa.int32())), pa.array(counts, pa.int64())], names=["digest", "found", "hit_spans", "n_hit"])
 
 
 def _runs(flags: np.ndarray) -> list[int]:
@@ -109,23 +152,17 @@ def _runs(flags: np.ndarray) -> list[int]:
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20, max_chars: int = 20_000_000, keep: tuple[str, ...] = ("doc_id",),
+    docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20, max_chars: int = 50_000_000, keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """Per document the columns ``keep`` and: words, words inside any occurrence of a benchmark window, items found, verdict.
 
     A document is contaminated if something was hit and ``share * n_hit >= n_words``. ``hit_spans``
     holds starts and ends, in words, of the runs of hit words.
     """
-    found = docs.select(
-        F.struct(*keep).alias("kept"), F.coalesce("text", F.lit("")).alias("text"), F.lit(0).cast("long").alias("n_words"),
-        F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<int>").alias("hit_spans"), F.array().cast("array<string>").alias("items"),
-    )
-    tables = list(_tables(benchmark, window, max_chars))
-    for k, table in enumerate(tables):
-        last = k + 1 == len(tables)
-        found = _pass(found, table, last)
-        if not last:
-            found = stored(docs.sparkSession, found, "contamination")
+    rows = docs.select(F.struct(*keep).alias("kept"), F.coalesce("text", F.lit("")).alias("text"))
+    tables = _tables(benchmark, window, max_chars)
+    blocks, table = next(tables)
+    found = _scan(rows, table, "kept", rows.schema["kept"].dataType.simpleString(), False) if blocks == 1 else _in_blocks(rows, chain([(blocks, table)], tables))
     return found.select(
         "kept.*", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "hit_spans", "items",

@@ -59,3 +59,18 @@ def test_line_dedup_keeps_columns_with_its_own_names(spark):
     got = sorted((r["doc_id"] or 0, r["text"], r["_id"], r["_kept"], r["_n_lines"], r["dot.ted"], r["_n_lines_"], r["_n_removed"]) for r in found.collect())
     assert got == [(0, line, "c", 5, 6, "z", 1, 0), (1, line, "a", 1, 2, "x", 1, 0), (2, "rest", "b", 3, 4, "y", 2, 1), (2, "rest", "b", 3, 4, "y", 2, 1)]
     assert lines.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_a_benchmark_in_blocks_and_an_item_beyond_a_block(spark, monkeypatch):
+    long = " ".join(f"L{i}" for i in range(3000))
+    items = spark.createDataFrame([("a", long), ("b", "one two three"), ("c", "tiny"), ("d", None), ("e", long)], "item_id string, text string")
+    texts = ["x " + " ".join(f"l{i}" for i in range(500, 560)) + " y", "ONE, two; three four", "tiny " * 3, long, None, "", "clean words only", "clean words only", long]
+    docs = spark.createDataFrame([(i % 5, t, "keep") for i, t in enumerate(texts)], "doc_id long, text string, digest string")
+    made, real = [], decontam.Windows.__init__
+    monkeypatch.setattr(decontam.Windows, "__init__", lambda self, rows: made.append(len(rows)) or real(self, rows))
+    show = lambda df: sorted(map(str, df.collect()))
+    whole, blocks = decontam.contamination(docs, items), decontam.contamination(docs, items, max_chars=60_000)
+    assert show(whole) == show(blocks) and len(made) > 5 and max(made[1:]) < made[0] / 3
+    got = sorted((r["n_words"], r["n_hit"], tuple(r["items"])) for r in blocks.collect())
+    assert got == [(0, 0, ()), (0, 0, ()), (3, 0, ()), (3, 0, ()), (3, 3, ("c",)), (4, 3, ("b",)), (62, 60, ("a", "e")), (3000, 3000, ("a", "e")), (3000, 3000, ("a", "e"))]
+    assert decontam.decontaminate(docs, items, max_chars=60_000).columns == docs.columns and decontam.decontaminate(docs, items, max_chars=60_000).count() == 4

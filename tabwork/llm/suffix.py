@@ -81,7 +81,7 @@ def _seed_rows(seed: int, window: int, min_words: int):
                 again = np.flatnonzero(counts[inverse] > 1)
                 for places, known in ((again, True), (once, False)):
                     columns = [ids.take(pa.array(owner[places])), pa.array(at[places].astype(np.int32)), long_array(hashes[places]), pa.array(np.full(len(places), known))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc", "word", "seed", "known"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["document", "word", "seed", "known"])
 
     return run
 
@@ -101,8 +101,11 @@ def _suffix_rows(min_words: int, seed: int):
                 counts = np.array(pa.compute.list_value_length(lists).to_pylist(), np.int64)
                 at = lists.flatten().to_numpy().astype(np.int64)
                 owner = np.repeat(np.arange(hi - lo), counts)
-                base, stop = w.first[owner], (w.first + w.counts)[owner]
                 seed_at, seed_hash = windows(w, seed, seed=5)
+                # Documents of one 64-bit number share their places: those that are none of this text go.
+                own = at + seed <= w.counts[owner]
+                at, owner = at[own], owner[own]
+                base, stop = w.first[owner], (w.first + w.counts)[owner]
                 hashes = seed_hash[np.searchsorted(seed_at, base + at)]
                 for a in range(0, len(at), 8192):
                     part = slice(a, a + 8192)
@@ -233,19 +236,24 @@ def _doc() -> Column:
     return F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest")).alias("doc")
 
 
+def _number() -> Column:
+    """One 64-bit number for the id and text of a document, which keeps the table of places narrow."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text").alias("document")
+
+
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, seed: int = SEED, held: int = HELD) -> DataFrame:
     """Rows (doc_id, start_word, end_word) of the joined spans of words that occur more than once within a passage of ``min_words`` or more."""
     window = min_words - seed + 1
     if not 0 < seed <= min_words:
         raise ValueError("a seed has at least one word and at most min_words")
     spark = docs.sparkSession
-    seeds = docs.select(_doc(), "text").mapInArrow(_seed_rows(seed, window, min_words), f"{_DOC}, word int, seed long, known boolean")
-    beside = Window.partitionBy("seed").orderBy("doc", "word")
+    seeds = docs.select(_number(), "text").mapInArrow(_seed_rows(seed, window, min_words), "document long, word int, seed long, known boolean")
+    beside = Window.partitionBy("seed").orderBy("document", "word")
     seeds = stored(spark, seeds, "seeds")
     kept = seeds.where("NOT known").withColumn("again", F.lag("word").over(beside).isNotNull() | F.lead("word").over(beside).isNotNull()).where("again")
-    kept = kept.select("doc", "word").unionByName(seeds.where("known").select("doc", "word"))
-    places = stored(spark, kept.groupBy("doc").agg(F.array_sort(F.collect_set("word")).alias("places")), "places")
-    on = docs.select(_doc(), "text").join(small_side(places, 132, 5 * F.size("places")), "doc")
+    kept = kept.select("document", "word").unionByName(seeds.where("known").select("document", "word"))
+    places = stored(spark, kept.groupBy("document").agg(F.array_sort(F.collect_set("word")).alias("places")), "places")
+    on = docs.select(_doc(), _number(), "text").join(small_side(places, 80, 5 * F.size("places")), "document")
     suffixes = on.select("doc", "text", "places").mapInArrow(_suffix_rows(min_words, seed), f"{_DOC}, word int, seed long, context binary")
     ordered = suffixes.repartition("seed").sortWithinPartitions("seed", "context")
     found = stored(spark, ordered.mapInArrow(_matches(min_words, seed, held), f"{_DOC}, start int, stop int, key long"), "spans")

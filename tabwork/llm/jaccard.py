@@ -18,17 +18,21 @@ Lists are worked off so that a group of near copies costs about as many pairs as
   components, lists that lie within one component are dropped, and the rest goes into the next round,
   where the node compared with is one of another component. ``ROUNDS`` rounds at most.
 * Lists of up to ``light`` nodes that still hold several components are compared in pairs of different components.
-* The nodes of longer ones are listed anew: shingles are dealt by hash into more parts than two linked sets can differ in, so
-  two linked sets agree in all shingles of one part at least, and a node lists itself under each of its parts. These lists
-  are compared in blocks of ``BLOCK`` nodes against each other, by bitmap, and only pairs that pass are written: at first only the
-  nearest one of another component for each node, again and again while such pairs link, and what then still lies apart in full.
+* Longer ones are compared in blocks of ``BLOCK`` nodes against each other, by bitmap, and only pairs that pass are written: at
+  first only the nearest one of another component for each node, again and again while such pairs link, and what then still lies
+  apart in full.
+* The nodes of lists longer than ``LONG``, where comparing costs more than listing anew, are listed anew before that: shingles are
+  dealt by hash into more parts than two linked sets can differ in, so two linked sets agree in all shingles of one part at
+  least, and a node lists itself under each of its parts. These lists are compared in blocks in the same way.
 
 A pair is looked at in a list only if the shingles from the listed one on suffice in both sets, as in the list of its first
 common shingle they must. Each set has a bitmap of the parities of its hashed shingles, and two of them differ in no more
-bits than the sets differ in shingles: bitmaps are compared before the sets of a pair are fetched.
+bits than the sets differ in shingles: bitmaps are compared before the sets of a pair are fetched. As a bitmap of fewer bits than
+shingles tells nothing, larger sets have a wide one besides, of as many bits as shingles, that is folded to the length of the other's.
+Bitmaps, and then sets, meet at the second node of a pair, dealt there by one shuffle; a node of many pairs is copied to one place for every ``AT_ONCE`` of them.
 
 Components are exact: only pairs that could not change a component are left out. What stays quadratic is the comparing of bitmaps, not the
-rows written, in lists of parts of many sets that agree in a part and do not link. Shingles are 64-bit hashes;
+rows written, in lists of ``LONG`` nodes and in those of parts of many sets that agree in a part and do not link. Shingles are 64-bit hashes;
 sets are compared by them in full.
 
 Defined results: NULL and empty texts, and texts without words, have an empty set and are linked
@@ -61,6 +65,8 @@ MOST_SMALL = 32
 LIGHT = 32
 #: Rounds of comparing each node with one other, and nodes of a long list that one task compares with as many others.
 ROUNDS, BLOCK = 2, 1024
+#: Longest list whose nodes are not listed anew by parts: links do not depend on it. A set of n shingles has about n / 4 parts, each a row, so listing anew pays for long lists only.
+LONG = 4 * BLOCK
 #: Passes over blocks at most in which a node is compared with the nearest one of another component only; what then remains is compared in full.
 NEAREST = 8
 #: Share of the sets of a batch that makes a shingle frequent, and the sets it takes at least.
@@ -72,6 +78,8 @@ _SALT = constants(4, 99)
 BITS = 2048
 #: Bits of the folded one, that is compared before a pair is written.
 FOLDED = 512
+#: Pairs of one node that are compared at one place.
+AT_ONCE = 256
 
 
 def shared_needed(n: int, m: int) -> int:
@@ -106,10 +114,10 @@ def _digest() -> Column:
 
 
 def document_nodes(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, digest, n_shingles, node, first, bits): the node is NULL for empty sets, ``first`` is the least shingle. Other rows hold frequent shingles."""
+    """Rows (doc_id, digest, n_shingles, node, first, bits, folded, wide): the node is NULL for empty sets, ``first`` is the least shingle. Other rows hold frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, none = ["doc_id", "digest", "n_shingles", "node", "first", "frequent", "bits", "folded"], lambda n: pa.nulls(n, pa.int64())
+        names, none = ["doc_id", "digest", "n_shingles", "node", "first", "frequent", "bits", "folded", "wide"], lambda n: pa.nulls(n, pa.int64())
         for batch in batches:
             tokens, distinct, seen = [], 0, np.empty(0, np.uint64)
             for lo, hi, values, starts, nodes in _sets_of(batch.column(1)):
@@ -125,18 +133,26 @@ def document_nodes(docs: DataFrame) -> DataFrame:
                 found = np.sort(np.concatenate(tokens))
                 fewest = max(FEWEST, int(FREQUENT * distinct))
                 often = np.unique(found[: len(found) - fewest + 1][found[: len(found) - fewest + 1] == found[fewest - 1 :]]) if len(found) >= fewest else found[:0]
-                yield pa.RecordBatch.from_arrays([none(len(often))] * 5 + [long_array(often)] + [pa.nulls(len(often), pa.binary())] * 2, names=names)
+                yield pa.RecordBatch.from_arrays([none(len(often))] * 5 + [long_array(often)] + [pa.nulls(len(often), pa.binary())] * 3, names=names)
 
-    return docs.select("doc_id", "text", _digest()).mapInArrow(run, "doc_id long, digest long, n_shingles long, node long, first long, frequent long, bits binary, folded binary")
+    return docs.select("doc_id", "text", _digest()).mapInArrow(run, "doc_id long, digest long, n_shingles long, node long, first long, frequent long, bits binary, folded binary, wide binary")
 
 
-def _bitmaps(values: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """Bitmaps of the sets, and the same folded to ``FOLDED`` bits."""
+def _bitmaps(values: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Bitmaps of the sets, the same folded to ``FOLDED`` bits, and wide ones of sets of more shingles than ``BITS``."""
     rows = len(starts) - 1
     place = np.repeat(np.arange(rows), np.diff(starts)) * BITS + (values >> np.uint64(7)).astype(np.int64) % BITS
     bits = np.packbits((np.bincount(place, minlength=rows * BITS) & 1).astype(bool))
     folded = np.bitwise_xor.reduce(bits.reshape(rows, BITS // FOLDED, FOLDED // 8), axis=1).ravel()
-    return blobs(bits, np.arange(rows + 1) * (BITS // 8)), blobs(folded, np.arange(rows + 1) * (FOLDED // 8))
+    wide = [_wide(values[a:b]) if b - a > BITS else None for a, b in zip(starts[:-1], starts[1:])]
+    return blobs(bits, np.arange(rows + 1) * (BITS // 8)), blobs(folded, np.arange(rows + 1) * (FOLDED // 8)), pa.array(wide, pa.binary())
+
+
+def _wide(values: np.ndarray) -> bytes:
+    """The bitmap of one large set: as many bits as the next power of two, so that the shorter of two is the longer one folded."""
+    length = 1 << int(len(values) - 1).bit_length()
+    place = (values >> np.uint64(7)).astype(np.int64) % length
+    return np.packbits((np.bincount(place, minlength=length) & 1).astype(bool)).tobytes()
 
 
 def _fresh(nodes: np.ndarray, sizes: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -278,7 +294,7 @@ def _possible(n, pos, m, other):
 
 
 def _block_pairs(nearest: bool):
-    """Pairs (a, b, apart) of different components, with bitmaps near enough, from pairs of blocks in the order (key, low, high). Holds one pair of blocks.
+    """Pairs (a, b, apart) of different components, with bitmaps near enough, from pairs of blocks in the order (key, low, high). Holds one batch and one pair of blocks.
 
     ``nearest`` gives each node only the nearest one of another component in the other block.
     """
@@ -286,31 +302,42 @@ def _block_pairs(nearest: bool):
 
     def compare(rows, bits):
         key, low, high, own, node, n, pos, component = rows
-        for i in np.flatnonzero(own >= low) if nearest else np.flatnonzero(own == low):
-            other = (own == (low[i] + high[i] - own[i])) & (component != component[i])
-            if low[i] == high[i] and not nearest:
-                other &= node > node[i]
-            j = np.flatnonzero(other)
-            j = j[_possible(n[i], pos[i], n[j], pos[j])]
-            most = (n[i] + n[j]) * (BOTTOM - TOP) // (TOP + BOTTOM)
-            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            j, apart = j[apart <= most], apart[apart <= most]
-            if nearest and len(j):
-                pick = np.lexsort((node[j], apart))[:1]
-                j, apart = j[pick], apart[pick]
-            if len(j):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), node[i])), pa.array(node[j]), pa.array(apart)], names=["a", "b", "apart"])
+        heads = np.flatnonzero(np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]))
+        ends = np.repeat(np.append(heads[1:], len(key)), np.diff(np.append(heads, len(key))))
+        least, nearest_one = np.full(len(key), BITS + 1), np.zeros(len(key), np.int64)
+        left, d = np.arange(len(key)), 0
+        while True:  # each row against the one that stands d rows on
+            d += 1
+            left = left[left + d < ends[left]]
+            if not len(left):
+                break
+            i, j = left, left + d
+            fits = (component[i] != component[j]) & ((low[i] == high[i]) | (own[i] != own[j])) & _possible(n[i], pos[i], n[j], pos[j])
+            i, j = i[fits], j[fits]
+            apart = np.concatenate([np.bitwise_count(bits[i[at : at + 4096]] ^ bits[j[at : at + 4096]]).sum(axis=1, dtype=np.int64) for at in range(0, max(1, len(i)), 4096)])
+            near = apart <= (n[i] + n[j]) * (BOTTOM - TOP) // (TOP + BOTTOM)
+            i, j, apart = i[near], j[near], apart[near]
+            if not nearest:
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j]), pa.array(apart)], names=["a", "b", "apart"])
+                continue
+            for x, y in ((i, j), (j, i)):
+                closer = (apart < least[x]) | ((apart == least[x]) & (node[y] < nearest_one[x]))
+                least[x[closer]], nearest_one[x[closer]] = apart[closer], node[y[closer]]
+        found = np.flatnonzero(least <= BITS)
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(nearest_one[found]), pa.array(least[found])], names=["a", "b", "apart"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, bits = np.empty((len(names), 0), np.int64), np.empty((0, BITS // 8), np.uint8)
+        rows, bits = np.empty((len(names), 0), np.int64), np.empty((0, BITS // 64), np.uint64)
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = np.concatenate([rows, np.stack([batch.column(x).to_numpy().astype(np.int64) for x in names])], axis=1)
-            bits = np.concatenate([bits, text_buffers(batch.column("bits"))[0].reshape(batch.num_rows, -1)])
+            bits = np.concatenate([bits, _blobs_of(batch.column("bits"), batch.num_rows)])
             heads = np.flatnonzero(np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]))
-            for lo, hi in zip(heads[:-1], heads[1:]):
-                yield from compare(rows[:, lo:hi], bits[lo:hi])
+            if heads[-1]:
+                yield from compare(rows[:, : heads[-1]], bits[: heads[-1]])
             rows, bits = rows[:, heads[-1] :], bits[heads[-1] :]
         if rows.shape[1]:
             yield from compare(rows, bits)
@@ -318,6 +345,12 @@ def _block_pairs(nearest: bool):
     return run
 
 
+def _blobs_of(column: pa.Array, rows: int) -> np.ndarray:
+    """Bitmaps of one length as rows of 64-bit numbers."""
+    data, starts = text_buffers(column)
+    return data[starts[0] : starts[-1]].copy().view(np.uint64).reshape(rows, -1)
+
+
 def _class_starts() -> np.ndarray:
     """Sizes at which size classes start; a linked pair is in one class or two adjacent ones."""
     starts = [1]
@@ -348,9 +381,10 @@ def _part_keys(tokens: np.ndarray) -> np.ndarray:
 
 
 def _fetch(docs: DataFrame, nodes: DataFrame, known: DataFrame, body, schema: str) -> DataFrame:
-    """Runs ``body`` over the texts of one document of each of ``nodes``."""
-    ids = stored(docs.sparkSession, known.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "ids")
-    return docs.select("doc_id", "text").join(small_side(ids, 8), "doc_id", "left_semi").select("text").mapInArrow(body, schema)
+    """Runs ``body`` over the text of one document of each of ``nodes``."""
+    one = known.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("one"))
+    ids = stored(docs.sparkSession, one.select("one.doc_id", "one.digest").distinct(), "ids")
+    return docs.select("doc_id", "text", _digest().alias("digest")).join(small_side(ids, 16), ["doc_id", "digest"], "left_semi").select("text").mapInArrow(body, schema)
 
 
 def _part_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,42 +398,70 @@ def _part_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        seen = np.empty(0, np.uint64)
         for _, _, values, starts, nodes in _sets_of(batch.column(0)):
-            yield pa.RecordBatch.from_arrays([long_array(nodes), blobs(values, starts)], names=["node", "tokens"])
+            fresh = _fresh(nodes, np.diff(starts), seen)
+            seen = np.union1d(seen, nodes[fresh])
+            at = np.concatenate([[0], np.cumsum(np.diff(starts)[fresh])])
+            yield pa.RecordBatch.from_arrays([long_array(nodes[fresh]), blobs(values[np.repeat(fresh, np.diff(starts))], at)], names=["node", "tokens"])
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that may link by their sizes and bitmaps."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x, y = (text_buffers(batch.column(c))[0].reshape(batch.num_rows, -1) for c in ("x", "y"))
-        most = (batch.column("n").to_numpy() + batch.column("m").to_numpy()) * (BOTTOM - TOP) // (TOP + BOTTOM)
-        yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(axis=1) <= most))
+def _alike(hub: dict, other: dict) -> bool:
+    """Whether two sets may link by their sizes and bitmaps."""
+    n, m = hub["n_shingles"].as_py(), other["n_shingles"].as_py()
+    kind = "wide" if hub["wide"].is_valid and other["wide"].is_valid else "bits"
+    x, y = sorted((np.frombuffer(side[kind].as_buffer(), np.uint8) for side in (hub, other)), key=len)
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64)) <= (n + m) * (BOTTOM - TOP) // (TOP + BOTTOM)
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("x"), batch.column("y")):
-            s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            at = np.searchsorted(s, t)
-            common = int((s[np.minimum(at, len(s) - 1)] == t).sum())
-            keep.append(BOTTOM * common >= TOP * (len(s) + len(t) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _linked(hub: dict, other: dict) -> bool:
+    """Whether two sets link."""
+    s, t = (np.frombuffer(side["tokens"].as_buffer(), np.uint64) for side in (hub, other))
+    at = np.searchsorted(s, t)
+    common = int((s[np.minimum(at, len(s) - 1)] == t).sum())
+    return BOTTOM * common >= TOP * (len(s) + len(t) - common)
+
+
+def _meet(rows: DataFrame, pairs: DataFrame, test) -> DataFrame:
+    """The pairs (a, b) whose ``rows`` (node, ...) pass the test. ``pairs`` is stored and distinct.
+
+    Rows are dealt to the second nodes of their pairs. There stands the row of that node itself, as often as it has ``AT_ONCE`` pairs.
+    """
+    spark = pairs.sparkSession
+    most = stored(spark, pairs.groupBy("b").agg(F.ceil(F.count("*") / AT_ONCE).cast("int").alias("places")).where("places > 1"), "places")
+    dealt = pairs.join(small_side(most, 12), "b", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("a"), "places"), F.lit(0)).cast("int").alias("place"))
+    hubs = dealt.select(F.col("b").alias("node"), "b", "place", F.lit(False).alias("partner")).distinct()
+    to = stored(spark, dealt.select(F.col("a").alias("node"), "b", "place", F.lit(True).alias("partner")).union(hubs), "to")
+    met = rows.join(small_side(to, 24), "node").repartition("b", "place").sortWithinPartitions("b", "place", "partner", "node")
+    values = [c for c in rows.columns if c != "node"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, last = None, None
+        for batch in batches:
+            places = list(zip(*(batch.column(c).to_pylist() for c in ("b", "place", "partner", "node"))))
+            columns, found = [batch.column(c) for c in values], []
+            for i, (b, place, partner, node) in enumerate(places):
+                if (b, place, partner, node) == last:  # of a document that is there more than once
+                    continue
+                last = (b, place, partner, node)
+                row = {name: column[i] for name, column in zip(values, columns)}
+                if not partner:
+                    hub = row
+                elif test(hub, row):
+                    found.append((node, b))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
 
 
 def _verify(docs: DataFrame, known: DataFrame, pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     spark = docs.sparkSession
-    x = bitmaps.select(F.col("node").alias("a"), F.col("bits").alias("x"), F.col("n_shingles").alias("n"))
-    y = bitmaps.select(F.col("node").alias("b"), F.col("bits").alias("y"), F.col("n_shingles").alias("m"))
-    pairs = stored(spark, pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(_alike, "a long, b long"), "pairs")
+    pairs = stored(spark, pairs.select("a", "b"), "pairs")
+    pairs = stored(spark, _meet(bitmaps.select("node", "n_shingles", "bits", "wide"), pairs, _alike), "alike")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    stored_sets = stored(spark, _fetch(docs, nodes, known, _set_rows, "node long, tokens binary").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    x = stored_sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
-    y = stored_sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
+    return _meet(_fetch(docs, nodes, known, _set_rows, "node long, tokens binary"), pairs, _linked)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -453,17 +515,42 @@ def _several(spark, lists: DataFrame, found: DataFrame | None) -> DataFrame:
     return stored(spark, placed.join(held, "key"), "several")
 
 
-def _in_blocks(lists: DataFrame, bitmaps: DataFrame, nearest: bool) -> DataFrame:
+def _dealt_with(rows: DataFrame, bits: DataFrame, row_bytes: int, *keys: str) -> DataFrame:
+    """``rows`` dealt and sorted by ``keys``, with the ``bits`` (node, ...) of their nodes: small ones are added after the shuffle."""
+    side = small_side(bits, row_bytes)
+    joined = rows.join(side, "node").repartition(*keys) if side is bits else rows.repartition(*keys).join(side, "node")
+    return joined.sortWithinPartitions(*keys, "node")
+
+
+def _in_blocks(lists: DataFrame, bits: DataFrame, nearest: bool) -> DataFrame:
     """Candidate pairs of long lists: each pair of blocks of a list is one group of rows, of bounded size."""
     blocks = F.ceil(F.col("length") / BLOCK).cast("int")
     cut = lists.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = cut.join(bitmaps.select("node", "bits"), "node").select(
-        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "pos", "component", "bits")
-    pairs = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_block_pairs(nearest), "a long, b long, apart long")
+    cut = cut.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "pos", "component")
+    pairs = _dealt_with(cut, bits, 8 + BITS // 8, "key", "low", "high").mapInArrow(_block_pairs(nearest), "a long, b long, apart long")
     return _ordered(pairs.groupBy("a").agg(F.min(F.struct("apart", "b"))["b"].alias("b")) if nearest else pairs)
 
 
-def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, light: int = LIGHT) -> DataFrame:
+def _long_links(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFrame, links: DataFrame | None) -> DataFrame | None:
+    """``links`` and those that long lists add to them."""
+    spark = docs.sparkSession
+    lists = _several(spark, lists, None if links is None else components(links))
+    bits = stored(spark, bitmaps.join(lists.select("node").distinct(), "node", "left_semi").select("node", "bits"), "bits")
+    nearest, passes = True, 0
+    while True:
+        more = stored(spark, _verify(docs, known, _in_blocks(lists, bits, nearest), bitmaps), "verified")
+        if not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
+        if not nearest:
+            return links
+        # As long as nearest ones link, each pass joins every component that has a link to another one.
+        passes += 1
+        nearest = not more.isEmpty() and passes < NEAREST
+        if not more.isEmpty():
+            lists = _several(spark, lists, components(links))
+
+
+def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, light: int, longest: int) -> DataFrame:
     """Rows (node, component) of the nodes that link with another one. ``known`` and ``frequent`` are of ``document_nodes``."""
     spark = docs.sparkSession
     small = known.where(F.col("n_shingles").between(1, MOST_SMALL)).groupBy("n_shingles", "node").agg(F.first("first").alias("first"))
@@ -474,29 +561,20 @@ def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, ligh
     sent = spark.sparkContext.broadcast((by_count[order], order))
     entries = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_entries(boundary, sent), "key long, node long, n int, pos int")
     lists = _lists(entries)
-    bitmaps = stored(spark, known.join(lists.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits", "folded").dropDuplicates(["node"]), "bitmaps")
+    bitmaps = stored(spark, known.join(lists.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits", "folded", "wide").dropDuplicates(["node"]), "bitmaps")
     links, lists = _rounds(docs, known, lists, bitmaps)
 
-    rest = lists.where(F.col("length") <= light).join(bitmaps.select("node", "folded"), "node").repartition("key").sortWithinPartitions("key", "node").mapInArrow(_light_pairs, "a long, b long")
+    rest = lists.where(F.col("length") <= light).select("key", "node", "n", "pos", "component")
+    rest = _dealt_with(rest, bitmaps.select("node", "folded"), 8 + FOLDED // 8, "key").mapInArrow(_light_pairs, "a long, b long")
     more = stored(spark, _verify(docs, known, _ordered(rest), bitmaps), "verified")
     if not more.isEmpty():
         links = more if links is None else links.unionByName(more)
-    long = lists.where(F.col("length") > light).select("node").distinct()
+    middle = lists.where(F.col("length").between(light + 1, longest))
+    if not middle.isEmpty():
+        links = _long_links(docs, known, middle, bitmaps, links)
+    long = lists.where(F.col("length") > longest).select("node").distinct()
     if not long.isEmpty():
-        dealt = _lists(_fetch(docs, long, known, _part_entries, "key long, node long, n int, pos int"))
-        dealt = _several(spark, dealt, None if links is None else components(links))
-        nearest, passes = True, 0
-        while True:
-            more = stored(spark, _verify(docs, known, _in_blocks(dealt, bitmaps, nearest), bitmaps), "verified")
-            if not more.isEmpty():
-                links = more if links is None else links.unionByName(more)
-            if not nearest:
-                break
-            # As long as nearest ones link, each pass joins every component that has a link to another one.
-            passes += 1
-            nearest = not more.isEmpty() and passes < NEAREST
-            if not more.isEmpty():
-                dealt = _several(spark, dealt, components(links))
+        links = _long_links(docs, known, _lists(_fetch(docs, long, known, _part_entries, "key long, node long, n int, pos int")), bitmaps, links)
     return spark.createDataFrame([], "node long, component long") if links is None else components(links)
 
 
@@ -507,7 +585,7 @@ def document_groups(docs: DataFrame) -> DataFrame:
     known = made.where("frequent IS NULL").drop("frequent")
     frequent = made.where("frequent IS NOT NULL").groupBy("frequent").count().orderBy(F.desc("count"), "frequent").select("frequent").limit(MOST_FREQUENT)
     nodes = known.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
-    found = link_components(docs, nodes, frequent)
+    found = link_components(docs, nodes, frequent, LIGHT, LONG)
     least = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of = least.groupBy("component").agg(F.min("least").alias("component_id"))
     by_node = least.join(of, "component").select("node", F.col("component").alias("group"), "component_id")

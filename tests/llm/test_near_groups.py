@@ -19,7 +19,14 @@ def compared(monkeypatch):
     return found
 
 
-def test_a_group_of_two_thousand_near_copies(spark, compared):
+@pytest.fixture(params=["lists", "parts"])
+def long_lists(request, monkeypatch):
+    """Long lists as they are, or listed anew by parts."""
+    if request.param == "parts":
+        monkeypatch.setattr(jaccard, "LONG", jaccard.LIGHT)
+
+
+def test_a_group_of_two_thousand_near_copies(spark, compared, long_lists):
     rng = random.Random(5)
     base = [f"w{i}" for i in range(300)]
     texts = []
@@ -33,7 +40,7 @@ def test_a_group_of_two_thousand_near_copies(spark, compared):
     assert sum(compared) <= 5 * 2000
 
 
-def test_two_thousand_forms_that_share_most_but_do_not_link(spark, compared):
+def test_two_thousand_forms_that_share_most_but_do_not_link(spark, compared, long_lists):
     common = [f"c{i}" for i in range(88)]
     texts = [" ".join([*common, *(f"o{i}x{j}" for j in range(25))]) for i in range(2000)]
     rows = jaccard.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)).collect()
@@ -41,6 +48,15 @@ def test_two_thousand_forms_that_share_most_but_do_not_link(spark, compared):
     assert sum(compared) <= 5 * 2000
 
 
+def test_large_sets_meet_by_wide_bitmaps(spark, compared, long_lists):
+    """Texts of 6,000 words of which a third is common to all: too many shingles for the short bitmap to tell apart."""
+    common = [f"c{i}" for i in range(2000)]
+    texts = [" ".join([*common, *(f"o{i}x{j}" for j in range(4000 + i))]) for i in range(40)]
+    texts += [f"{t} tail{i}" for i, t in enumerate(texts[:5])] + [texts[7], texts[7].rsplit(" ", 1000)[0]]
+    rows = jaccard.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i for i in range(40)} | {40 + i: i for i in range(5)} | {45: 7, 46: 7}
+
+
 def test_texts_that_share_an_id(spark):
     one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
     docs = spark.createDataFrame([(1, one, "p"), (1, two, "q"), (2, two + " end", "r"), (1, one, "p"), (None, two, "s"), (3, None, "t")], "doc_id long, text string, kept_id string")

@@ -15,7 +15,7 @@ from tabwork.functions.normal import normal_cdf, normal_ppf
 from tabwork.functions import pvalues
 from tabwork.functions.pvalues import chi2_tail_array, f_tail_array, t_quantile_array, t_two_sided_array
 from tabwork.operators.bins import qcut
-from tabwork.operators.cluster import assign, compare_scaling, elbow, inertia, kmeans_fit, match_clusters
+from tabwork.operators.cluster import _vectors, assign, compare_scaling, elbow, inertia, kmeans_fit, match_clusters
 from tabwork.operators import missing as missing_operators
 from tabwork.operators import scale as scale_operators
 from tabwork.operators import split as split_operators
@@ -599,3 +599,12 @@ def test_cache_of_two_writers_is_the_first_ones(spark, tmp_path):
 def test_sql_text_leaves_no_view(spark):
     assert run_sql(spark, "SELECT max(id) AS m FROM {left_behind}", {"left_behind": spark.range(4)}).first()["m"] == 3
     assert not spark.catalog.tableExists("left_behind")
+
+
+def test_vectors_of_one_partition_are_dealt_over_the_cores(spark):
+    """A table read as one partition was one task in each iteration of k-means."""
+    df = spark.range(4000).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS y").coalesce(1)
+    with _vectors(df, ["x", "y"]) as data:
+        sizes = [r["n"] for r in data.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    cores = spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 4000 and len(sizes) == cores and max(sizes) <= 2 * 4000 / cores

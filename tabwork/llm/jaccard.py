@@ -52,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwork.llm.common import blobs, chunks, free_name, long_array, small_side, stored, text_buffers
+from tabwork.llm.common import blobs, chunks, free_name, gathered, long_array, sent_if, small_side, stored, text_buffers
 from tabwork.llm.graph import components
 from tabwork.llm.text import NOT_SPACE, constants, mix, sets, shingles, words
 
@@ -80,6 +80,8 @@ BITS = 2048
 FOLDED = 512
 #: Pairs of one node that are compared at one place.
 AT_ONCE = 256
+#: Pairs whose bitmaps or sets are worth a task.
+PAIRS_A_TASK = 1000
 
 
 def shared_needed(n: int, m: int) -> int:
@@ -380,10 +382,10 @@ def _part_keys(tokens: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def _fetch(docs: DataFrame, nodes: DataFrame, known: DataFrame, body, schema: str) -> DataFrame:
-    """Runs ``body`` over the text of one document of each of ``nodes``."""
-    one = known.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("one"))
-    ids = stored(docs.sparkSession, one.select("one.doc_id", "one.digest").distinct(), "ids")
+def _fetch(docs: DataFrame, nodes: DataFrame, rows: int, known: DataFrame, body, schema: str) -> DataFrame:
+    """Runs ``body`` over the text of one document of each of ``nodes``, of which there are at most ``rows``."""
+    one = gathered(known.join(sent_if(nodes, rows, 8), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("one")), rows)
+    ids = stored(docs.sparkSession, gathered(one.select("one.doc_id", "one.digest").distinct(), rows), "ids")
     return docs.select("doc_id", "text", _digest().alias("digest")).join(small_side(ids, 16), ["doc_id", "digest"], "left_semi").select("text").mapInArrow(body, schema)
 
 
@@ -423,17 +425,17 @@ def _linked(hub: dict, other: dict) -> bool:
     return BOTTOM * common >= TOP * (len(s) + len(t) - common)
 
 
-def _meet(rows: DataFrame, pairs: DataFrame, test) -> DataFrame:
-    """The pairs (a, b) whose ``rows`` (node, ...) pass the test. ``pairs`` is stored and distinct.
+def _meet(rows: DataFrame, pairs: DataFrame, n: int, test) -> DataFrame:
+    """The pairs (a, b) whose ``rows`` (node, ...) pass the test. ``pairs`` is stored and distinct, and has ``n`` rows at most.
 
     Rows are dealt to the second nodes of their pairs. There stands the row of that node itself, as often as it has ``AT_ONCE`` pairs.
     """
     spark = pairs.sparkSession
-    most = stored(spark, pairs.groupBy("b").agg(F.ceil(F.count("*") / AT_ONCE).cast("int").alias("places")).where("places > 1"), "places")
+    most = stored(spark, gathered(pairs.groupBy("b").agg(F.ceil(F.count("*") / AT_ONCE).cast("int").alias("places")).where("places > 1"), n), "places")
     dealt = pairs.join(small_side(most, 12), "b", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("a"), "places"), F.lit(0)).cast("int").alias("place"))
-    hubs = dealt.select(F.col("b").alias("node"), "b", "place", F.lit(False).alias("partner")).distinct()
+    hubs = gathered(dealt.select(F.col("b").alias("node"), "b", "place", F.lit(False).alias("partner")).distinct(), n)
     to = stored(spark, dealt.select(F.col("a").alias("node"), "b", "place", F.lit(True).alias("partner")).union(hubs), "to")
-    met = rows.join(small_side(to, 24), "node").repartition("b", "place").sortWithinPartitions("b", "place", "partner", "node")
+    met = gathered(rows.join(sent_if(to, 2 * n, 24), "node").repartition("b", "place"), n, PAIRS_A_TASK).sortWithinPartitions("b", "place", "partner", "node")
     values = [c for c in rows.columns if c != "node"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,9 +461,10 @@ def _verify(docs: DataFrame, known: DataFrame, pairs: DataFrame, bitmaps: DataFr
     """The pairs (a, b) whose sets link."""
     spark = docs.sparkSession
     pairs = stored(spark, pairs.select("a", "b"), "pairs")
-    pairs = stored(spark, _meet(bitmaps.select("node", "n_shingles", "bits", "wide"), pairs, _alike), "alike")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    return _meet(_fetch(docs, nodes, known, _set_rows, "node long, tokens binary"), pairs, _linked)
+    pairs = stored(spark, _meet(bitmaps.select("node", "n_shingles", "bits", "wide"), pairs, pairs.count(), _alike), "alike")
+    n = pairs.count()
+    nodes = gathered(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), 2 * n)
+    return _meet(_fetch(docs, nodes, 2 * n, known, _set_rows, "node long, tokens binary"), pairs, n, _linked)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -484,17 +487,19 @@ def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFr
     """Rounds over the lists: the links found, and the lists that still hold several of the components they make, with component and length."""
     spark, tried, links, found = docs.sparkSession, None, None, None
     for _ in range(ROUNDS):
+        rows = lists.count()
         if found is None:
             near = lists.where(F.col("node") != F.col("first")).where(_may_link("n", "pos", "first_n", "first_pos"))
         else:
             lists = _several(spark, lists, found)
+            rows = lists.count()
             heads = lists.groupBy("key").agg(F.min(F.struct("component", "node", "n", "pos")).alias("h"))
             heads = heads.select("key", F.col("h.component").alias("beside"), F.col("h.node").alias("first"), F.col("h.n").alias("first_n"), F.col("h.pos").alias("first_pos"))
-            near = lists.select("key", "node", "n", "pos", "component").join(heads, "key").where(F.col("component") != F.col("beside")).where(_may_link("n", "pos", "first_n", "first_pos"))
+            near = lists.select("key", "node", "n", "pos", "component").join(sent_if(gathered(heads, rows), rows, 32), "key").where(F.col("component") != F.col("beside")).where(_may_link("n", "pos", "first_n", "first_pos"))
         # Of the nodes that stand first in its lists, a node is compared with the one that does so most often: alike sets share most lists.
-        near = near.groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.count("*").alias("times"))
+        near = gathered(near.groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.count("*").alias("times")), rows)
         near = near if tried is None else near.join(tried, ["a", "b"], "left_anti")
-        fresh = stored(spark, _ordered(near.groupBy("a").agg(F.max(F.struct("times", "b"))["b"].alias("b"))), "pairs")
+        fresh = stored(spark, gathered(_ordered(gathered(near.groupBy("a").agg(F.max(F.struct("times", "b"))["b"].alias("b")), rows)), rows), "pairs")
         if fresh.isEmpty():
             break
         both = fresh.unionByName(fresh.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -509,10 +514,10 @@ def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFr
 
 def _several(spark, lists: DataFrame, found: DataFrame | None) -> DataFrame:
     """Entries of the lists that hold nodes of several components."""
-    rows = lists.select("key", "node", "n", "pos")
-    placed = rows.withColumn("component", F.col("node")) if found is None else rows.join(found, "node", "left").select("key", "node", "n", "pos", F.coalesce("component", "node").alias("component"))
+    rows, n = lists.select("key", "node", "n", "pos"), lists.count()
+    placed = rows.withColumn("component", F.col("node")) if found is None else rows.join(small_side(found, 16), "node", "left").select("key", "node", "n", "pos", F.coalesce("component", "node").alias("component"))
     held = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("length")).where("low <> high").select("key", "length")
-    return stored(spark, placed.join(held, "key"), "several")
+    return stored(spark, gathered(placed.join(sent_if(gathered(held, n), n, 16), "key"), n), "several")
 
 
 def _dealt_with(rows: DataFrame, bits: DataFrame, row_bytes: int, *keys: str) -> DataFrame:
@@ -528,7 +533,10 @@ def _in_blocks(lists: DataFrame, bits: DataFrame, nearest: bool) -> DataFrame:
     cut = lists.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     cut = cut.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "pos", "component")
     pairs = _dealt_with(cut, bits, 8 + BITS // 8, "key", "low", "high").mapInArrow(_block_pairs(nearest), "a long, b long, apart long")
-    return _ordered(pairs.groupBy("a").agg(F.min(F.struct("apart", "b"))["b"].alias("b")) if nearest else pairs)
+    if not nearest:
+        return _ordered(pairs)
+    rows = lists.count()
+    return gathered(_ordered(gathered(pairs.groupBy("a").agg(F.min(F.struct("apart", "b"))["b"].alias("b")), rows)), rows)
 
 
 def _long_links(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFrame, links: DataFrame | None) -> DataFrame | None:
@@ -574,7 +582,7 @@ def link_components(docs: DataFrame, known: DataFrame, frequent: DataFrame, ligh
         links = _long_links(docs, known, middle, bitmaps, links)
     long = lists.where(F.col("length") > longest).select("node").distinct()
     if not long.isEmpty():
-        links = _long_links(docs, known, _lists(_fetch(docs, long, known, _part_entries, "key long, node long, n int, pos int")), bitmaps, links)
+        links = _long_links(docs, known, _lists(_fetch(docs, long, long.count(), known, _part_entries, "key long, node long, n int, pos int")), bitmaps, links)
     return spark.createDataFrame([], "node long, component long") if links is None else components(links)
 
 

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tabwork.llm import jaccard
+from tabwork.llm import graph, jaccard
 
 
 @pytest.fixture
@@ -62,3 +62,29 @@ def test_texts_that_share_an_id(spark):
     docs = spark.createDataFrame([(1, one, "p"), (1, two, "q"), (2, two + " end", "r"), (1, one, "p"), (None, two, "s"), (3, None, "t")], "doc_id long, text string, kept_id string")
     kept = sorted((r["doc_id"], r["kept_id"]) for r in jaccard.keep_first(docs).where("doc_id is not null").collect())
     assert kept == [(1, "p"), (1, "q"), (3, "t")] and jaccard.keep_first(docs).where("doc_id is null").count() == 1
+
+
+def test_small_tables_are_kept_in_few_files(spark, monkeypatch):
+    """Every table of the join once had as many tasks and files as a shuffle has partitions, however small."""
+    written, stored = {}, graph.stored
+
+    def counting(spark, df, name):
+        made = stored(spark, df, name)
+        written[name] = max(written.get(name, 0), len(made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(jaccard, "stored", counting)
+    monkeypatch.setattr(graph, "stored", counting)
+    settings = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        texts = [" ".join(f"t{i // 2}w{j}" for j in range(40 + i % 2)) for i in range(600)]
+        rows = jaccard.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert all(r["component_id"] == r["doc_id"] // 2 * 2 for r in rows)
+    cores = spark.sparkContext.defaultParallelism
+    assert all(written[name] <= 2 * cores for name in ("pairs", "places", "to", "alike", "ids", "verified", "links", "labels", "several")), written

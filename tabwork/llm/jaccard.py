@@ -12,6 +12,9 @@ c(n, m) = ceil(t * (n + m) / (1 + t)) of them. Nodes meet in lists:
 * The boundary is the size with the least cost: subsets to write, against list entries times the mean
   length of the lists, both from a count of all sets by size.
 
+Most entries stand beside sets that they cannot link with, by size and place: those of lists of up to ``LIGHT`` entries go before
+anything is written. Lists are dealt by key once for each round, whatever their number.
+
 Lists are worked off so that a group of near copies costs about as many pairs as it has nodes:
 
 * Rounds: each node is compared with one node only, the one that stands first in most of its lists; the links found so far make
@@ -49,7 +52,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwork.llm.common import blobs, chunks, free_name, gathered, long_array, sent_if, small_side, stored, text_buffers
@@ -261,6 +264,62 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[*names, "first", "first_n", "first_pos"])
 
 
+def _fitting(components: bool):
+    """Drops the entries that can link with none of their list, or with none of another component of it, from lists that stand together.
+
+    The first one of what is left becomes the first of the list. Lists longer than ``LIGHT`` stay as they are; of one that goes on in the next batch
+    no more rows are held.
+    """
+    key, n, pos, component = 0, 2, 3, 7
+
+    def kept(rows: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        heads = np.flatnonzero(np.concatenate([[True], rows[key, 1:] != rows[key, :-1]]))
+        lengths = np.diff(np.append(heads, rows.shape[1]))
+        keep = np.repeat(whole | (lengths > LIGHT), lengths)
+        ends = np.repeat(heads + lengths, lengths)
+        stays, left, d = keep.copy(), np.flatnonzero(~keep), 0
+        while True:  # each row against the one that stands d rows on
+            d += 1
+            left = left[left + d < ends[left]]
+            if not len(left):
+                break
+            fits = _possible(rows[n, left], rows[pos, left], rows[n, left + d], rows[pos, left + d])
+            if components:
+                fits &= rows[component, left] != rows[component, left + d]
+            keep[left[fits]] = keep[left[fits] + d] = True
+        rows, stays, of = rows[:, keep], stays[keep], np.repeat(np.arange(len(heads)), lengths)[keep]
+        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.empty(0, np.int64)
+        first = np.repeat(first, np.diff(np.append(first, len(of))))
+        sources = (1, 2, 3, component) if components else (1, 2, 3)
+        for to, source in zip((4, 5, 6, 8), sources):
+            rows[to] = np.where(stays, rows[to], rows[source, first])
+        return rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, passed, schema = None, None, None  # ``passed`` is the long list of which a part was written
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            more, schema = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns]), batch.schema
+            rows = more if rows is None else np.concatenate([rows, more], axis=1)
+            last = int(np.flatnonzero(np.concatenate([[True], rows[key, 1:] != rows[key, :-1]]))[-1])
+            cut = rows.shape[1] if rows.shape[1] - last > LIGHT or rows[key, last] == passed else last
+            yield from written(rows[:, :cut], passed, schema)
+            if cut > last:
+                passed = rows[key, last]
+            rows = rows[:, cut:]
+        if rows is not None:
+            yield from written(rows, passed, schema)
+
+    def written(rows: np.ndarray, passed, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if rows.shape[1]:
+            heads = np.flatnonzero(np.concatenate([[True], rows[key, 1:] != rows[key, :-1]]))
+            whole = np.zeros(len(heads), bool) if passed is None else rows[key, heads] == passed
+            yield pa.RecordBatch.from_arrays([pa.array(x).cast(f.type) for x, f in zip(kept(rows, whole), schema)], names=schema.names)
+
+    return run
+
+
 def _light_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) of different components that a list of bounded length, in the order (key, node), leaves possible."""
     names = ("key", "node", "n", "pos", "component")
@@ -475,7 +534,8 @@ _LIST = "key long, node long, n int, pos int, first long, first_n int, first_pos
 
 
 def _lists(entries: DataFrame) -> DataFrame:
-    return stored(entries.sparkSession, entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_scan, _LIST), "lists")
+    found = entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lambda batches: _fitting(False)(_scan(batches)), _LIST)
+    return stored(entries.sparkSession, found, "lists")
 
 
 def _may_link(n: str, pos: str, m: str, other: str):
@@ -487,15 +547,11 @@ def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFr
     """Rounds over the lists: the links found, and the lists that still hold several of the components they make, with component and length."""
     spark, tried, links, found = docs.sparkSession, None, None, None
     for _ in range(ROUNDS):
-        rows = lists.count()
-        if found is None:
-            near = lists.where(F.col("node") != F.col("first")).where(_may_link("n", "pos", "first_n", "first_pos"))
-        else:
+        if found is not None:
             lists = _several(spark, lists, found)
-            rows = lists.count()
-            heads = lists.groupBy("key").agg(F.min(F.struct("component", "node", "n", "pos")).alias("h"))
-            heads = heads.select("key", F.col("h.component").alias("beside"), F.col("h.node").alias("first"), F.col("h.n").alias("first_n"), F.col("h.pos").alias("first_pos"))
-            near = lists.select("key", "node", "n", "pos", "component").join(sent_if(gathered(heads, rows), rows, 32), "key").where(F.col("component") != F.col("beside")).where(_may_link("n", "pos", "first_n", "first_pos"))
+        rows = lists.count()
+        apart = F.col("node") != F.col("first") if found is None else F.col("component") != F.col("beside")
+        near = lists.where(apart).where(_may_link("n", "pos", "first_n", "first_pos"))
         # Of the nodes that stand first in its lists, a node is compared with the one that does so most often: alike sets share most lists.
         near = gathered(near.groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.count("*").alias("times")), rows)
         near = near if tried is None else near.join(tried, ["a", "b"], "left_anti")
@@ -512,12 +568,20 @@ def _rounds(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: DataFr
     return links, _several(spark, lists, found)
 
 
+_SEVERAL = f"{_LIST}, component long, beside long, length long"
+
+
 def _several(spark, lists: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Entries of the lists that hold nodes of several components."""
+    """Entries of the lists that hold nodes of several components, with the one of least component and node as the first; lists are dealt by key once."""
     rows, n = lists.select("key", "node", "n", "pos"), lists.count()
     placed = rows.withColumn("component", F.col("node")) if found is None else rows.join(small_side(found, 16), "node", "left").select("key", "node", "n", "pos", F.coalesce("component", "node").alias("component"))
-    held = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("length")).where("low <> high").select("key", "length")
-    return stored(spark, gathered(placed.join(sent_if(gathered(held, n), n, 16), "key"), n), "several")
+    of = Window.partitionBy("key")
+    dealt = placed.repartition("key").sortWithinPartitions("key", "component", "node")
+    seen = dealt.withColumns({"head": F.min(F.struct("component", "node", "n", "pos")).over(of), "high": F.max("component").over(of), "length": F.count("*").over(of)})
+    held = seen.where(F.col("head.component") != F.col("high")).select(
+        "key", "node", "n", "pos", F.col("head.node").alias("first"), F.col("head.n").alias("first_n"), F.col("head.pos").alias("first_pos"), "component", F.col("head.component").alias("beside"), "length",
+    )
+    return stored(spark, gathered(held, n).mapInArrow(_fitting(True), _SEVERAL), "several")
 
 
 def _dealt_with(rows: DataFrame, bits: DataFrame, row_bytes: int, *keys: str) -> DataFrame:
@@ -543,7 +607,9 @@ def _long_links(docs: DataFrame, known: DataFrame, lists: DataFrame, bitmaps: Da
     """``links`` and those that long lists add to them."""
     spark = docs.sparkSession
     lists = _several(spark, lists, None if links is None else components(links))
-    bits = stored(spark, bitmaps.join(lists.select("node").distinct(), "node", "left_semi").select("node", "bits"), "bits")
+    n = lists.count()
+    nodes = gathered(lists.select("node").distinct(), n)
+    bits = stored(spark, bitmaps.join(sent_if(nodes, n, 8), "node", "left_semi").select("node", "bits"), "bits")
     nearest, passes = True, 0
     while True:
         more = stored(spark, _verify(docs, known, _in_blocks(lists, bits, nearest), bitmaps), "verified")
